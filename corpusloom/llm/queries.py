@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import decontamination, media
+from corpusloom.llm import bpe, chat, decontamination, media
 
 QUERIES = {
     "op1_matroska": media.query,
     "op4_decontamination": decontamination.query,
+    "op8_bpe": bpe.query,
+    "op9_chat": chat.query,
 }
 ORACLES = {
+    "op9_chat": chat.ORACLE_SQL,
     "op4_decontamination": decontamination.ORACLE_SQL,
 }
