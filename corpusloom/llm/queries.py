@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import bpe, chat, decontamination, media
+from corpusloom.llm import bpe, chat, decontamination, langid, media, quality
 
 QUERIES = {
     "op1_matroska": media.query,
+    "op3_quality": quality.query,
     "op4_decontamination": decontamination.query,
+    "op5_langid": langid.query,
     "op8_bpe": bpe.query,
     "op9_chat": chat.query,
 }
