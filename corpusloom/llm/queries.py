@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import bpe, chat, decontamination, langid, media, quality
+from corpusloom.llm import bpe, chat, decontamination, langid, media, quality, toxicity
 
 QUERIES = {
     "op1_matroska": media.query,
     "op3_quality": quality.query,
     "op4_decontamination": decontamination.query,
     "op5_langid": langid.query,
+    "op7_toxicity": toxicity.query,
     "op8_bpe": bpe.query,
     "op9_chat": chat.query,
 }
