@@ -98,8 +98,8 @@ def string_offsets(arr: pa.Array) -> np.ndarray:
     return np.frombuffer(arr.buffers()[1], kind, len(arr) + 1 + arr.offset)[arr.offset :].astype(np.int64) if len(arr) else np.zeros(1, np.int64)
 
 
-def summed_by_key(df: DataFrame, dtype: str, spread: int = 16) -> dict[int, np.ndarray]:
-    """Sums of vectors `vec` (binary of `dtype`) by `slot`, in two rounds; the result is a fixed number of slots.
+def summed_by_key(df: DataFrame, dtype: str, spread: int = 16, add_up: np.ufunc = np.add) -> dict[int, np.ndarray]:
+    """Sums (or another reduction) of vectors `vec` (binary of `dtype`) by `slot`, in two rounds; the result is a fixed number of slots.
 
     `df` has columns slot int, vec binary. No task holds more than the vectors that one salt of one slot got,
     and they are added one batch at a time.
@@ -111,7 +111,7 @@ def summed_by_key(df: DataFrame, dtype: str, spread: int = 16) -> dict[int, np.n
             for slot, vec in zip(pdf["slot"], pdf["vec"]):
                 v = np.frombuffer(vec, dtype)
                 if slot in sums:
-                    sums[slot] += v
+                    add_up(sums[slot], v, out=sums[slot])
                 else:
                     sums[slot] = v.copy()
         if sums:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import bpe, chat, decontamination, langid, media, quality, toxicity
+from corpusloom.llm import bpe, chat, decontamination, jaccard, langid, media, quality, toxicity
 
 QUERIES = {
     "op1_matroska": media.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_toxicity": toxicity.query,
     "op8_bpe": bpe.query,
     "op9_chat": chat.query,
+    "op10_jaccard": jaccard.query,
 }
 ORACLES = {
     "op9_chat": chat.ORACLE_SQL,
