@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import bpe, chat, decontamination, jaccard, langid, media, quality, toxicity
+from corpusloom.llm import bpe, chat, decontamination, jaccard, langid, maxent, media, quality, toxicity
 
 QUERIES = {
     "op1_matroska": media.query,
+    "op2_maxent": maxent.query,
     "op3_quality": quality.query,
     "op4_decontamination": decontamination.query,
     "op5_langid": langid.query,
