@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import bpe, chat, decontamination, jaccard, langid, maxent, media, quality, toxicity
+from corpusloom.llm import bpe, chat, decontamination, jaccard, langid, maxent, media, mincut, quality, toxicity
 
 QUERIES = {
     "op1_matroska": media.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_quality": quality.query,
     "op4_decontamination": decontamination.query,
     "op5_langid": langid.query,
+    "op6_mincut": mincut.query,
     "op7_toxicity": toxicity.query,
     "op8_bpe": bpe.query,
     "op9_chat": chat.query,
