@@ -4,16 +4,17 @@ A document's set is its distinct k-word shingles, as sorted 64-bit hashes. Two s
 90 * |union|. Every link between different sets is found:
 
 1. Equal sets become one node, so copies are never compared.
-2. Linked sets share a shingle among the `n - ceil(0.9 n) + 1` first of any common order (prefix filter). The order is by
-   counts in a fixed-size sketch over all documents, rarest first, so common passages rarely stand in a prefix. Nodes that
-   share a prefix shingle are joined to the least of them; the components of these pairs are candidate groups.
+2. Nodes that agree in one of `KEYS` keys, each of `ROWS` minimum hashes of the set, are joined to the least of them; the
+   components of these pairs are candidate groups. Sets that link agree in a key but for a chance of less than 1e-9, so
+   candidates stand to the 64-bit hashes as one more source of error of that order; sets that merely share a passage
+   rarely do.
 3. A group is cut into bands of sizes within a factor of 1.12, and a band into tiles of bounded bytes by a hash of the node.
    Only tiles of the same or neighbouring bands can hold links. Each pair of tiles is a task of bounded memory.
 4. In a task, the bit counts of parity bitmaps bound the overlap from above; pairs that pass and are not yet connected
    there are intersected exactly. A task emits only links that connect, at most one less than its nodes.
 
 The components of the links, over all documents, give `component_id`. The large tables are written to the shared
-folder between steps; what goes to every executor (sketch, Bloom filter) has a fixed size.
+folder between steps; what goes to every executor (a Bloom filter) has a fixed size.
 
 Defined cases: a null, empty or wordless text has n_shingles 0 and is a component of its own; fewer than k words make
 one shingle. Rows of one doc_id with different texts are linked by their texts like any others; a null doc_id never
@@ -32,13 +33,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.bytewords import SPACES, shingle_hashes, split
-from corpusloom.llm.common import arrow_scan, matrix_rows, pieces, stacked, summed_by_key, table, written
+from corpusloom.llm.bytewords import SPACES, mixed, shingle_hashes, split
+from corpusloom.llm.common import arrow_scan, matrix_rows, stacked, summed_by_key, table, written
 from corpusloom.llm.components import components
 
 WORDS = 3
 PERCENT = 90
-SKETCH = 20  # bits
+#: (1 - 0.9 ** ROWS) ** KEYS < 1e-9
+ROWS, KEYS = 4, 20
 BLOOM = 25  # bits
 BITMAP = 1024
 TILE_ROWS, TILE_BYTES = 2048, 24 << 20
@@ -58,30 +60,20 @@ def node_of(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def sketch(docs: DataFrame, text: str, k: int) -> np.ndarray:
-    """Counts of all shingles of all documents in 2^SKETCH cells."""
-    size = 1 << SKETCH
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(size, np.int64)
-        for batch in batches:
-            for part in pieces(batch, column=0):
-                w = split(part.column(0), SPACES)
-                h, _ = shingle_hashes(w, w.hashes(), k)
-                total += np.bincount((h >> np.uint64(64 - SKETCH)).astype(np.int64), minlength=size)
-        if total.any():
-            yield from pa.Table.from_pandas(matrix_rows(total.astype(np.float32).reshape(-1, 1), size >> 5), preserve_index=False).to_batches()
-
-    src = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return stacked(summed_by_key(src.mapInArrow(run, "slot int, vec binary"), "f4", spread=32), (-1,), "f4")
-
-
-def prefix(s: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
-    """The shingles of which any set linked with this one shares at least one."""
-    n = len(s)
-    size = n - -(-percent * n // 100) + 1
-    rank = np.minimum(counts[(s >> np.uint64(64 - SKETCH)).astype(np.int64)], (1 << 24) - 1).astype(np.uint64)
-    return s[np.argsort(rank << np.uint64(40) | s >> np.uint64(24), kind="stable")[:size]]
+def band_keys(sets: list[np.ndarray]) -> np.ndarray:
+    """KEYS keys of each set (sets x KEYS): hashes of ROWS minima each. Sets are not empty."""
+    rng = np.random.default_rng(77)
+    flip, odd = rng.integers(0, 1 << 63, (2, KEYS * ROWS), dtype=np.uint64)
+    starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])])[:-1]
+    values = np.concatenate(sets)
+    out = np.empty((len(sets), KEYS), np.uint64)
+    for k in range(KEYS):
+        acc = np.full(len(sets), np.uint64(k + 1), np.uint64)
+        for r in range(k * ROWS, (k + 1) * ROWS):
+            least = np.minimum.reduceat((values ^ flip[r]) * (odd[r] << np.uint64(1) | np.uint64(1)), starts)
+            acc = mixed(acc * np.uint64(0x9FB21C651E98DF25) + least)
+        out[:, k] = acc
+    return out
 
 
 def _blooms(h: np.ndarray) -> np.ndarray:
@@ -129,7 +121,7 @@ def linked_pairs(sets: list[np.ndarray], right: int, percent: int) -> list[tuple
 
 
 def candidate_groups(nodes: DataFrame) -> DataFrame:
-    """Columns node and grp of the nodes that share a prefix shingle with another."""
+    """Columns node and grp of the nodes that agree with another in a key."""
     posts = nodes.select("node", F.explode("keys").alias("key"))
     pairs = posts.select("node", F.min("node").over(Window.partitionBy("key")).alias("least")).where("node <> least").distinct()
     found = components(pairs.select(F.col("node").alias("a"), F.col("least").alias("b")), "groups")
@@ -185,17 +177,17 @@ def links(dealt: DataFrame, percent: int) -> DataFrame:
 
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: `key`, n_shingles, component_id."""
-    counts = sketch(docs, text, k)
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(counts if len(counts) else np.zeros(1 << SKETCH, np.float32))
 
     def keyed(arr: pa.Array) -> list[pa.Array]:
         sets = shingle_sets(arr, k)
-        nodes = [node_of(s) if len(s) else None for s in sets]
-        keys = [prefix(s, sent.value, percent).view(np.int64) for s in sets]
-        ends = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
-        flat = pa.array(np.concatenate([*keys, np.zeros(0, np.int64)]), pa.int64())
-        return [pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), flat)]
+        some = [s for s in sets if len(s)]
+        keys = band_keys(some).view(np.int64) if some else np.zeros((0, KEYS), np.int64)
+        ends = np.concatenate([[0], np.cumsum([KEYS * (len(s) > 0) for s in sets])]).astype(np.int32)
+        return [
+            pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
+            pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel())),
+        ]
 
     rows = written(arrow_scan(docs, text, {"id": F.col(key)}, _SETS, keyed).select("row.id", "res.*"), "sets")
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
@@ -221,8 +213,8 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WO
     kept = src.where(F.col("text").isNotNull()).mapInArrow(chosen, src.schema)
     kind = T.StructType([T.StructField("node", T.LongType()), T.StructField("shingles", T.BinaryType())])
     sets = arrow_scan(kept, "text", {"key": F.col("key")}, kind, whole).select("row.key", "res.*")
-    ids = members.select("node", F.xxhash64("id").alias("key"))
-    found = written(sets.join(ids, ["node", "key"], "left_semi").dropDuplicates(["node"]).select("node", "shingles"), "shingles")
+    ids = members.select("node", F.xxhash64("id").alias("id_key"))
+    found = sets.join(ids, "node").where("key = id_key").dropDuplicates(["node"]).select("node", "shingles")
     pairs = links(tasks(members).join(found, "node"), percent)
     roots = components(pairs, "links")
     out = rows.select("id", "n", "node").join(roots.select(F.col("a").alias("node"), "b"), "node", "left").select("id", "n", F.coalesce("b", "node").alias("root"))
