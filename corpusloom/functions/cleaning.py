@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions import text as t
 
@@ -42,7 +43,7 @@ def decode_basic(c: Column) -> Column:
     return c
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def decode_all(c: pd.Series) -> pd.Series:
     """All HTML5 character references."""
     import html
