@@ -233,15 +233,35 @@ def log_probabilities(w: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndar
     return z - np.log(np.exp(z).sum(1, keepdims=True))
 
 
+def segment_sums(rows: np.ndarray, starts: np.ndarray, most: int = 5) -> np.ndarray:
+    """Sums of runs of rows: short runs are added up row by row for all runs at once, long ones by one sum each."""
+    size = np.diff(np.append(starts, len(rows)))
+    out = rows[starts]
+    open_, k = np.flatnonzero(size > 1), 1
+    while k < most and len(open_):
+        out[open_] += rows[starts[open_] + k]
+        k += 1
+        open_ = open_[size[open_] > k]
+    for i in open_:
+        out[i] += rows[starts[i] + k : starts[i] + size[i]].sum(0)
+    return out
+
+
 def descend(w: np.ndarray, seen: np.ndarray, squares: np.ndarray, bias: np.ndarray, f: np.ndarray, cls: np.ndarray) -> None:
     """One AdaGrad step on a minibatch, in place."""
-    g = np.exp(log_probabilities(w, bias, f))
+    g = w[f[:, 0]]
+    for k in range(1, f.shape[1]):
+        g += w[f[:, k]]
+    g += bias
+    g -= g.max(1, keepdims=True)
+    np.exp(g, out=g)
+    g /= g.sum(1, keepdims=True)
     g[np.arange(len(f)), cls] -= 1
     flat = f.ravel()
-    order = np.argsort(flat, kind="stable")
+    order = np.argsort(flat.astype(np.int16), kind="stable")  # slots fit: 16-bit keys are sorted by radix
     slots = flat[order]
     starts = np.flatnonzero(np.concatenate([[True], slots[1:] != slots[:-1]]))
-    sums = np.add.reduceat(g[order // f.shape[1]], starts, axis=0)
+    sums = segment_sums(g[order // f.shape[1]], starts)
     at, many = slots[starts], np.diff(np.append(starts, len(slots)))
     sums /= np.sqrt(many)[:, None]
     seen[at] += many
