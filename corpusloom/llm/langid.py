@@ -63,7 +63,7 @@ def codewords(k: int, seed: int = 5) -> np.ndarray:
         return np.ones((k, 1), np.int8)
     if k <= 5:
         bits = 2 ** (k - 1) - 1
-        return np.array([[1] * bits, *[[1 if (c + 1) >> r & 1 else -1 for c in range(bits)] for r in range(k - 1)]], np.int8)
+        return np.array([[1] * bits, *[[1 if c >> r & 1 else -1 for c in range(bits)] for r in range(k - 1)]], np.int8)
     width = max(15, 4 * int(np.ceil(np.log2(k))))
     rng, best, apart = np.random.default_rng(seed), None, -1
     for _ in range(300):
