@@ -129,7 +129,7 @@ def matrix_rows(m: np.ndarray, rows_per_slot: int) -> pd.DataFrame:
 
 
 def stacked(slots: dict[int, np.ndarray], shape: tuple[int, ...], dtype: str) -> np.ndarray:
-    """The matrix that `matrix_rows` cut; zeros where no partition sent a row."""
+    """The matrix that `matrix_rows` cut; where no partition sent a row, zeros, and none along an open dimension."""
     if not slots:
-        return np.zeros(shape, dtype)
+        return np.zeros([max(n, 0) for n in shape], dtype)
     return np.concatenate([slots[k] for k in sorted(slots)]).reshape(shape)
