@@ -306,11 +306,12 @@ def _typed(value: object, kind: T.DataType) -> Column:
 
 
 def condition(node: Predicate | Group | None, df: DataFrame, resolve: Callable[[str], Column]) -> Column:
+    """The condition as a column, null counting as false; comparisons stay bare so that they reach the scan."""
     if node is None:
         return F.lit(True)
     if isinstance(node, Group):
         parts = [condition(p, df, resolve) for p in node.parts]
-        return ~parts[0] if node.op == "not" else reduce((lambda a, b: a & b) if node.op == "and" else (lambda a, b: a | b), parts)
+        return ~F.coalesce(parts[0], F.lit(False)) if node.op == "not" else reduce((lambda a, b: a & b) if node.op == "and" else (lambda a, b: a | b), parts)
     f = resolve(node.field)
     kind = df.select(f).schema[0].dataType
     present = (f.isNotNull() & (f != "")) if isinstance(kind, T.StringType) else f.isNotNull()
@@ -320,18 +321,18 @@ def condition(node: Predicate | Group | None, df: DataFrame, resolve: Callable[[
         return F.lit(False)
     values = [_typed(v, kind) for v in node.values]
     if node.op in ("in", "not in"):
-        same = reduce(lambda a, b: a | b, [F.coalesce(f == v, F.lit(False)) for v in values])
-        return same if node.op == "in" else ~same
+        same = reduce(lambda a, b: a | b, [f == v for v in values])
+        return same if node.op == "in" else ~F.coalesce(same, F.lit(False))
     if node.op == "between":
-        return F.coalesce((f >= values[0]) & (f <= values[1]), F.lit(False))
+        return (f >= values[0]) & (f <= values[1])
     v = values[0]
     if node.op == "~":
-        return F.coalesce(F.contains(F.lower(f), F.lower(v)), F.lit(False)) if isinstance(kind, T.StringType) else F.lit(False)
+        return F.contains(F.lower(f), F.lower(v)) if isinstance(kind, T.StringType) else F.lit(False)
     if node.op == "!=":
         return F.coalesce(f != v, F.lit(True))
     if isinstance(kind, T.StringType) and node.op != "=" and isinstance(node.values[0], float):
         f, v = f.try_cast("double"), F.lit(node.values[0])  # numbers in metadata compare as numbers
-    return F.coalesce({"=": f == v, ">": f > v, "<": f < v, ">=": f >= v, "<=": f <= v}[node.op], F.lit(False))
+    return {"=": f == v, ">": f > v, "<": f < v, ">=": f >= v, "<=": f <= v}[node.op]
 
 
 def plan(query: Query | str, views: Views) -> DataFrame:
