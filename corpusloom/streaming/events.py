@@ -86,3 +86,26 @@ def clean_on_arrival(docs: DataFrame, sink: Callable[[DataFrame, int], None], cl
         sink((cleaner or Cleaner()).apply(batch, kind=kind).withColumn("event_type", F.lit("document.cleaned")), batch_id)
 
     return docs.writeStream.foreachBatch(each).trigger(availableNow=True).start()
+
+
+def token_bucket(requests: DataFrame, capacity: int = 10, refill_s: float = 1.0) -> DataFrame:
+    """order, key, granted of a stream (key, ts, order): each key's bucket refills one token per whole `refill_s` passed.
+
+    Time that does not fill a whole token is kept, because the refill mark moves only when tokens are added. State is the
+    number of tokens and the mark.
+    """
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(batches)).sort_values(["ts", "order"])
+        tokens, mark = state.get if state.exists else (capacity, rows["ts"].iloc[0].timestamp())
+        granted = []
+        for ts in rows["ts"]:
+            passed = ts.timestamp() - mark
+            if passed >= refill_s:
+                tokens, mark = min(capacity, tokens + int(passed // refill_s)), ts.timestamp()
+            granted.append(tokens > 0)
+            tokens -= tokens > 0
+        state.update((tokens, mark))
+        yield pd.DataFrame({"order": rows["order"], "key": key[0], "granted": granted})
+
+    return requests.groupBy("key").applyInPandasWithState(step, "order long, key string, granted boolean", "tokens long, mark double", "append", GroupStateTimeout.NoTimeout)
