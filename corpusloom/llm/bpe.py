@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from corpusloom.llm.common import arrow_scan, table
 
 LONG = 96
-CACHE = 300_000
+CACHE = 150_000
 _NONE = np.int32(2**31 - 1)
 
 

@@ -35,10 +35,10 @@ def _power(kind: str, n: int) -> np.ndarray:
     have = _powers[kind]
     if len(have) < n:
         base = np.uint64(_RADIX if kind == "up" else pow(_RADIX, -1, 1 << 64))
-        steps = np.full(max(n, 1 << 20), base, np.uint64)
+        steps = np.full(max(n, (1 << 20) + 1), base, np.uint64)
         steps[0] = 1
         have = np.cumprod(steps, dtype=np.uint64)
-        if n <= 8 << 20:
+        if n <= 2 << 20:
             _powers[kind] = have
     return have[:n]
 

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+BATCH_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -36,6 +39,16 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most `BATCH_ROWS` rows for what is planned from here on, unless the session asks for fewer.
+
+    Spark's default of 10,000 whole texts a batch is tens of MB in the JVM and again in each Python worker.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm
@@ -51,6 +64,7 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     The table is deleted when the driver's Python ends.
     """
     spark = df.sparkSession
+    bounded_batches(spark)
     path = f"{shared_dir(spark).rstrip('/')}/corpusloom-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_remove, spark, path)
@@ -58,13 +72,15 @@ def written(df: DataFrame, tag: str) -> DataFrame:
 
 
 def arrow_scan(
-    df: DataFrame, text: str | Column, carry: dict[str, Column], results: T.StructType, fn: Callable[[pa.Array], list[pa.Array]]
+    df: DataFrame, text: str | Column, carry: dict[str, Column], results: T.StructType, fn: Callable[[pa.Array], list[pa.Array]], limit: int = 1 << 20
 ) -> DataFrame:
     """One result row per row of `df`: columns `row` (a struct of `carry`) and `res` (a struct of `results`).
 
     `fn` gets the text column of an Arrow batch (nulls already empty) and returns one array per field.
+    It is called with at most `limit` bytes of text at a time (or one longer text), which bounds a worker's memory.
     The two structs keep extra columns apart from results, so clashing names cannot collide.
     """
+    bounded_batches(df.sparkSession)
     src = df.select(
         F.struct(*[c.alias(n) for n, c in carry.items()]).alias("row"),
         F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).alias("text"),
@@ -74,14 +90,14 @@ def arrow_scan(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, limit):
                 arrays = fn(part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.StructArray.from_arrays(arrays, names)], ["row", "res"])
 
     return src.mapInArrow(run, schema)
 
 
-def pieces(batch: pa.RecordBatch, limit: int = 4 << 20, column: int = 1) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, limit: int = 1 << 20, column: int = 1) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with at most `limit` text bytes each, or one row where that alone is longer."""
     ends = string_offsets(batch.column(column))
     at, n = 0, batch.num_rows
@@ -105,6 +121,8 @@ def summed_by_key(df: DataFrame, dtype: str, spread: int = 16, add_up: np.ufunc
     and they are added one batch at a time.
     """
 
+    bounded_batches(df.sparkSession)
+
     def add(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
         for pdf in groups:

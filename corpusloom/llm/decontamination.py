@@ -128,7 +128,7 @@ def scan(docs: DataFrame, items: DataFrame, carry: dict[str, Column], text: str
             pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
         ]
 
-    return arrow_scan(docs, text, carry, RESULTS, run)
+    return arrow_scan(docs, text, carry, RESULTS, run, limit=1 << 20 if len(sent) <= 1 else 16 << 20)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
