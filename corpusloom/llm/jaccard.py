@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.bytewords import SPACES, mixed, shingle_hashes, split
-from corpusloom.llm.common import arrow_scan, matrix_rows, stacked, summed_by_key, table, written
+from corpusloom.llm.common import arrow_scan, bounded_batches, matrix_rows, pieces, stacked, summed_by_key, table, written
 from corpusloom.llm.components import components
 
 WORDS = 3
@@ -194,32 +194,31 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WO
     members = written(nodes.select("node", "id", "n").join(candidate_groups(nodes.select("node", "keys")), "node"), "members")
     bloom = spark.sparkContext.broadcast(bloom_of(members.select(F.xxhash64("id").alias("key"))))
 
-    carry = {"key": F.xxhash64(F.col(key))}
-    src = docs.select(F.col(text).alias("text"), carry["key"].alias("key"))
+    bounded_batches(spark)
 
-    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Node and set of the documents that the filter lets through; one Python step, so one worker a task."""
         bits = bloom.value
-        for batch in batches:
-            if not len(bits):
-                continue
+        for batch in batches if len(bits) else ():
             at = _blooms(batch.column(1).to_numpy())
-            some = np.all(bits[at >> 3] >> (7 - (at & 7)) & 1, axis=0)
-            yield batch.filter(pa.array(some))
-
-    def whole(arr: pa.Array) -> list[pa.Array]:
-        sets = shingle_sets(arr, k)
-        return [pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
-
-    kept = src.where(F.col("text").isNotNull()).mapInArrow(chosen, src.schema)
-    kind = T.StructType([T.StructField("node", T.LongType()), T.StructField("shingles", T.BinaryType())])
-    sets = arrow_scan(kept, "text", {"key": F.col("key")}, kind, whole).select("row.key", "res.*")
+            kept = batch.filter(pa.array(np.all(bits[at >> 3] >> (7 - (at & 7)) & 1, axis=0)))
+            for part in pieces(kept, column=0):
+                sets = shingle_sets(part.column(0), k)
+                nodes = pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(1), nodes, pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "node", "shingles"])
+
+    src = docs.select(F.col(text).alias("text"), F.xxhash64(F.col(key)).alias("key")).where("text is not null")
+    sets = src.mapInArrow(whole, "key long, node long, shingles binary")
     ids = members.select("node", F.xxhash64("id").alias("id_key"))
     found = sets.join(ids, "node").where("key = id_key").dropDuplicates(["node"]).select("node", "shingles")
     pairs = links(tasks(members).join(found, "node"), percent)
     roots = components(pairs, "links")
-    out = rows.select("id", "n", "node").join(roots.select(F.col("a").alias("node"), "b"), "node", "left").select("id", "n", F.coalesce("b", "node").alias("root"))
-    named = out.where("root is not null").groupBy("root").agg(F.min("id").alias("component_id"))
-    return out.join(named, "root", "left").select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+    # copies meet only as partial minima, and in a last join whose hot keys can be split
+    least = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("id"))
+    placed = least.join(roots.select(F.col("a").alias("node"), "b"), "node", "left").select("node", "id", F.coalesce("b", "node").alias("root"))
+    named = placed.groupBy("root").agg(F.min("id").alias("component_id"))
+    by_node = placed.join(named, "root").select("node", "component_id")
+    return rows.select("id", "n", "node").join(by_node, "node", "left").select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
