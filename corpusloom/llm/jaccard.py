@@ -1,14 +1,14 @@
 """N-gram Jaccard join: size-banded tiles with hashed bitmap signatures, then exact sorted-array intersection.
 
 A document's set is its distinct k-word shingles, as sorted 64-bit hashes. Two sets link when 100 * |intersection| >=
-90 * |union|. Every link between different sets is found:
+percent * |union|. Links between different sets are found but for a chance of less than 1e-9 each:
 
 1. Equal sets become one node, so copies are never compared.
-2. Nodes that agree in one of `KEYS` keys, each of `ROWS` minimum hashes of the set, are joined to the least of them; the
-   components of these pairs are candidate groups. Sets that link agree in a key but for a chance of less than 1e-9, so
-   candidates stand to the 64-bit hashes as one more source of error of that order; sets that merely share a passage
-   rarely do.
-3. A group is cut into bands of sizes within a factor of 1.12, and a band into tiles of bounded bytes by a hash of the node.
+2. Nodes that agree in one of `keys_of(percent)` keys, each of `ROWS` minimum hashes of the set, are joined to the least of
+   them; the components of these pairs are candidate groups. Sets that link agree in a key but for a chance of less than
+   1e-9, and no exact way catches the rest; sets that merely share a passage agree less often.
+3. A group is cut into bands of sizes within a factor just over 100 / percent, and a band into tiles of bounded bytes by a
+   hash of the node.
    Only tiles of the same or neighbouring bands can hold links. Each pair of tiles is a task of bounded memory.
 4. In a task, the bit counts of parity bitmaps bound the overlap from above; pairs that pass and are not yet connected
    there are intersected exactly. A task emits only links that connect, at most one less than its nodes.
@@ -39,12 +39,21 @@ from corpusloom.llm.components import components
 
 WORDS = 3
 PERCENT = 90
-#: (1 - 0.9 ** ROWS) ** KEYS < 1e-9
-ROWS, KEYS = 4, 20
+ROWS, MISSED = 4, 1e-9
 BLOOM = 25  # bits
 BITMAP = 1024
 TILE_ROWS, TILE_BYTES = 2048, 24 << 20
-BAND = 1.12
+
+
+def keys_of(percent: int) -> int:
+    """The number of keys, each of ROWS minima, of which sets at the threshold share none with a chance below MISSED."""
+    return int(np.ceil(np.log(MISSED) / np.log1p(-((percent / 100) ** ROWS)))) if percent < 100 else 1
+
+
+def band_of(percent: int) -> float:
+    """The factor between size bands: sets that link differ by 100 / percent at most, so by one band at most."""
+    return 1.008 * 100 / percent
+
 
 _SETS = T.StructType([T.StructField("n", T.LongType()), T.StructField("node", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
 
@@ -60,14 +69,14 @@ def node_of(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def band_keys(sets: list[np.ndarray]) -> np.ndarray:
-    """KEYS keys of each set (sets x KEYS): hashes of ROWS minima each. Sets are not empty."""
+def band_keys(sets: list[np.ndarray], keys: int) -> np.ndarray:
+    """The keys of each set (sets x keys): hashes of ROWS minima each. Sets are not empty."""
     rng = np.random.default_rng(77)
-    flip, odd = rng.integers(0, 1 << 63, (2, KEYS * ROWS), dtype=np.uint64)
+    flip, odd = rng.integers(0, 1 << 63, (2, keys * ROWS), dtype=np.uint64)
     starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])])[:-1]
     values = np.concatenate(sets)
-    out = np.empty((len(sets), KEYS), np.uint64)
-    for k in range(KEYS):
+    out = np.empty((len(sets), keys), np.uint64)
+    for k in range(keys):
         acc = np.full(len(sets), np.uint64(k + 1), np.uint64)
         for r in range(k * ROWS, (k + 1) * ROWS):
             least = np.minimum.reduceat((values ^ flip[r]) * (odd[r] << np.uint64(1) | np.uint64(1)), starts)
@@ -129,11 +138,12 @@ def candidate_groups(nodes: DataFrame) -> DataFrame:
     return found.select(F.col("a").alias("node"), F.col("b").alias("grp")).unionByName(roots)
 
 
-def tasks(members: DataFrame) -> DataFrame:
+def tasks(members: DataFrame, percent: int) -> DataFrame:
     """One row per member and pair of tiles it belongs to: node, task, side (0 or 1)."""
-    banded = members.select("node", "grp", F.floor(F.log(F.col("n").cast("double")) / float(np.log(BAND))).cast("int").alias("band"))
+    factor = band_of(percent)
+    banded = members.select("node", "grp", F.floor(F.log(F.col("n").cast("double")) / float(np.log(factor))).cast("int").alias("band"))
     w = Window.partitionBy("grp").orderBy("band")
-    room = F.greatest(F.lit(16.0), F.least(F.lit(float(TILE_ROWS)), TILE_BYTES / (8 * F.pow(F.lit(BAND), F.col("band") + 1))))
+    room = F.greatest(F.lit(16.0), F.least(F.lit(float(TILE_ROWS)), TILE_BYTES / (8 * F.pow(F.lit(factor), F.col("band") + 1))))
     bands = banded.groupBy("grp", "band").agg(F.count("*").alias("many")).withColumn("k", F.ceil(F.col("many") / room).cast("int"))
     near = lambda f, d, c: F.when(f("band").over(w) == F.col("band") + d, f(c).over(w)).otherwise(0)
     bands = bands.select("grp", "band", "many", "k", near(F.lag, -1, "k").alias("below"), near(F.lead, 1, "k").alias("above"))
@@ -177,13 +187,13 @@ def links(dealt: DataFrame, percent: int) -> DataFrame:
 
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: `key`, n_shingles, component_id."""
-    spark = docs.sparkSession
+    spark, n_keys = docs.sparkSession, keys_of(percent)
 
     def keyed(arr: pa.Array) -> list[pa.Array]:
         sets = shingle_sets(arr, k)
         some = [s for s in sets if len(s)]
-        keys = band_keys(some).view(np.int64) if some else np.zeros((0, KEYS), np.int64)
-        ends = np.concatenate([[0], np.cumsum([KEYS * (len(s) > 0) for s in sets])]).astype(np.int32)
+        keys = band_keys(some, n_keys).view(np.int64) if some else np.zeros((0, n_keys), np.int64)
+        ends = np.concatenate([[0], np.cumsum([n_keys * (len(s) > 0) for s in sets])]).astype(np.int32)
         return [
             pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
             pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel())),
@@ -211,7 +221,7 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WO
     sets = src.mapInArrow(whole, "key long, node long, shingles binary")
     ids = members.select("node", F.xxhash64("id").alias("id_key"))
     found = sets.join(ids, "node").where("key = id_key").dropDuplicates(["node"]).select("node", "shingles")
-    pairs = links(tasks(members).join(found, "node"), percent)
+    pairs = links(tasks(members, percent).join(found, "node"), percent)
     roots = components(pairs, "links")
     # copies meet only as partial minima, and in a last join whose hot keys can be split
     least = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("id"))

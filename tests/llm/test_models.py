@@ -225,6 +225,26 @@ def test_jaccard_against_brute_force(spark, monkeypatch):
     assert jaccard.joined(docs.limit(0)).count() == 0
 
 
+def test_jaccard_at_another_threshold(spark):
+    """Links at 80 % reach sizes two bands of 90 % apart, and edits that share few minima."""
+    rng = random.Random(80)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=7))
+    rows = []
+    for i in range(60):
+        n = 54 + 5 * i
+        base = [word() for _ in range(n)]
+        edited = list(base)
+        for at in range(n // 60, n, max(n * 50 // (n + 20), 40)):
+            edited[at] = word()
+        added = base + [word() for _ in range((n - 4) // 4 + i % 3 - 1)]
+        rows += [(10 * i, " ".join(base)), (10 * i + 1, " ".join(added)), (10 * i + 2, " ".join(edited))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter(tuple(r) for r in jaccard.joined(docs, k=5, percent=80).select("doc_id", "n_shingles", "component_id").collect())
+    want = brute_components(rows, 5, 80)
+    assert got == want and len({c for _, _, c in want}) < len({c for _, _, c in brute_components(rows, 5, 90)})
+    assert jaccard.keys_of(90) == 20 and (1 - 0.8**jaccard.ROWS) ** jaccard.keys_of(80) < 1e-9
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(i, i + 1) for i in range(1000, 1060)] + [(5, 5), (7, 9), (9, 7)]
