@@ -20,6 +20,8 @@ from corpusloom.llm import bpe, decontamination, jaccard, langid, quality
 from corpusloom.llm.common import table, written
 
 TOKENIZER = "word_bpe_49k.json"
+#: The measure of near copies in the pipeline; op10_jaccard has values of its own.
+WORDS, PERCENT = 5, 80
 
 
 def _carried(docs: DataFrame) -> dict:
@@ -40,8 +42,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one of least id."""
-    kept = jaccard.joined(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    """One document of each group of near copies, by 5-word sets of similarity 0.8 or more: the one of least id."""
+    kept = jaccard.joined(docs, k=WORDS, percent=PERCENT).where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
     rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
     first = Window.partitionBy("doc_id").orderBy("text", "source")
     return rows.withColumn("nth_copy", F.row_number().over(first)).where("nth_copy = 1").select(*docs.columns)

@@ -80,3 +80,17 @@ def test_empty_documents(spark, planted):
     for _, stage in pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
         assert docs.count() == 0
+
+
+def test_near_duplicates_by_five_words_and_four_fifths(spark):
+    rng = random.Random(58)
+    rows = []
+    for i in range(40):
+        base = sentence(rng, "en", 60).split()
+        edited = list(base)
+        edited[20] = "edited"  # 5-word similarity 51 / 61
+        rows += [(4 * i, " ".join(base)), (4 * i + 1, " ".join(base + ["added"] * (i % 16))), (4 * i + 2, " ".join(edited)), (4 * i + 3, sentence(rng, "de", 40))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    want = {c for _, _, c in brute_components(rows, 5, 80)}
+    assert sorted(r.doc_id for r in pipeline.near_duplicates(spark, docs, None).collect()) == sorted(want)
+    assert want != {c for _, _, c in brute_components(rows)}
