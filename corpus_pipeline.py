@@ -42,13 +42,19 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, by 5-word sets of similarity 0.8 or more: the one of least id."""
-    kept = jaccard.joined(docs, k=WORDS, percent=PERCENT).where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    first = Window.partitionBy("doc_id").orderBy("text", "source")
+    """One document of each group of near copies, by 5-word sets of similarity 0.8 or more: the one of least id.
+
+    Documents are told apart by id and text, so a null id or one id with several texts loses none. Null ids count as the
+    greatest; among equal ids the least hash decides. Of rows with one id and one text the least source stays.
+    """
+    mark = F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text")
+    kept = jaccard.representatives(docs, mark, k=WORDS, percent=PERCENT)
+    rows = docs.withColumn("near_mark", mark).join(kept.select(F.col("mark").alias("near_mark")), "near_mark", "left_semi")
+    first = Window.partitionBy("near_mark", "doc_id", "text").orderBy("source")
     return rows.withColumn("nth_copy", F.row_number().over(first)).where("nth_copy = 1").select(*docs.columns)
 
 
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
     found = decontamination.scan(docs, table(spark, sf_dir, "benchmark"), _carried(docs))

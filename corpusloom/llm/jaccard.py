@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -185,8 +185,8 @@ def links(dealt: DataFrame, percent: int) -> DataFrame:
     return dealt.select("task", "side", "node", "shingles").repartition("task").sortWithinPartitions("task").mapInArrow(run, "a long, b long")
 
 
-def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per document: `key`, n_shingles, component_id."""
+def _linked(docs: DataFrame, key: str, text: str, k: int, percent: int, carry: dict) -> tuple[DataFrame, DataFrame]:
+    """One row per document (id, what is carried, n, node: null without words), and the roots of nodes: a, b as `components` gives them."""
     spark, n_keys = docs.sparkSession, keys_of(percent)
 
     def keyed(arr: pa.Array) -> list[pa.Array]:
@@ -199,7 +199,7 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WO
             pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel())),
         ]
 
-    rows = written(arrow_scan(docs, text, {"id": F.col(key)}, _SETS, keyed).select("row.id", "res.*"), "sets")
+    rows = written(arrow_scan(docs, text, {"id": F.col(key)} | carry, _SETS, keyed).select("row.*", "res.*"), "sets")
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     members = written(nodes.select("node", "id", "n").join(candidate_groups(nodes.select("node", "keys")), "node"), "members")
     bloom = spark.sparkContext.broadcast(bloom_of(members.select(F.xxhash64("id").alias("key"))))
@@ -222,7 +222,12 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WO
     ids = members.select("node", F.xxhash64("id").alias("id_key"))
     found = sets.join(ids, "node").where("key = id_key").dropDuplicates(["node"]).select("node", "shingles")
     pairs = links(tasks(members, percent).join(found, "node"), percent)
-    roots = components(pairs, "links")
+    return rows, components(pairs, "links")
+
+
+def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row per document: `key`, n_shingles, component_id."""
+    rows, roots = _linked(docs, key, text, k, percent, {})
     # copies meet only as partial minima, and in a last join whose hot keys can be split
     least = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("id"))
     placed = least.join(roots.select(F.col("a").alias("node"), "b"), "node", "left").select("node", "id", F.coalesce("b", "node").alias("root"))
@@ -231,5 +236,18 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WO
     return rows.select("id", "n", "node").join(by_node, "node", "left").select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
+def representatives(docs: DataFrame, mark: Column, key: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Column mark: that of one document of each component, by least `key` (nulls last), then by least mark.
+
+    `mark` is a number that tells documents apart; those without words are components of their own, one for each mark.
+    """
+    rows, roots = _linked(docs, key, text, k, percent, {"mark": mark})
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "mark")
+    least = rows.where("node is not null").groupBy("node").agg(F.min(order).alias("first"))
+    placed = least.join(roots.select(F.col("a").alias("node"), "b"), "node", "left").select("first", F.coalesce("b", "node").alias("root"))
+    chosen = placed.groupBy("root").agg(F.min("first").alias("first")).select("first.mark")
+    return chosen.unionByName(rows.where("node is null").select("mark")).distinct()
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined(table(spark, sf_dir, "documents"))

@@ -94,3 +94,19 @@ def test_near_duplicates_by_five_words_and_four_fifths(spark):
     want = {c for _, _, c in brute_components(rows, 5, 80)}
     assert sorted(r.doc_id for r in pipeline.near_duplicates(spark, docs, None).collect()) == sorted(want)
     assert want != {c for _, _, c in brute_components(rows)}
+
+
+def test_near_duplicates_keep_texts_not_ids(spark):
+    rng = random.Random(59)
+    a, b, *others = (sentence(rng, "en", 40) for _ in range(9))
+    rows = [(3, b), (5, a), (5, b), (7, others[0]), (7, others[1]), (8, others[2]), (None, others[2]), (9, None), (None, None), (9, None)]
+    rows += [(None, t) for t in (*others[3:], others[3] + " tail", others[4])]
+    for mirrored in (False, True):  # whichever of the two texts sorts first
+        docs = [(i, {a: b, b: a}.get(t, t) if mirrored else t) for i, t in rows]
+        frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+        got = [(r.doc_id, r.text) for r in pipeline.near_duplicates(spark, frame, None).collect()]
+        x, y = (b, a) if mirrored else (a, b)
+        tails = {others[3], others[3] + " tail"}
+        assert sum(i is None and t in tails for i, t in got) == 1
+        rest = sorted(((str(i), str(t)) for i, t in got if t not in tails))
+        assert rest == sorted([("3", y), ("5", x), ("7", others[0]), ("7", others[1]), ("8", others[2]), ("9", "None"), ("None", "None"), *(("None", t) for t in others[4:])])
