@@ -176,6 +176,12 @@ def search_highlights(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.array_join(se.highlights(c, "The der"), " | ").alias("highlights"), se.bold(F.left(c, F.lit(200)), ["the", "der"]).alias("bold"))
 
 
+@query("SELECT doc_id, regexp_replace(regexp_replace(text, '(?i)(the)', '**\\1**', 'g'), '(?i)(der)', '**\\1**', 'g') AS bold FROM documents")
+def search_bold(spark, sf_dir):
+    """Every occurrence in the whole text, where search_highlights shows the first 200 characters."""
+    return read(spark, sf_dir, "documents").select("doc_id", se.bold(F.col("text"), ["the", "der"]).alias("bold"))
+
+
 @query(f"WITH {LIBRARY} SELECT field, value, count(*) AS count FROM (SELECT unnest([{{'field': 'source', 'value': source}}, {{'field': 'language', 'value': language}}, {{'field': 'quality_tier', 'value': quality_tier}}], recursive := true) FROM library) WHERE value <> '' GROUP BY 1, 2")
 def facets(spark, sf_dir):
     return se.facets(library(spark, sf_dir), ["source", "language", "quality_tier"])

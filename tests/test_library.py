@@ -192,3 +192,12 @@ def test_sections_and_as_of(spark):
     left = spark.createDataFrame([("k", 5), ("k", 1), ("z", 5)], "k string, t int")
     right = spark.createDataFrame([("k", 2, "a"), ("k", 5, "b"), ("k", 9, "c")], "k string, s int, v string")
     assert {tuple(r) for r in corpus.as_of(left, right, "k", "t", "s", "v").select("k", "t", "v").collect()} == {("k", 5, "b"), ("k", 1, None), ("z", 5, None)}
+
+
+def test_bold_reaches_past_the_first_characters(spark, tmp_path):
+    import __spark_entry__
+
+    texts = ["x " * 150 + "The end, oTHEr, wunDER", "", None, "the"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = dict(__spark_entry__.queries()["search_bold"](spark, str(tmp_path)).collect())
+    assert got == {0: "x " * 150 + "**The** end, o**THE**r, wun**DER**", 1: "", 2: None, 3: "**the**"}
