@@ -1,63 +1,107 @@
 """HTML extraction by minimum-cut labelling.
 
-A page is cut into text blocks. A linear classifier over a block's tags, ancestors, class names, length and link share
-gives its terminal capacities; neighbours in page order and near relatives in the DOM are tied by smoothness edges. The
-minimum cut (equal to the maximum flow) labels each block content or boilerplate at the least total cost.
+A page is cut into text blocks. A linear classifier over a block's element, ancestors, class names, length, punctuation
+and link share gives its terminal capacities; neighbours in page order and near relatives in the DOM are tied by
+smoothness edges. The minimum cut (equal to the maximum flow) labels each block content or boilerplate at the least total
+cost.
+
+The classifier is a logistic regression that the driver fits on pages composed by `mincut_training` from many layouts, a
+few thousand labelled blocks; only its weights, of a fixed number, go to the executors. Class names are evidence, never a
+verdict: they count where they name a part of the page, not on `html` or `body`, not on an element that holds nearly all of
+the page's text and its article, and not where they tell a state (`with-sidebar`, `cookie-ok`, `comments-open`).
 
 Blocks whose terminal capacity outweighs all their edges keep their label in any minimum cut; they are settled first and
 their edges folded into their neighbours', and the flow is computed on what is left. Each page is handled alone.
 
 Defined cases: null html counts as empty; a page without content blocks has an empty text. Character references are
 decoded, white space within a block becomes one space, blocks are joined by a line feed. Malformed markup is read as
-`html.parser` does, with implied ends of paragraphs, items and cells. Repeated rows give repeated results.
+`html.parser` does, with implied ends of the head, paragraphs, items and cells; its cost is linear in the page. Repeated
+rows give repeated results; extra columns are carried in a struct of their own, so clashing names do no harm.
 """
 
 from __future__ import annotations
 
 import re
 from collections import deque
+from functools import lru_cache
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.llm import mincut_training
 from corpusloom.llm.common import arrow_scan, table
 
 # HTML elements by their part in a page.
-BLOCKS = frozenset(
-    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
-    "hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split()
-)
-HIDDEN = frozenset("head script style noscript template title textarea select option button iframe object canvas svg math datalist audio video map".split())
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+BLOCKS = frozenset([
+    "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form",
+    "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot",
+    "th", "thead", "tr", "ul",
+])
+HIDDEN = frozenset([
+    "audio", "button", "canvas", "datalist", "head", "iframe", "map", "math", "noscript", "object", "option", "script", "select", "style", "svg", "template", "textarea", "title", "video",
+])
+VOID = frozenset(["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"])
+IN_HEAD = frozenset(["base", "link", "meta", "noscript", "script", "style", "template", "title"])
 #: Elements that an opening tag ends, if open within the nearest of BOUNDS.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
-BOUNDS = frozenset("ul ol dl menu table html body article section div nav aside header footer form main".split())
+BOUNDS = frozenset(["article", "aside", "body", "div", "dl", "footer", "form", "header", "html", "main", "menu", "nav", "ol", "section", "table", "ul"])
 
-#: Evidence for content (above 0) and boilerplate (below), in cost units.
-TAGS = {
-    "article": 60, "main": 50, "section": 4, "p": 12, "pre": 12, "blockquote": 12, "h1": 14, "h2": 8, "h3": 8, "figcaption": 4,
-    "nav": -140, "menu": -140, "footer": -120, "aside": -120, "form": -120, "fieldset": -60, "dialog": -120, "header": -60, "address": -30, "li": -6,
+#: What tags, roles and words of class names say of the part of a page they stand for.
+PARTS = {
+    "nav": "navigation", "menu": "navigation", "footer": "foot", "aside": "side", "form": "form", "fieldset": "form", "dialog": "dialog", "header": "head", "article": "article",
+    "main": "main", "address": "address",
+}
+ROLES = {
+    "navigation": "navigation", "banner": "head", "contentinfo": "foot", "complementary": "side", "search": "form", "form": "form", "dialog": "dialog", "alertdialog": "dialog",
+    "main": "main", "article": "article",
 }
-NAMES = [
-    (re.compile(r"(?:^|[^a-z])(?:ad|ads|adv|advert\w*|adsense|banner|sponsor\w*|promo\w*|outbrain|taboola)(?:[^a-z]|$)", re.I), -140),
-    (re.compile(r"comment|disqus|respond|repl(?:y|ies)|discussion", re.I), -150),
-    (re.compile(r"cookie|consent|notice|gdpr|popup|modal|newsletter|subscri|signup|paywall", re.I), -140),
-    (re.compile(r"(?:^|[^a-z])(?:nav|menu|breadcrumbs?|sidebar|side|footer|masthead|toolbar|pagination|pager|widget|related|recommend\w*|share|sharing|social|tags?|login|search)(?:[^a-z]|$)|navbar|sidebar|menu", re.I), -120),
-    (re.compile(r"article|(?:^|[^a-z])(?:content|post|entry|story|body|text|main)(?:[^a-z]|$)", re.I), 30),
-]
-ROLES = {"navigation": -140, "banner": -100, "contentinfo": -120, "complementary": -120, "search": -120, "form": -100, "dialog": -120, "main": 50, "article": 60}
-NEAR, BASE = 24, -20
+NAMES = {
+    "named-ad": ["ad", "ads", "adv", "advert", "advertisement", "advertising", "adsense", "adslot", "banner", "sponsor", "sponsored", "promo", "promoted", "promotion", "outbrain", "taboola"],
+    "named-comment": ["comment", "comments", "commentary", "commentlist", "disqus", "respond", "response", "responses", "reply", "replies", "discussion", "feedback", "reviews", "guestbook"],
+    "named-notice": ["cookie", "cookies", "consent", "notice", "gdpr", "popup", "modal", "overlay", "alert", "paywall", "disclaimer"],
+    "named-form": ["newsletter", "subscribe", "subscription", "signup", "login", "search", "form", "register"],
+    "named-navigation": ["nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "pagination", "pager", "toolbar", "topbar", "toc", "skip"],
+    "named-side": ["side", "sidebar", "rail", "widget", "widgets", "related", "recommend", "recommended", "recommendations", "trending", "popular", "teaser", "tags", "share", "sharing", "social"],
+    "named-foot": ["footer", "foot", "copyright", "legal", "imprint", "colophon"],
+    "named-head": ["header", "head", "masthead", "logo", "brand"],
+    "named-content": ["article", "content", "post", "entry", "story", "body", "text", "main", "prose", "page"],
+}
+_PART_OF_NAME = {word: part for part, words in NAMES.items() for word in words}
+#: A class word with one of these tells a state of the element, or a topic, not its part.
+STATES = frozenset([
+    "allowed", "accepted", "category", "closed", "disabled", "dismissed", "enabled", "format", "has", "is", "no", "not", "off", "ok", "on", "open", "single", "status", "tag", "template", "type", "with", "without",
+])
+_SPLIT = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
+#: An element with this share of the page's text, and any article and main element in it, says nothing by its class names.
+WHOLE = 0.9
+#: An article or main element with this share of the text casts doubt on what is outside.
+CHIEF = 0.25
+
+LENGTHS = (15, 40, 80, 160, 320)
+LINKED = (0.0, 0.2, 0.5, 0.9)
+OWNERS = {"p": "p", "h1": "h1", "h2": "h2", "h3": "h2", "h4": "h2", "h5": "h2", "h6": "h2", "li": "li", "dd": "li", "dt": "li", "td": "td", "th": "td", "caption": "td", "pre": "pre", "blockquote": "pre", "figcaption": "caption"}
+FEATURES = [
+    *dict.fromkeys([*PARTS.values(), *ROLES.values()]), *NAMES, *(f"owner-{o}" for o in (*dict.fromkeys(OWNERS.values()), "other")), *(f"length-{k}" for k in range(len(LENGTHS) + 1)),
+    *(f"linked-{k}" for k in range(len(LINKED) + 1)), "ends", "sentences", "commas", "marks", "outside", "head-inside",
+]
+NUMBER = {name: i for i, name in enumerate(FEATURES)}
+#: Cost units of one unit of log odds, the largest edge, and the largest cost of a block.
+SCALE, NEAR, MOST = 12, 18, 120
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "depth", "weight", "hidden", "link")
+    __slots__ = ("tag", "parent", "depth", "block", "part", "names", "hidden", "link", "chars", "chiefs", "inline")
 
-    def __init__(self, tag: str, parent: _Element | None, weight: int, hidden: bool, link: bool):
-        self.tag, self.parent, self.weight, self.hidden, self.link = tag, parent, weight, hidden, link
+    def __init__(self, tag: str, parent: _Element | None, part: str | None, names: frozenset, hidden: bool, link: bool):
+        self.tag, self.parent, self.part, self.names, self.hidden, self.link = tag, parent, part, names, hidden, link
         self.depth = parent.depth + 1 if parent else 0
+        self.block: _Element = self if parent is None or tag in BLOCKS else parent.block
+        self.chars = self.chiefs = 0
+        self.inline: dict[str, int] = {}  # inline elements open right within a block
 
 
 class Block:
@@ -67,12 +111,26 @@ class Block:
         self.text, self.owner, self.links = text, owner, links
 
 
+@lru_cache(10_000)
+def named_parts(value: str) -> frozenset:
+    """The parts of a page that an element's class or id names."""
+    found = set()
+    for word in value.split():
+        pieces = [p.lower() for p in _SPLIT.split(word) if p]
+        if not STATES.intersection(pieces):
+            found.update(_PART_OF_NAME[p] for p in pieces if p in _PART_OF_NAME)
+    return frozenset(found)
+
+
+_NONE: frozenset = frozenset()
+
+
 class _Blocks(HTMLParser):
     """Collects the text blocks of a page with their DOM element."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.at = _Element("", None, 0, False, False)
+        self.at = _Element("", None, None, _NONE, False, False)
         self.open: dict[str, int] = {}
         self.blocks: list[Block] = []
         self.buffer: list[str] = []
@@ -89,41 +147,53 @@ class _Blocks(HTMLParser):
     def pop_to(self, element: _Element) -> None:
         while self.at is not element:
             self.open[self.at.tag] -= 1
+            if self.at.block is not self.at:
+                self.at.block.inline[self.at.tag] -= 1
             self.at = self.at.parent
 
-    def nearest(self, tags: frozenset | set, bounds: frozenset) -> _Element | None:
-        e = self.at
+    def nearest(self, tags: frozenset | set) -> _Element | None:
+        e = self.at.block
         while e.parent is not None:
             if e.tag in tags:
                 return e
-            if e.tag in bounds:
+            if e.tag in BOUNDS:
                 return None
-            e = e.parent
+            e = e.parent.block
         return None
 
+    def end_head(self) -> None:
+        if self.open.get("head"):
+            e = self.at
+            while e.tag != "head":
+                e = e.parent
+            self.pop_to(e.parent)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag not in IN_HEAD and self.open.get("head") and self.at.tag == "head":
+            self.end_head()
         if tag in BLOCKS:
             self.flush()
-            if self.open.get("p") and tag not in ("html", "body") and (p := self.nearest({"p"}, BOUNDS)):
+            if self.open.get("p") and tag not in ("html", "body") and (p := self.nearest({"p"})):
                 self.pop_to(p.parent)
-            if tag in ENDS and any(self.open.get(t) for t in ENDS[tag]) and (e := self.nearest(ENDS[tag], BOUNDS)):
+            if tag in ENDS and any(self.open.get(t) for t in ENDS[tag]) and (e := self.nearest(ENDS[tag])):
                 self.pop_to(e.parent)
         elif tag == "br":
             self.handle_data(" ")
         if tag in VOID:
             return
-        weight = TAGS.get(tag, 0)
-        hidden = self.at.hidden or tag in HIDDEN
+        part, names, hidden = PARTS.get(tag), _NONE, self.at.hidden or tag in HIDDEN
         for name, value in attrs:
-            if name in ("class", "id") and value:
-                weight += min([w for p, w in NAMES if p.search(value)], key=lambda w: w, default=0)
+            if name in ("class", "id") and value and tag not in ("html", "body"):
+                names |= named_parts(value)
             elif name == "role" and value:
-                weight += ROLES.get(value.lower(), 0)
-            elif name == "hidden" or name == "style" and value and "display:none" in value.replace(" ", ""):
+                part = ROLES.get(value.lower(), part)
+            elif name == "hidden" or name == "style" and value and "display:none" in value.replace(" ", "").lower():
                 hidden = True
-        own = weight + self.at.weight
-        self.at = _Element(tag, self.at, own, hidden, self.at.link or tag == "a")
+        self.at = _Element(tag, self.at, part, names, hidden, self.at.link or tag == "a")
         self.open[tag] = self.open.get(tag, 0) + 1
+        if self.at.block is not self.at:
+            inline = self.at.block.inline
+            inline[tag] = inline.get(tag, 0) + 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -133,20 +203,22 @@ class _Blocks(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCKS:
             self.flush()
-        if self.open.get(tag):
+            found = self.open.get(tag)
+        else:  # an inline end tag ends nothing outside its block, but what hides text ends wherever it began
+            found = self.open.get(tag) if tag in HIDDEN else self.at.block.inline.get(tag)
+        if found:
             e = self.at
             while e.tag != tag:
                 e = e.parent
             self.pop_to(e.parent)
 
     def handle_data(self, data: str) -> None:
+        if self.at.tag == "head" and data.strip():
+            self.end_head()
         if self.at.hidden:
             return
         if not self.buffer:
-            e = self.at
-            while e.parent is not None and e.tag not in BLOCKS:
-                e = e.parent
-            self.owner = e
+            self.owner = self.at.block
         self.buffer.append(data)
         if self.at.link:
             self.links += len(data.strip())
@@ -160,11 +232,97 @@ def blocks_of(html: str) -> list[Block]:
     return p.blocks
 
 
-def evidence(b: Block) -> int:
-    """Cost of calling the block boilerplate, less that of calling it content."""
-    n = len(b.text)
-    ends = b.text[-1] in ".!?…»”\"')"
-    return BASE + b.owner.weight + min(n, 400) // 12 + (8 if ends else 0) - round(60 * min(1.0, b.links / n))
+class Page:
+    """The blocks of a page, and what their ancestors say of them."""
+
+    def __init__(self, blocks: list[Block]):
+        self.blocks = blocks
+        self.known: dict[int, frozenset] = {}
+        self.total = sum(len(b.text) for b in blocks)
+        elements: dict[int, _Element] = {}
+        for b in blocks:
+            b.owner.chars += len(b.text)
+            e = b.owner
+            while e is not None and id(e) not in elements:
+                elements[id(e)] = e
+                e = e.parent
+        listed = sorted(elements.values(), key=lambda e: -e.depth)
+        for e in listed:
+            e.chiefs += e.part in ("article", "main")
+            if e.parent is not None:
+                e.parent.chars += e.chars
+                e.parent.chiefs += e.chiefs
+        chiefs = listed[-1].chiefs if listed else 0
+        self.chief = any(e.part in ("article", "main") and e.chars >= CHIEF * self.total for e in listed)
+        for e in reversed(listed):  # parents first: what is known of a parent holds for its children
+            above = self.known[id(e.parent)] if e.parent is not None else _NONE
+            own = {e.part} if e.part else set()
+            if e.names and (e.chars < WHOLE * self.total or e.chiefs < chiefs):
+                own |= e.names
+            if e.part == "head" and ("article" in above or "main" in above):
+                own = own - {"head"} | {"head-inside"}
+            self.known[id(e)] = above | own if own else above
+
+    def features(self, b: Block) -> list[int]:
+        """Numbers of the features that a block has."""
+        text, n = b.text, len(b.text)
+        said = self.known[id(b.owner)]
+        share = min(1.0, b.links / n)
+        out = [NUMBER[s] for s in said]
+        out.append(NUMBER["owner-" + OWNERS.get(b.owner.tag, "other")])
+        out.append(NUMBER["length-0"] + sum(n > x for x in LENGTHS))
+        out.append(NUMBER["linked-0"] + sum(share > x for x in LINKED))
+        if text[-1] in ".!?…»”\"')。！？":
+            out.append(NUMBER["ends"])
+        if ". " in text or "? " in text or "! " in text:
+            out.append(NUMBER["sentences"])
+        if "," in text:
+            out.append(NUMBER["commas"])
+        if "©" in text or "|" in text or "›" in text or "·" in text:
+            out.append(NUMBER["marks"])
+        if self.chief and "article" not in said and "main" not in said:
+            out.append(NUMBER["outside"])
+        return out
+
+
+def fitted(pages: list[str], l2: float = 0.7, steps: int = 25) -> list[float]:
+    """Log odds of each feature and, last, of none: logistic regression by Newton steps on marked blocks.
+
+    A block of a training page is content if it begins with `mincut_training.MARK`, which is not part of its text.
+    """
+    seen: dict[tuple[int, ...], list[int]] = {}
+    for html in pages:
+        blocks, content = [], []
+        for b in blocks_of(html):
+            marked, b.text = b.text.startswith(mincut_training.MARK), b.text.replace(mincut_training.MARK, "").strip()
+            if b.text:
+                blocks.append(b)
+                content.append(marked)
+        page = Page(blocks)
+        for b, marked in zip(blocks, content):
+            seen.setdefault(tuple(sorted(page.features(b))), [0, 0])[marked] += 1
+    x = np.zeros((len(seen), len(FEATURES) + 1))
+    x[:, -1] = 1
+    for i, r in enumerate(seen):
+        x[i, list(r)] = 1
+    no, yes = np.array(list(seen.values()), float).T
+    w = np.zeros(x.shape[1])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        hessian = (x * ((no + yes) * p * (1 - p))[:, None]).T @ x + l2 * np.eye(len(w))
+        w -= np.linalg.solve(hessian, x.T @ ((no + yes) * p - yes) + l2 * w)
+    return w.tolist()
+
+
+@lru_cache(1)
+def weights() -> tuple[int, ...]:
+    """The classifier's weights as whole cost units."""
+    return tuple(round(SCALE * v) for v in fitted(mincut_training.pages()))
+
+
+def evidence(page: Page, costs: tuple[int, ...]) -> list[int]:
+    """For each block, the cost of calling it boilerplate, less that of calling it content."""
+    return [max(-MOST, min(MOST, costs[-1] + sum(costs[k] for k in page.features(b)))) for b in page.blocks]
 
 
 def distance(a: _Element, b: _Element, most: int = 8) -> int:
@@ -267,11 +425,11 @@ def _max_flow(number: dict[int, int], t: list[int], near: list[dict[int, int]],
                     at[path[-1]] += 1
 
 
-def main_text(html: str) -> str:
+def main_text(html: str, costs: tuple[int, ...] | None = None) -> str:
     blocks = blocks_of(html)
     if not blocks:
         return ""
-    keep = minimum_cut([evidence(b) for b in blocks], smoothness(blocks))
+    keep = minimum_cut(evidence(Page(blocks), costs or weights()), smoothness(blocks))
     return "\n".join(b.text for b, k in zip(blocks, keep) if k)
 
 
@@ -280,9 +438,10 @@ RESULTS = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_
 
 def extracted(pages: DataFrame, carry: dict[str, Column], html: str = "html") -> DataFrame:
     """Columns `row` and `res`: text, n_chars."""
+    costs = weights()
 
     def run(arr: pa.Array) -> list[pa.Array]:
-        texts = [main_text(h) for h in arr.to_pylist()]
+        texts = [main_text(h, costs) for h in arr.to_pylist()]
         return [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
 
     return arrow_scan(pages, html, carry, RESULTS, run)

@@ -242,6 +242,65 @@ def test_main_text():
     assert mincut.main_text("<article>" + "<div>" * 3000 + "<p>Deep text that goes on for a while, to be content." + "</div>" * 10) != ""
 
 
+PARAGRAPH = "This is one full paragraph of the article, and it says something that a reader wants to know. It goes on."
+ARTICLE = "".join(f"<p>{PARAGRAPH} {i}</p>" for i in range(8))
+WHOLE = "\n".join(f"{PARAGRAPH} {i}" for i in range(8))
+LONE = [f"One sentence number {i} stands here alone." for i in range(24)]
+
+
+@pytest.mark.parametrize("html", [
+    f"<html><head><title>t</title></head><body><nav><a href=x>Home</a></nav><article>{ARTICLE}</article><footer>&copy; x</footer></body></html>",
+    f'<body class="post-template single with-sidebar"><article>{ARTICLE}</article></body>', f'<body class="has-sidebar cookie-ok"><nav><a href=x>Home</a></nav><article>{ARTICLE}</article></body>',
+    f"<html><head><title>t</title><meta charset=utf-8><body><article>{ARTICLE}</article>", f"<html><head><title>t</title><article>{ARTICLE}</article>",
+    f'<div class="page-with-sidebar"><div class="sidebar"><p>Some words here.</p></div>{ARTICLE}</div>', f'<div class="layout sidebar">{ARTICLE}</div>',
+    f'<article class="post-12 type-post tag-sponsor comments-open category-news">{ARTICLE}</article><div id="comments"><ol class="comment-list"><li><article class="comment-body"><p>{PARAGRAPH}</p></article></li></ol></div>',
+    f'<main>{ARTICLE}<form><label>Your mail</label><p>Sign up for the letter, it is free.</p></form></main><div class="comments"><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div>',
+    f'<article>{ARTICLE}</article><section id="reader-comments">' + f"<p>{PARAGRAPH}</p>" * 90 + "</section>",
+    f'<div role="alertdialog">We use cookies, please agree.</div><div class="content">{ARTICLE}</div><div class="footer-links"><a href=1>a</a> <a href=2>b</a></div>',
+    f"<div><a href=1>Home</a> <a href=2>News</a></div><div>{ARTICLE}</div><div><a href=1>Imprint</a></div><div>© 2020 Someone</div>",
+    f'<article>{ARTICLE}<div class="ad">Buy this thing now, it is good.</div><aside>Read this, too.</aside></article>',
+])
+def test_pages_of_other_layouts(html):
+    assert mincut.main_text(html) == WHOLE
+
+
+@pytest.mark.parametrize("n", [1, 8, 24])
+def test_pages_of_lone_sentences(n):
+    assert mincut.main_text("<body>" + "".join(f"<div>{x}</div>" for x in LONE[:n])) == "\n".join(LONE[:n])
+
+
+def test_classifier_on_pages_it_did_not_learn_from():
+    from corpusloom.llm import mincut_training
+
+    wrong = total = 0
+    for html in mincut_training.pages(150, seed=99):
+        blocks = mincut.blocks_of(html)
+        want = [b.text.startswith(mincut_training.MARK) for b in blocks]
+        for b in blocks:
+            b.text = b.text.replace(mincut_training.MARK, "").strip()
+        got = mincut.minimum_cut(mincut.evidence(mincut.Page(blocks), mincut.weights()), mincut.smoothness(blocks))
+        wrong, total = wrong + sum(a != b for a, b in zip(got, want)), total + len(want)
+    assert total > 2000 and wrong < total / 100
+
+
+def test_parsing_takes_linear_time():
+    import time
+
+    def seconds(n):
+        begun = time.process_time()
+        for html in ("<b>" * n + "x</p>" * n, "<i><div>" + "<b>" * n + "</i>" * n, "<p><body>" + "<b>" * n + "<hr>" * n, "<li>" + "<div>" * n + "<dt>x" * n):
+            mincut.blocks_of(html)
+        return time.process_time() - begun
+
+    seconds(500)
+    assert seconds(16_000) < 40 * max(seconds(1000), 0.005)
+
+
+def test_inline_ends_stay_in_their_block():
+    html = "<b><div>one<p>two</b> three</p></div><a href=x>li<div>nk</a> on</div>"
+    assert [(b.text, b.owner.tag) for b in mincut.blocks_of(html)][:3] == [("one", "div"), ("two three", "p"), ("li", "")]
+
+
 def test_minimum_cut_is_minimal():
     rng = random.Random(2)
     for _ in range(300):
