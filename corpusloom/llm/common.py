@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-BATCH_ROWS = 1000
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+#: Partitions whose vectors are added up in one task before all are.
+FAN = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,10 +30,12 @@ def fold(id_col: Column, k: int) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is named."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where both are one process."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = spark.conf.get("corpusloom.scratch", None)
     if own is None:
         own = f"file://{tempfile.mkdtemp(prefix='corpusloom-')}"
@@ -40,13 +44,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most `BATCH_ROWS` rows for what is planned from here on, unless the session asks for fewer.
+    """Arrow batches of at most `BATCH_ROWS` rows and `BATCH_BYTES`, or one longer row, for what runs from here on.
 
-    Spark's default of 10,000 whole texts a batch is tens of MB in the JVM and again in each Python worker.
+    Spark's default of 10,000 whole texts a batch is tens of MB in the JVM and again in each Python worker. A session that
+    asks for smaller batches keeps them. The settings are read when a plan runs, after an operator has returned, so they
+    stay set; they change no result.
     """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = str(spark.conf.get(key)).removesuffix("b")
+        if not (now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(key, str(most))
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -114,13 +121,12 @@ def string_offsets(arr: pa.Array) -> np.ndarray:
     return np.frombuffer(arr.buffers()[1], kind, len(arr) + 1 + arr.offset)[arr.offset :].astype(np.int64) if len(arr) else np.zeros(1, np.int64)
 
 
-def summed_by_key(df: DataFrame, dtype: str, spread: int = 16, add_up: np.ufunc = np.add) -> dict[int, np.ndarray]:
-    """Sums (or another reduction) of vectors `vec` (binary of `dtype`) by `slot`, in two rounds; the result is a fixed number of slots.
+def summed_by_key(df: DataFrame, dtype: str, add_up: np.ufunc = np.add) -> dict[int, np.ndarray]:
+    """Sums (or another reduction) of vectors `vec` (binary of `dtype`) by `slot`, as a tree: `FAN` partitions, then all.
 
-    `df` has columns slot int, vec binary. No task holds more than the vectors that one salt of one slot got,
-    and they are added one batch at a time.
+    `df` has columns slot int, vec binary; its slots are a fixed number. A vector's place in the tree follows from the
+    partition it came from, so a task that runs again deals it to the same place. Vectors are added one batch at a time.
     """
-
     bounded_batches(df.sparkSession)
 
     def add(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -136,8 +142,8 @@ def summed_by_key(df: DataFrame, dtype: str, spread: int = 16, add_up: np.ufunc
             yield pd.DataFrame({"slot": list(sums), "vec": [v.tobytes() for v in sums.values()]})
 
     schema = "slot int, vec binary"
-    once = df.repartition(spread, "slot", (F.rand(7) * 4).cast("int")).mapInPandas(add, schema)
-    return {r.slot: np.frombuffer(r.vec, dtype) for r in once.repartition(4, "slot").mapInPandas(add, schema).collect()}
+    near = df.withColumn("near", F.floor(F.spark_partition_id() / FAN)).repartition("slot", "near").select("slot", "vec").mapInPandas(add, schema)
+    return {r.slot: np.frombuffer(r.vec, dtype) for r in near.repartition("slot").mapInPandas(add, schema).collect()}
 
 
 def matrix_rows(m: np.ndarray, rows_per_slot: int) -> pd.DataFrame:

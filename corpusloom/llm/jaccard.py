@@ -102,7 +102,7 @@ def bloom_of(keys: DataFrame) -> np.ndarray:
         if bits.any():
             yield matrix_rows(np.packbits(bits).reshape(-1, 1), 1 << BLOOM - 7)
 
-    return stacked(summed_by_key(keys.coalesce(16).mapInPandas(run, "slot int, vec binary"), "u1", spread=8, add_up=np.bitwise_or), (-1,), "u1")
+    return stacked(summed_by_key(keys.coalesce(16).mapInPandas(run, "slot int, vec binary"), "u1", np.bitwise_or), (-1,), "u1")
 
 
 def linked_pairs(sets: list[np.ndarray], right: int, percent: int) -> list[tuple[int, int]]:

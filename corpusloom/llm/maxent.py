@@ -1,19 +1,22 @@
 """Language-model scoring: a hashed maximum-entropy model with a class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class). A class is one of the `SINGLES` commonest tokens, or one of
-`SUFFIXES` buckets of word endings. The class softmax is log-linear in hashed features of the history: the previous
-word, the previous two classes, and skips over one and two tokens. Within a bucket the softmax has biases only, whose
-maximum-likelihood solution with add-one smoothing is the count ratio (c + 1) / (N_class + V_class + 1), one share being
-that of unseen words; so the probabilities of all continuations sum to 1.
+P(word | history) = P(group | history) * P(class | group, history) * P(part | class, history) * P(word | part). A class is
+one of the `SINGLES` commonest tokens (which have no parts), or one of `ENDINGS` buckets of word endings; a group is
+sixteen classes, and a bucket has sixteen parts by a word's hash. Each of the three softmaxes over sixteen outcomes is
+log-linear in hashed features of the history together with what is chosen above: the previous word, the word before it
+(a skip) and the previous two classes; parts see the previous word only. The last factor has biases only, whose maximum-likelihood solution with
+add-one smoothing is the count ratio (c + 1) / (N_part + V_part + 1), one share being that of unseen words; so the
+probabilities of all continuations sum to 1.
 
 Counts are exact and cover all training texts. Training: each partition takes AdaGrad steps over minibatches of all its
-training texts, and the tables are averaged, weighted per feature by how often a partition saw it. Scoring: sparse
-numpy batches. Counts of the commonest words (at most 2^HEAD_BITS, all above one count) are broadcast with the feature
-table; the rest are joined by a shuffle, so no executor or driver ever holds the vocabulary.
+training texts, and the tables are averaged, weighted per feature by how often a partition saw it. The feature table grows
+with the vocabulary (`slot_bits`), from 2^14 to at most 2^MOST_BITS rows of sixteen weights. Scoring: sparse numpy batches.
+Counts of the commonest words (at most 2^HEAD_BITS, all above one count) are broadcast with the feature table; the rest are
+joined by a shuffle, so no executor or driver ever holds the vocabulary.
 
 Defined cases: a null text counts as empty and has one token, the end; with no training texts the base score is 0 and
-classes are equally likely. Rows with one doc_id and different texts are scored apart, and repeated rows repeatedly.
-Words are compared by 64-bit hashes.
+outcomes are equally likely. Rows with one doc_id and different texts are scored apart, and repeated rows repeatedly.
+Columns other than the id and the text are not read, whatever their names. Words are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -31,19 +34,26 @@ from pyspark.sql import types as T
 from corpusloom.llm.bytewords import SPACES, mixed, split
 from corpusloom.llm.common import arrow_scan, fold, matrix_rows, pieces, stacked, summed_by_key, table, written
 
-SINGLES, SUFFIXES = 32, 64
-CLASSES = SINGLES + SUFFIXES
-SLOTS = 14  # bits, over all four kinds of feature
+WAYS = 16  # outcomes of each softmax
+SINGLES, ENDINGS = 96, 160
+CLASSES = SINGLES + ENDINGS
+LEAST_BITS, MOST_BITS = 14, 17  # rows of the feature table, as a power of two
 HEAD_BITS = 18
-BATCH = 2048
-RATE = 0.15
+BATCH = 8192
+RATE = 0.45
+LARGEST = 15.0  # a weight's size
 END = np.uint64(0x51ED270B7F4A7C15)
 
 
+#: Bucket of each pair of last bytes: the group by the last byte, the place in it by both.
+_PAIR = np.arange(1 << 16, dtype=np.uint64)
+_ENDING = ((mixed((_PAIR & np.uint64(255)) + np.uint64(1)) >> np.uint64(32)) % np.uint64(ENDINGS // WAYS) * np.uint64(WAYS) + (mixed(_PAIR + np.uint64(1)) >> np.uint64(32)) % np.uint64(WAYS)).astype(np.int64)
+
+
 @dataclass
 class Tokens:
     h: np.ndarray  # hashes, each text's words and then END
-    suffix: np.ndarray  # bucket of the ending; of END 0
+    ending: np.ndarray  # bucket of the ending; of END 0
     place: np.ndarray  # place in the text, from 0
     first: np.ndarray  # bounds per text
 
@@ -53,16 +63,16 @@ def tokens(arr: pa.Array) -> Tokens:
     n = len(w.first) - 1
     first = w.first + np.arange(n + 1)
     h = np.empty(first[-1], np.uint64)
-    suffix = np.zeros(first[-1], np.int64)
+    ending = np.zeros(first[-1], np.int64)
     ends = first[1:] - 1
     word = np.ones(first[-1], bool)
     word[ends] = False
     h[ends] = END
     h[word] = w.hashes()
-    last = w.data[w.ends - 1].astype(np.uint64)
-    before = np.where(w.ends - w.starts > 1, w.data[np.maximum(w.ends - 2, 0)], 0).astype(np.uint64)
-    suffix[word] = (mixed((before << np.uint64(8) | last) + np.uint64(1)) >> np.uint64(32)).astype(np.int64) % SUFFIXES
-    return Tokens(h, suffix, np.arange(first[-1]) - np.repeat(first[:-1], np.diff(first)), first)
+    last = w.data[w.ends - 1]
+    before = np.where(w.ends - w.starts > 1, w.data[np.maximum(w.ends - 2, 0)], 0)
+    ending[word] = _ENDING[before.astype(np.int64) << 8 | last]
+    return Tokens(h, ending, np.arange(first[-1]) - np.repeat(first[:-1], np.diff(first)), first)
 
 
 class Head:
@@ -123,8 +133,8 @@ class Lexicon:
     hashes: np.ndarray
     counts: np.ndarray
     singles: np.ndarray  # hashes
-    mass: np.ndarray  # tokens of each class
-    kinds: np.ndarray  # words of each bucket
+    mass: np.ndarray  # tokens of each part (classes x 16); a single's are all in part 0
+    kinds: np.ndarray  # words of each part of a bucket
 
     def head(self) -> Head:
         if not hasattr(self, "_head"):
@@ -135,12 +145,22 @@ class Lexicon:
         return {k: v for k, v in self.__dict__.items() if k != "_head"}
 
     @property
-    def bias(self) -> np.ndarray:
-        return np.log((self.mass + 1) / (self.mass.sum() + CLASSES)).astype(np.float32)
+    def bits(self) -> int:
+        return slot_bits(self.types)
+
+    def biases(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log shares of groups (1 x 16), of classes in groups (16 x 16) and of parts in classes (256 x 16)."""
+        by_class = self.mass.sum(1).reshape(WAYS, WAYS)
+        return tuple(np.log((m + 1) / (m.sum(1, keepdims=True) + WAYS)).astype(np.float32) for m in (by_class.sum(1)[None], by_class, self.mass))
+
+
+def slot_bits(types: int) -> int:
+    """A row of the feature table for every sixteen different words, within bounds."""
+    return min(MOST_BITS, max(LEAST_BITS, int(types).bit_length() - 4))
 
 
 def vocabulary(train: DataFrame, text: str) -> DataFrame:
-    """All training tokens: h, suffix, c. Partitions count first, in bounded memory."""
+    """All training tokens: h, ending, c. Partitions count first, in bounded memory."""
 
     def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         h, s, c = (np.concatenate(x) for x in zip(*parts))
@@ -149,7 +169,7 @@ def vocabulary(train: DataFrame, text: str) -> DataFrame:
 
     def batches_of(h: np.ndarray, s: np.ndarray, c: np.ndarray) -> Iterator[pa.RecordBatch]:
         for i in range(0, len(h), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(h[i : i + 50_000].view(np.int64)), pa.array(s[i : i + 50_000].astype(np.int32)), pa.array(c[i : i + 50_000])], ["h", "suffix", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array(h[i : i + 50_000].view(np.int64)), pa.array(s[i : i + 50_000].astype(np.int32)), pa.array(c[i : i + 50_000])], ["h", "ending", "c"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -157,7 +177,7 @@ def vocabulary(train: DataFrame, text: str) -> DataFrame:
         for batch in batches:
             for part in pieces(batch, column=0):
                 t = tokens(part.column(0))
-                held.append(merged([(t.h, t.suffix, np.ones(len(t.h)))]))
+                held.append(merged([(t.h, t.ending, np.ones(len(t.h)))]))
                 size += len(held[-1][0])
                 if size > 3_000_000:
                     held = [merged(held)]
@@ -169,7 +189,7 @@ def vocabulary(train: DataFrame, text: str) -> DataFrame:
             yield from batches_of(*merged(held))
 
     src = train.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return written(src.mapInArrow(run, "h long, suffix int, c long").groupBy("h").agg(F.first("suffix").alias("suffix"), F.sum("c").alias("c")), "vocab")
+    return written(src.mapInArrow(run, "h long, ending int, c long").groupBy("h").agg(F.first("ending").alias("ending"), F.sum("c").alias("c")), "vocab")
 
 
 def lexicon(vocab: DataFrame) -> Lexicon:
@@ -181,25 +201,35 @@ def lexicon(vocab: DataFrame) -> Lexicon:
             break
         room, least = room - many, level
     end = int(END.astype(np.int64))
-    head = vocab.where((step >= (least if least is not None else 1 << 20)) | (F.col("h") == end)).select("h", "c", "suffix").toArrow()
+    head = vocab.where((step >= (least if least is not None else 1 << 20)) | (F.col("h") == end)).select("h", "c", "ending").toArrow()
     h, c, s = (head.column(i).to_numpy() for i in range(3))
     order = np.lexsort((h, -c))
     h, c, s = h[order].view(np.uint64), c[order], s[order]
     chosen = np.concatenate([np.flatnonzero(h == END), np.flatnonzero(h != END)[: SINGLES - 1]])
-    sums = {r[0]: (r[1], r[2]) for r in vocab.groupBy("suffix").agg(F.sum("c"), F.count("*")).collect()}
-    mass, kinds = np.zeros(CLASSES, np.int64), np.zeros(SUFFIXES, np.int64)
-    for k, (n, v) in sums.items():
-        mass[SINGLES + k], kinds[k] = n, v
+    mass, kinds = np.zeros((CLASSES, WAYS), np.int64), np.zeros((CLASSES, WAYS), np.int64)
+    total = types = 0
+    for k, part, n, v in vocab.groupBy("ending", F.shiftrightunsigned("h", 60).alias("part")).agg(F.sum("c"), F.count("*")).collect():
+        mass[SINGLES + k, part], kinds[SINGLES + k, part] = n, v
+        total, types = total + n, types + v
     for i, at in enumerate(chosen):
-        mass[i] = c[at]
-        mass[SINGLES + s[at]] -= c[at]
-        kinds[s[at]] -= 1
-    total, types = sum(n for n, _ in sums.values()), sum(v for _, v in sums.values())
+        mass[i, 0] = c[at]
+        mass[SINGLES + s[at], int(h[at] >> np.uint64(60))] -= c[at]
+        kinds[SINGLES + s[at], int(h[at] >> np.uint64(60))] -= 1
     return Lexicon(int(total), int(types), h, c, h[chosen], mass, kinds)
 
 
-def features(t: Tokens, cls: np.ndarray) -> np.ndarray:
-    """Slots of each token's features (tokens x 4); places before a text's start count as a value of their own."""
+@dataclass
+class Choices:
+    """One softmax over sixteen outcomes for some tokens: rows of the feature table, rows of the bias, outcomes."""
+
+    tokens: np.ndarray  # numbers of the tokens
+    slots: np.ndarray  # features x tokens
+    node: np.ndarray  # what is chosen above
+    outcome: np.ndarray
+
+
+def choices(t: Tokens, cls: np.ndarray, bits: int) -> list[Choices]:
+    """The three softmaxes of all tokens; places before a text's start count as a value of their own."""
     n = len(t.h)
 
     def back(x: np.ndarray, d: int) -> np.ndarray:
@@ -209,91 +239,116 @@ def features(t: Tokens, cls: np.ndarray) -> np.ndarray:
         return out
 
     c = (cls + 1).astype(np.uint64)
-    c1, c2, c3 = back(c, 1), back(c, 2), back(c, 3)
-    kinds = [back(t.h, 1), c1 << np.uint64(32) | c2, back(t.h, 2), c1 << np.uint64(32) | c3]
-    out = np.empty((n, 4), np.int32)
-    for k, x in enumerate(kinds):
-        out[:, k] = (mixed(x + np.uint64(0x632BE59BD9B4E019 * (k + 1) % 2**64)) >> np.uint64(64 - SLOTS + 2)).astype(np.int32) + (k << SLOTS - 2)
-    return out
+    c1, c2 = back(c, 1), back(c, 2)
+    history = [mixed(x + np.uint64(0x632BE59BD9B4E019 * (k + 1) % 2**64)) for k, x in enumerate((back(t.h, 1), back(t.h, 2), c1 << np.uint64(32) | c2))]
+
+    def slots(some: np.ndarray | slice, kinds: int, node: np.ndarray, level: int) -> np.ndarray:
+        above = mixed((node + (level << 32)).astype(np.uint64))
+        return np.stack([((history[k][some] ^ above) * np.uint64(0x9FB21C651E98DF25) >> np.uint64(64 - bits)).astype(np.int64) for k in range(kinds)])
+
+    every, bucket = np.arange(n), np.flatnonzero(cls >= SINGLES)
+    group, root = cls >> 4, np.zeros(n, np.int64)
+    return [
+        Choices(every, slots(slice(None), 3, root, 1), root, group), Choices(every, slots(slice(None), 3, group, 2), group, cls & 15),
+        Choices(bucket, slots(bucket, 1, cls[bucket], 3), cls[bucket], (t.h[bucket] >> np.uint64(60)).astype(np.int64)),
+    ]
 
 
 def classes(t: Tokens, lex: Lexicon) -> tuple[np.ndarray, np.ndarray]:
     """Class and count in the head (0: not there) of each token."""
     count, single = lex.head().find(t.h)
-    return np.where(single >= 0, single, SINGLES + t.suffix), count
+    return np.where(single >= 0, single, SINGLES + t.ending).astype(np.int64), count
+
+
+def exponentials(w: np.ndarray, bias: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of the logits and their sums. Weights within LARGEST and biases of at most 0 leave no room for overflow."""
+    z = bias
+    for one in slots:
+        z += np.take(w, one, axis=0)
+    np.exp(z, out=z)
+    return z, z @ np.ones(WAYS, np.float32)
 
 
-def log_probabilities(w: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
-    """Log softmax over classes for rows of features."""
-    z = w[f[:, 0]]
-    for k in range(1, f.shape[1]):
-        z += w[f[:, k]]
-    z += bias
-    z -= z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+def log_probabilities(w: np.ndarray, bias: np.ndarray, slots: np.ndarray, outcome: np.ndarray) -> np.ndarray:
+    """Log softmax at each row's outcome; `bias` is used up."""
+    e, total = exponentials(w, bias, slots)
+    return np.log(e[np.arange(len(e)), outcome] / total)
 
 
-def segment_sums(rows: np.ndarray, starts: np.ndarray, most: int = 5) -> np.ndarray:
-    """Sums of runs of rows: short runs are added up row by row for all runs at once, long ones by one sum each."""
+def segment_sums(rows: np.ndarray, starts: np.ndarray, halvings: int = 4) -> np.ndarray:
+    """Sums of runs of rows: neighbours within all runs are added at once, which halves the runs; then one sum a run."""
     size = np.diff(np.append(starts, len(rows)))
-    out = rows[starts]
-    open_, k = np.flatnonzero(size > 1), 1
-    while k < most and len(open_):
-        out[open_] += rows[starts[open_] + k]
-        k += 1
-        open_ = open_[size[open_] > k]
-    for i in open_:
-        out[i] += rows[starts[i] + k : starts[i] + size[i]].sum(0)
+    out = np.take(rows, starts, axis=0)
+    long = np.flatnonzero(size > 1)
+    if not len(long):
+        return out
+    size = size[long]
+    begin = np.cumsum(size) - size
+    rows = np.take(rows, np.repeat(starts[long] - begin, size) + np.arange(size.sum()), axis=0)
+    for _ in range(halvings):
+        half = size + 1 >> 1
+        place = np.cumsum(half) - half
+        left = np.repeat(begin - 2 * place, half) + 2 * np.arange(half.sum())
+        right = left + 1
+        right[(place + half - 1)[size & 1 == 1]] = len(rows)  # a run's last row without a neighbour: a row of zeros
+        rows = np.take(rows, left, axis=0) + np.take(np.concatenate([rows, np.zeros((1, rows.shape[1]), rows.dtype)]), right, axis=0)
+        size, begin = half, place
+    out[long] = np.add.reduceat(rows, begin, axis=0)
     return out
 
 
-def descend(w: np.ndarray, seen: np.ndarray, squares: np.ndarray, bias: np.ndarray, f: np.ndarray, cls: np.ndarray) -> None:
+def gradient(w: np.ndarray, bias: np.ndarray, slots: np.ndarray, outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of the table that a minibatch touches, how often, and the sums of the log loss's gradient for them; `bias` is used up."""
+    g, total = exponentials(w, bias, slots)
+    g /= total[:, None]
+    g[np.arange(len(g)), outcome] -= 1
+    flat = slots.ravel()
+    keys = np.sort(flat << 32 | np.arange(len(flat)))  # unique keys: sorting them is an argsort
+    rows = keys >> 32
+    starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    return rows[starts], np.diff(np.append(starts, len(rows))), segment_sums(np.take(g, (keys & 0xFFFFFFFF) % len(g), axis=0), starts)
+
+
+def descend(w: np.ndarray, seen: np.ndarray, squares: np.ndarray, bias: np.ndarray, slots: np.ndarray, outcome: np.ndarray) -> None:
     """One AdaGrad step on a minibatch, in place."""
-    g = w[f[:, 0]]
-    for k in range(1, f.shape[1]):
-        g += w[f[:, k]]
-    g += bias
-    g -= g.max(1, keepdims=True)
-    np.exp(g, out=g)
-    g /= g.sum(1, keepdims=True)
-    g[np.arange(len(f)), cls] -= 1
-    flat = f.ravel()
-    order = np.argsort(flat.astype(np.int16), kind="stable")  # slots fit: 16-bit keys are sorted by radix
-    slots = flat[order]
-    starts = np.flatnonzero(np.concatenate([[True], slots[1:] != slots[:-1]]))
-    sums = segment_sums(g[order // f.shape[1]], starts)
-    at, many = slots[starts], np.diff(np.append(starts, len(slots)))
-    sums /= np.sqrt(many)[:, None]
+    at, many, sums = gradient(w, bias, slots, outcome)
+    sums /= np.sqrt(many, dtype=np.float32)[:, None]
     seen[at] += many
     squares[at] += np.einsum("ij,ij->i", sums, sums) / 8
-    w[at] -= RATE * sums / np.sqrt(squares[at] + 1e-6)[:, None]
+    sums *= (RATE / np.sqrt(squares[at] + np.float32(1e-6)))[:, None]
+    w[at] = np.clip(np.take(w, at, axis=0) - sums, -LARGEST, LARGEST)
+
+
+def partition_table(texts: Iterator[pa.Array], lex: Lexicon) -> np.ndarray:
+    """The feature table that the texts train, and in a last column how often each row was seen."""
+    n = 1 << lex.bits
+    w, seen, squares = np.zeros((n, WAYS), np.float32), np.zeros(n, np.float32), np.zeros(n, np.float32)
+    biases = lex.biases()
+    for arr in texts:
+        t = tokens(arr)
+        cls, _ = classes(t, lex)
+        for bias, c in zip(biases, choices(t, cls, lex.bits)):
+            # interleave far-apart tokens: a batch of one text alone would pull too far
+            steps = max(1, -(-len(c.tokens) // BATCH))
+            for s in range(steps if len(c.tokens) else 0):
+                some = slice(s, None, steps)
+                descend(w, seen, squares, np.take(bias, c.node[some], axis=0), c.slots[:, some], c.outcome[some])
+    return np.concatenate([w, seen[:, None]], 1)
 
 
 def trained(train: DataFrame, text: str, lex: Lexicon) -> np.ndarray:
     sent = train.sparkSession.sparkContext.broadcast(lex)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lex = sent.value
-        w, seen, squares = np.zeros((1 << SLOTS, CLASSES), np.float32), np.zeros(1 << SLOTS, np.float32), np.zeros(1 << SLOTS, np.float32)
-        bias = lex.bias
-        for batch in batches:
-            for part in pieces(batch, 1 << 20, column=0):
-                t = tokens(part.column(0))
-                cls, _ = classes(t, lex)
-                f = features(t, cls)
-                # interleave far-apart tokens: a batch of one text alone would pull too far
-                order = np.argsort(np.arange(len(f)) % max(1, -(-len(f) // BATCH)), kind="stable")
-                for s in range(0, len(f), BATCH):
-                    some = order[s : s + BATCH]
-                    descend(w, seen, squares, bias, f[some], cls[some])
-        if seen.any():
-            out = np.concatenate([w * seen[:, None], seen[:, None]], 1)
-            yield from pa.Table.from_pandas(matrix_rows(out, 1 << SLOTS - 5), preserve_index=False).to_batches()
+        out = partition_table((part.column(0) for batch in batches for part in pieces(batch, 1 << 20, column=0)), sent.value)
+        if out[:, -1].any():
+            out[:, :-1] *= out[:, -1:]
+            yield from pa.Table.from_pandas(matrix_rows(out, 1 << 12), preserve_index=False).to_batches()
 
     src = train.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
-    sums = stacked(summed_by_key(src.mapInArrow(run, "slot int, vec binary"), "f4", spread=32), (-1, CLASSES + 1), "f4")
+    sums = stacked(summed_by_key(src.mapInArrow(run, "slot int, vec binary"), "f4"), (-1, WAYS + 1), "f4")
     if not len(sums):
-        return np.zeros((1 << SLOTS, CLASSES), np.float32)
+        return np.zeros((1 << lex.bits, WAYS), np.float32)
     return sums[:, :-1] / np.maximum(sums[:, -1:], 1)
 
 
@@ -320,17 +375,16 @@ def scored(docs: DataFrame, vocab: DataFrame, lex: Lexicon, w: np.ndarray, carry
         n = len(arr)
         doc = np.repeat(np.arange(n), np.diff(t.first))
         cls, count = classes(t, lex)
-        f, bias = features(t, cls), lex.bias
-        model = np.empty(len(t.h))
-        for s in range(0, len(f), 4 * BATCH):
-            some = slice(s, s + 4 * BATCH)
-            lp = log_probabilities(w, bias, f[some])
-            model[some] = lp[np.arange(len(lp)), cls[some]]
+        model = np.zeros(len(t.h))
+        for bias, c in zip(lex.biases(), choices(t, cls, lex.bits)):
+            for s in range(0, len(c.tokens), BATCH):
+                some = slice(s, s + BATCH)
+                model[c.tokens[some]] += log_probabilities(w, np.take(bias, c.node[some], axis=0), c.slots[:, some], c.outcome[some])
         model /= np.log(10)
-        size = np.log10(lex.mass[SINGLES:] + lex.kinds + 1)
+        size = np.log10(lex.mass + lex.kinds + 1)
         logs = np.log10(count + 1)
         bucket = cls >= SINGLES
-        model[bucket] += (logs[bucket] - size[cls[bucket] - SINGLES])
+        model[bucket] += logs[bucket] - size[cls[bucket], (t.h[bucket] >> np.uint64(60)).astype(np.int64)]
         rare = np.flatnonzero(count == 0)
         order = np.lexsort((t.h[rare], doc[rare]))
         rare = rare[order]

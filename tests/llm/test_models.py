@@ -81,13 +81,13 @@ def test_quality(spark, corpus):
     docs, labels, _, truth = corpus
     stats = quality.stats_table(docs, {"doc_id": F.col("doc_id")})
     model = quality.learned(stats, labels)
-    got = {r.doc_id: r for r in quality.scored(stats, model).collect()}
+    got = {r.row.doc_id: r.res for r in quality.scored(stats, model).collect()}
     held = [i for i in truth if crc(i, 3) == 1]
     assert auc([(got[i].score, truth[i][0]) for i in held]) > 0.98
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got.values())
-    odd = quality.stats_table(documents(spark), {"doc_id": F.col("doc_id"), "score": F.col("score")}).drop("score")
-    assert quality.scored(odd, model).where("score between 0 and 1").count() == 12
-    assert {r.score for r in quality.scored(odd, quality.learned(odd, labels.limit(0))).collect()} == {0.5}
+    odd = quality.stats_table(documents(spark), {c: F.col(c) for c in documents(spark).columns})
+    assert quality.scored(odd, model).where("res.score between 0 and 1 and row.score = 's' and row.row = 'x'").count() == 12
+    assert {r.res.score for r in quality.scored(odd, quality.learned(odd, labels.limit(0))).collect()} == {0.5}
     assert quality.scored(odd.limit(0), model).count() == 0
 
 
@@ -162,14 +162,54 @@ def test_continuations_sum_to_one(spark, corpus):
     vocab = maxent.vocabulary(docs, "text")
     lex = maxent.lexicon(vocab)
     table = vocab.toPandas()
-    cls = np.array([int(np.flatnonzero(lex.singles == np.uint64(h % 2**64))[0]) if np.uint64(h % 2**64) in lex.singles else maxent.SINGLES + s for h, s in zip(table.h, table.suffix)])
-    inside = np.where(cls < maxent.SINGLES, 1.0, (table.c + 1) / (lex.mass[cls] + np.append(np.zeros(maxent.SINGLES), lex.kinds)[cls] + 1))
-    sums = np.bincount(cls, inside, minlength=maxent.CLASSES)
-    unseen = np.where(np.arange(maxent.CLASSES) < maxent.SINGLES, 0, 1 / (lex.mass + np.append(np.zeros(maxent.SINGLES), lex.kinds) + 1))
-    present = np.arange(maxent.CLASSES) >= maxent.SINGLES
-    assert np.allclose((sums + unseen)[present], 1) and np.all(sums[~present][: len(lex.singles)] == 1)
-    f = np.random.default_rng(0).integers(0, 1 << maxent.SLOTS, (5, 4))
-    assert np.allclose(np.exp(maxent.log_probabilities(np.zeros((1 << maxent.SLOTS, maxent.CLASSES), np.float32), lex.bias, f)).sum(1), 1, atol=1e-5)
+    cls = np.array([int(np.flatnonzero(lex.singles == np.uint64(h % 2**64))[0]) if np.uint64(h % 2**64) in lex.singles else maxent.SINGLES + e for h, e in zip(table.h, table.ending)])
+    part = np.array([np.uint64(h % 2**64) >> np.uint64(60) for h in table.h]).astype(int)
+    size = lex.mass + lex.kinds + 1
+    bucket = cls >= maxent.SINGLES
+    sums = np.bincount((cls * maxent.WAYS + part)[bucket], ((table.c + 1) / size[cls, part])[bucket], minlength=size.size).reshape(size.shape)
+    assert np.allclose((sums + 1 / size)[maxent.SINGLES :], 1) and sorted(cls[~bucket]) == list(range(len(lex.singles)))
+    assert lex.mass.sum() == table.c.sum() and lex.total == table.c.sum() and lex.types == len(table)
+    w = np.random.default_rng(0).normal(0, 1, (1 << lex.bits, maxent.WAYS)).astype("f4")
+    for bias in lex.biases():
+        assert np.allclose(np.exp(bias).sum(1), 1, atol=1e-5)
+        slots = np.random.default_rng(1).integers(0, len(w), (3, maxent.WAYS))
+        every = [maxent.log_probabilities(w, np.repeat(bias[:1], maxent.WAYS, 0), np.repeat(slots[:, :1], maxent.WAYS, 1), np.arange(maxent.WAYS))]
+        assert np.allclose(np.exp(every).sum(), 1, atol=1e-5)
+
+
+def test_gradient_of_a_minibatch():
+    """Sums of the gradient for each row of the table against differences of the log loss."""
+    rng = np.random.default_rng(2)
+    w, bias = rng.normal(0, 1, (12, maxent.WAYS)), np.log(rng.dirichlet(np.ones(maxent.WAYS), 40))
+    slots, outcome = rng.integers(0, 12, (3, 40)), rng.integers(0, maxent.WAYS, 40)
+    w, bias = w.astype("f4"), bias.astype("f4")
+
+    def loss(w):
+        z = bias.astype("f8") + sum(w[s] for s in slots)
+        return (np.log(np.exp(z).sum(1)) - z[np.arange(40), outcome]).sum()
+
+    at, many, sums = maxent.gradient(w, bias.copy(), slots, outcome)
+    assert list(at) == sorted(set(slots.ravel())) and list(many) == [int((slots == i).sum()) for i in at]
+    for i, row in zip(at, sums):
+        for k in range(maxent.WAYS):
+            up, down = w.astype("f8"), w.astype("f8")
+            up[i, k] += 1e-5
+            down[i, k] -= 1e-5
+            assert abs((loss(up) - loss(down)) / 2e-5 - row[k]) < 1e-3
+    before = loss(w.astype("f8"))
+    maxent.descend(w, np.zeros(12, "f4"), np.ones(12, "f4"), bias.copy(), slots, outcome)
+    assert loss(w.astype("f8")) < before
+
+
+@pytest.mark.parametrize("n", [1, 2, 50, 3000])
+def test_segment_sums(n):
+    rng = np.random.default_rng(n)
+    rows, starts = rng.random((n, 16)), np.unique(np.append(0, rng.integers(0, n, max(1, n // 3))))
+    assert np.allclose(maxent.segment_sums(rows, starts), np.add.reduceat(rows, starts, axis=0))
+
+
+def test_the_feature_table_grows_with_the_vocabulary():
+    assert [maxent.slot_bits(n) for n in (0, 1000, 1 << 18, 1 << 19, 1 << 30)] == [14, 14, 15, 16, 17]
 
 
 def test_language_model_without_training(spark):
