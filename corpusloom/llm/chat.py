@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.common import table
+from corpusloom.llm.common import bounded_batches, table
 
 
 @dataclass(frozen=True)
@@ -140,6 +140,7 @@ class _State:
 
 def read_back(segs: DataFrame, template: Template = CHAT) -> DataFrame:
     """One row per conversation, read from its formatted turns in order."""
+    bounded_batches(segs.sparkSession)
     schema = T._parse_datatype_string(RESULTS)
     kinds = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("valid", pa.bool_()), ("problem", pa.string())])
 

@@ -126,7 +126,8 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     languages, each = sorted(counts), max(20, sample // len(counts))
     draw = F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(1 << 30)) / float(1 << 30)
     share = F.create_map(*[c for k in languages for c in (F.lit(k), F.lit(min(1.0, each / counts[k])))])
-    drawn = rows.where(draw < share[F.col(lang).cast("string")]).limit(2 * max(sample, 20 * len(languages)))
+    # repeated rows are drawn together: one of them is enough, and the sample stays bounded
+    drawn = rows.where(draw < share[F.col(lang).cast("string")]).dropDuplicates([key, text, lang])
     kind = T.StructType([T.StructField("x", T.BinaryType())])
 
     def run(arr: pa.Array) -> list[pa.Array]:
@@ -134,7 +135,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
 
     got = arrow_scan(drawn, text, {"lang": F.col(lang).cast("string")}, kind, run).select("row.lang", "res.x").toArrow()
     if not got.num_rows:  # a draw can be empty where a language has a handful of rows
-        got = arrow_scan(rows.limit(sample), text, {"lang": F.col(lang).cast("string")}, kind, run).select("row.lang", "res.x").toArrow()
+        got = arrow_scan(rows.orderBy(draw, key, text).limit(sample), text, {"lang": F.col(lang).cast("string")}, kind, run).select("row.lang", "res.x").toArrow()
     y = np.array([languages.index(v) for v in got.column("lang").to_pylist()])
     x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float16).reshape(len(y), DIM).astype(np.float32)
     order = np.lexsort((x @ np.arange(DIM, dtype=np.float32), y))  # rows come in any order: fix it

@@ -5,8 +5,8 @@ Matroska file into packets, and `packet_table` gives a DataFrame of media one ro
 byte range, lacing. Each file is handled alone, so memory is that of one file and any lost task can run again.
 
 Defined cases: null text counts as empty; an empty text has a payload of 64 zero bytes; null media has no packets;
-media that cannot be parsed yields one row with `error` set. Repeated rows give repeated results; columns other
-than those named are not read.
+media that cannot be parsed, or whose numbers fit no column, yields one row with `error` set. A cue that points to no packet
+is counted as lost. Repeated rows give repeated results; columns other than those named are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.bytewords import raw_bytes
-from corpusloom.llm.common import arrow_scan, table
+from corpusloom.llm.common import arrow_scan, bounded_batches, table
 
 # Element ids of the Matroska specification (RFC 9559).
 EBML, EBML_VERSION, EBML_READ_VERSION, EBML_MAX_ID, EBML_MAX_SIZE = 0x1A45DFA3, 0x4286, 0x42F7, 0x42F2, 0x42F3
@@ -122,6 +122,8 @@ class Packet:
     size: int
     keyframe: bool
     lacing: str
+    cluster: int  # number of its cluster, from 0
+    cued: bool = False  # a cue points to its block, or to its cluster and it is the first of its track there
 
 
 @dataclass
@@ -129,8 +131,9 @@ class Media:
     doc_type: str = "matroska"
     tracks: dict[int, dict] = field(default_factory=dict)
     packets: list[Packet] = field(default_factory=list)
-    cues: list[tuple[int, int, int]] = field(default_factory=list)  # time in ns, track, cluster position in the segment
-    clusters: list[int] = field(default_factory=list)  # positions in the segment
+    cues: list[tuple[int, int, int, int | None]] = field(default_factory=list)  # time in ns, track, cluster position in the segment, block position in the cluster
+    clusters: list[int] = field(default_factory=list)  # positions of the cluster elements in the segment
+    lost_cues: int = 0  # cues that point to no packet
     duration_ns: int = 0
 
 
@@ -154,6 +157,11 @@ _ABOVE = {SEGMENT: {EBML, SEGMENT}, CLUSTER: {EBML, SEGMENT, CLUSTER, CUES, TRAC
 
 def _elements(d: bytes, at: int, end: int) -> Iterator[tuple[int, int, int]]:
     """Id, start and end of the body of each element."""
+    return ((ident, body, stop) for _, ident, body, stop in _placed(d, at, end))
+
+
+def _placed(d: bytes, at: int, end: int) -> Iterator[tuple[int, int, int, int]]:
+    """Start, id, start and end of the body of each element."""
     while at < end:
         ident, body = _read_vint(d, at, True)
         size, body = _read_vint(d, body)
@@ -165,7 +173,7 @@ def _elements(d: bytes, at: int, end: int) -> Iterator[tuple[int, int, int]]:
             stop = body + size
         if stop > end:
             raise ValueError(f"element {ident:#x} passes its parent's end")
-        yield ident, body, stop
+        yield at, ident, body, stop
         at = stop
 
 
@@ -222,8 +230,34 @@ _LACING = ("none", "xiph", "fixed", "ebml")
 
 
 def demux(d: bytes) -> Media:
-    """Packets, tracks and cues of a Matroska file. ValueError where it is malformed."""
+    """Packets, tracks and cues of a Matroska file. ValueError where it is malformed, or where a number fits no column."""
+    try:
+        m = _demuxed(d)
+    except (LookupError, OverflowError, struct.error) as e:
+        raise ValueError(f"malformed media: {e!r}") from e
+    if any(not 0 <= p.track < 1 << 31 or abs(p.timestamp_ns) >= 1 << 63 for p in m.packets) or not 0 <= m.duration_ns < 1 << 63:
+        raise ValueError("a track number, timestamp or duration is out of range")
+    return m
+
+
+def _resolve(m: Media, blocks: dict[tuple[int, int], int]) -> None:
+    """Marks the packets that cues point to. `blocks`: number of the first packet by cluster and block position."""
+    number = {at: k for k, at in enumerate(m.clusters)}
+    first: dict[tuple[int, int], int] = {}
+    for i, p in enumerate(m.packets):
+        first.setdefault((p.cluster, p.track), i)
+    for _, track, cluster, block in m.cues:
+        k = number.get(cluster, -1)
+        at = first.get((k, track)) if block is None else blocks.get((k, block))
+        if at is None or m.packets[at].track != track:
+            m.lost_cues += 1
+        else:
+            m.packets[at].cued = True
+
+
+def _demuxed(d: bytes) -> Media:
     m = Media()
+    blocks: dict[tuple[int, int], int] = {}
     scale = 1_000_000
     top = list(_elements(d, 0, len(d)))
     if not top or top[0][0] != EBML:
@@ -234,7 +268,7 @@ def demux(d: bytes) -> Media:
     for ident, seg_a, seg_b in top[1:]:
         if ident != SEGMENT:
             continue
-        for ident, a, b in _elements(d, seg_a, seg_b):
+        for start, ident, a, b in _placed(d, seg_a, seg_b):
             if ident == INFO:
                 info = {i: (x, y) for i, x, y in _elements(d, a, b)}
                 scale = _number(d, *info[TIMESTAMP_SCALE]) if TIMESTAMP_SCALE in info else scale
@@ -252,9 +286,11 @@ def demux(d: bytes) -> Media:
                             "bits": _number(d, *audio[BIT_DEPTH]) if BIT_DEPTH in audio else 0,
                         }
             elif ident == CLUSTER:
-                m.clusters.append(a - seg_a)
+                m.clusters.append(start - seg_a)
                 base = 0
-                for i, x, y in _elements(d, a, b):
+                for place, i, x, y in _placed(d, a, b):
+                    if i in (SIMPLE_BLOCK, BLOCK_GROUP):
+                        blocks[len(m.clusters) - 1, place - a] = len(m.packets)
                     if i == TIMESTAMP:
                         base = _number(d, x, y)
                     elif i == SIMPLE_BLOCK:
@@ -270,7 +306,8 @@ def demux(d: bytes) -> Media:
                     point = {j: (p, q) for j, p, q in _elements(d, x, y)}
                     if CUE_TIME in point and CUE_TRACK_POSITIONS in point:
                         pos = {j: _number(d, p, q) for j, p, q in _elements(d, *point[CUE_TRACK_POSITIONS])}
-                        m.cues.append((_number(d, *point[CUE_TIME]) * scale, pos.get(CUE_TRACK, 0), pos.get(CUE_CLUSTER_POSITION, 0)))
+                        m.cues.append((_number(d, *point[CUE_TIME]) * scale, pos.get(CUE_TRACK, 0), pos.get(CUE_CLUSTER_POSITION, 0), pos.get(CUE_RELATIVE_POSITION)))
+    _resolve(m, blocks)
     return m
 
 
@@ -283,7 +320,7 @@ def _packets(d: bytes, at: int, end: int, base: int, scale: int, m: Media, key:
     sizes, at = _laces(d, at + 3, end, kind)
     step = m.tracks.get(track, {}).get("packet_ns", 0)
     for i, size in enumerate(sizes):
-        m.packets.append(Packet(track, (base + rel) * scale + i * step, at, size, bool(flags & 0x80) if key is None else key, _LACING[kind]))
+        m.packets.append(Packet(track, (base + rel) * scale + i * step, at, size, bool(flags & 0x80) if key is None else key, _LACING[kind], len(m.clusters) - 1))
         at += size
 
 
@@ -297,22 +334,24 @@ PACKETS = T.ArrayType(
     T.StructType([
         T.StructField("track", T.IntegerType()), T.StructField("timestamp_ns", T.LongType()), T.StructField("start", T.LongType()),
         T.StructField("size", T.LongType()), T.StructField("keyframe", T.BooleanType()), T.StructField("lacing", T.StringType()),
+        T.StructField("cluster", T.IntegerType()), T.StructField("cued", T.BooleanType()),
     ])
 )
 
 
 def packet_table(df: DataFrame, media: str = "media", id_col: str = "doc_id") -> DataFrame:
-    """One row per packet of each file: `id_col`, packet_no, track, timestamp_ns, start, size, keyframe, lacing, error."""
+    """One row per packet of each file: `id_col`, packet_no, track, timestamp_ns, start, size, keyframe, lacing, cluster, cued, error."""
+    bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("track", pa.int32()), ("timestamp_ns", pa.int64()), ("start", pa.int64()), ("size", pa.int64()), ("keyframe", pa.bool_()), ("lacing", pa.string())]))
+        kind = pa.list_(pa.struct([("track", pa.int32()), ("timestamp_ns", pa.int64()), ("start", pa.int64()), ("size", pa.int64()), ("keyframe", pa.bool_()), ("lacing", pa.string()), ("cluster", pa.int32()), ("cued", pa.bool_())]))
         for batch in batches:
             found, errors = [], []
             for blob in batch.column(1).to_pylist():
                 try:
                     found.append([vars(p) for p in demux(blob).packets] if blob is not None else [])
                     errors.append(None)
-                except (ValueError, IndexError, struct.error) as e:
+                except ValueError as e:
                     found.append([{}])
                     errors.append(str(e))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind), pa.array(errors, pa.string())], ["row", "packets", "error"])
@@ -336,7 +375,7 @@ def feature(payload: bytes, m: Media) -> str:
     crossings = int(np.count_nonzero((x[1:] > 96) != (x[:-1] > 96)))
     lacing = "+".join(sorted({p.lacing for p in m.packets}))
     last = m.packets[-1]
-    return f"t{len(m.tracks)};p{len(m.packets)};c{len(m.clusters)};q{len(m.cues)};{lacing};end{last.timestamp_ns // 1_000_000}+{last.size};sum{level};cross{crossings}"
+    return f"t{len(m.tracks)};p{len(m.packets)};c{len(m.clusters)};q{len(m.cues) - m.lost_cues};{lacing};end{last.timestamp_ns // 1_000_000}+{last.size};sum{level};cross{crossings}"
 
 
 def stored(df: DataFrame, text: str, carry: dict, keep_media: bool = True) -> DataFrame:

@@ -9,7 +9,7 @@ calibration. Only sums of fixed size reach the driver.
 
 Defined cases: null text counts as empty, an empty text has all statistics 0 and gets a score like any other; with
 no labelled rows every score is 0.5; documents labelled more than once count with the mean label; null labels are
-ignored. Repeated rows give repeated results.
+ignored. Repeated rows give repeated results. What is carried stays in a struct, so its names cannot clash.
 """
 
 from __future__ import annotations
@@ -115,14 +115,15 @@ def _statistics(arr: pa.Array) -> np.ndarray:
     return np.concatenate([np.sqrt(counts / some), rest], 1).astype(np.float32)
 
 
-def stats_table(docs: DataFrame, carry: dict, text: str = "text") -> DataFrame:
-    """Columns of `carry` and `x`, a text's statistics as 32-bit floats; written once and read by every pass."""
+def stats_table(docs: DataFrame, carry: dict, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """Columns `row` (a struct of `carry`), `key` and `x`, a text's statistics as 32-bit floats; written once and read by every pass."""
     kind = T.StructType([T.StructField("x", T.BinaryType())])
 
     def run(arr: pa.Array) -> list[pa.Array]:
         return [pa.array([r.tobytes() for r in statistics(arr)], pa.binary())]
 
-    return written(arrow_scan(docs, text, carry, kind, run).select("row.*", "res.x"), "stats")
+    both = {"row": F.struct(*[c.alias(n) for n, c in carry.items()]), "key": F.col(key)}
+    return written(arrow_scan(docs, text, both, kind, run).select("row.row", "row.key", "res.x"), "stats")
 
 
 def _rows(x: pd.Series) -> np.ndarray:
@@ -219,31 +220,32 @@ def trained(rows: DataFrame) -> Model:
 
 
 def label_rows(labels: DataFrame, name: str, key: str = "doc_id") -> DataFrame:
-    """One row per labelled document: key, y."""
+    """One row per labelled document: label_id, y."""
     return labels.where(F.col(name).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("label_id")).agg(F.avg(F.col(name).cast("double")).alias("y"))
 
 
 def learned(stats: DataFrame, labels: DataFrame) -> Model:
     """Learns from labelled documents outside the held-out fold (remainder 1); remainder 0 fits, 2 calibrates."""
-    train = stats.where(fold(F.col("doc_id"), 3) != 1)
-    return trained(train.join(label_rows(labels, "quality"), F.col("doc_id") == F.col("label_id")).select("x", "y", fold(F.col("doc_id"), 3).alias("part")))
+    train = stats.where(fold(F.col("key"), 3) != 1).select("key", "x")
+    rows = train.join(label_rows(labels, "quality"), F.col("key") == F.col("label_id")).select("x", "y", fold(F.col("key"), 3).cast("int").alias("part"))
+    return trained(written(rows, "labelled"))
 
 
 def scored(stats: DataFrame, model: Model) -> DataFrame:
-    """`stats` without x, with score and predicted."""
-    keep = [f for f in stats.schema if f.name != "x"]
-    schema = T.StructType([*keep, T.StructField("score", T.DoubleType())])
+    """Columns `row` and `res`: score and predicted, of a table that `stats_table` made."""
+    results = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    schema = T.StructType([stats.schema["row"], T.StructField("res", results)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.frombuffer(b"".join(b.column("x").to_pylist()), np.float32).reshape(b.num_rows, STATS).astype(np.float64)
-            score = np.concatenate([model.score(x[s : s + 4096]) for s in range(0, len(x), 4096)]) if len(x) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*[b.column(f.name) for f in keep], pa.array(np.clip(score, 0, 1))], [f.name for f in keep] + ["score"])
+            x = np.frombuffer(b"".join(b.column(1).to_pylist()), np.float32).reshape(b.num_rows, STATS).astype(np.float64)
+            score = np.clip(np.concatenate([model.score(x[s : s + 4096]) for s in range(0, len(x), 4096)]) if len(x) else np.zeros(0), 0, 1)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.StructArray.from_arrays([pa.array(score), pa.array((score >= 0.5).astype(np.int32))], results.names)], ["row", "res"])
 
-    return stats.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return stats.select("row", "x").mapInArrow(run, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     stats = stats_table(docs, {"doc_id": F.col("doc_id")})
-    return scored(stats, learned(stats, labels)).select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+    return scored(stats, learned(stats, labels)).select("row.doc_id", (fold(F.col("row.doc_id"), 3) == 1).alias("held_out"), "res.*")

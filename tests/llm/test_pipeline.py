@@ -1,6 +1,7 @@
 """The pipeline's stages against what each must decide, on planted documents."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,6 +83,41 @@ def test_empty_documents(spark, planted):
         assert docs.count() == 0
 
 
+CLASHES = ["x", "y", "key", "row", "res", "score", "label_id", "predicted", "kept", "mark", "nth", "node", "id", "n", "keys", "near_mark", "component_id", "part", "held_out"]
+
+
+def test_extra_columns_come_back_as_they_were(spark, planted):
+    """Whatever extra columns are called, and whatever they hold, each stage keeps them with their row."""
+    sf_dir, rows, _, _ = planted
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    extra = [F.concat(F.lit(name + " "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(name) for name in CLASHES]
+    docs = docs.select("*", *extra, F.create_map(F.lit("a"), F.col("doc_id")).alias("a map"))
+    for name, stage in pipeline.STAGES:
+        found = pipeline.written(stage(spark, docs, sf_dir), name)
+        if name == "bpe":
+            break
+        assert found.columns == docs.columns
+        got = found.collect()
+        assert got and all(r[c] == f"{c} {r.doc_id}" for r in got for c in CLASHES) and all(r["a map"] == {"a": r.doc_id} for r in got)
+        docs = found
+
+
+def test_odd_rows_in_every_stage(spark, planted):
+    """Nulls in any column, long texts, ties and repeated rows: a text is decided alike wherever it stands."""
+    sf_dir, rows, _, _ = planted
+    long = sentence(random.Random(77), "en", 30_000)
+    odd = [(None, rows[1][1], None, None, None), (5, long, "en", None, 1), (5, long, "en", None, 1), (6, long, "en", "a", 1), (None, None, None, None, None), (7, "", "", "", 0), (None, rows[1][1], None, None, None)]
+    docs = spark.createDataFrame(rows[:200] + odd, "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in pipeline.STAGES[:-1]:
+        before, after = Counter(tuple(r) for r in docs.collect()), Counter(tuple(r) for r in stage(spark, docs, sf_dir).collect())
+        assert after and not after - before
+        if name == "near_duplicates":
+            texts = {r[1] for r in after}
+            assert max(after.values()) == 1 and len(texts) > 100 and {r[0] for r in after if r[1] == long} == ({5} if any(r[1] == long for r in before) else set())
+        else:  # repeated rows share a fate, and so do equal texts
+            assert all(n == before[r] for r, n in after.items()) and {t for _, t, *_ in after}.isdisjoint({r[1] for r in before - after})
+
+
 def test_near_duplicates_by_five_words_and_four_fifths(spark):
     rng = random.Random(58)
     rows = []
