@@ -6,6 +6,10 @@ writes what a stage returns as Parquet in the shared folder and reads it as the
 Rejected: documents without a letter or in no learned language (language ID), documents predicted to be of low quality
 (quality classifier), all but the document of least id of each group of near copies (n-gram Jaccard join), documents
 that share a window with a benchmark item (decontamination). What is left is encoded (BPE).
+
+Defined cases, for every stage: null and empty texts are texts without words; null ids are ids like any other; repeated rows
+are decided alike (near copies keep one of them); an empty table gives an empty table; extra columns of any name are carried
+along in a struct and come back as they were.
 """
 
 from __future__ import annotations
@@ -25,34 +29,36 @@ WORDS, PERCENT = 5, 80
 
 
 def _carried(docs: DataFrame) -> dict:
-    return {c: F.col(f"`{c}`") for c in docs.columns}
+    return {c: F.col("`" + c.replace("`", "``") + "`") for c in docs.columns}
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; those without text or letters go."""
+    """Documents in a learned language; those without text or letters go, whatever their id."""
     found = langid.predicted(docs, langid.learned(docs), _carried(docs))
     return found.where("res.lang_pred <> 'und'").select("row.*")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose calibrated quality is at least one half."""
+    """Documents whose calibrated quality is at least one half; an empty or null text is scored like any other."""
     stats = quality.stats_table(docs, _carried(docs))
-    kept = quality.scored(stats, quality.learned(stats, table(spark, sf_dir, "labels"))).where("predicted = 1")
-    return kept.select(*docs.columns)
+    return quality.scored(stats, quality.learned(stats, table(spark, sf_dir, "labels"))).where("res.predicted = 1").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, by 5-word sets of similarity 0.8 or more: the one of least id.
 
     Documents are told apart by id and text, so a null id or one id with several texts loses none. Null ids count as the
-    greatest; among equal ids the least hash decides. Of rows with one id and one text the least source stays.
+    greatest; among equal ids the least hash decides. Of rows with one id and one text the one of least source stays, and
+    among those that of the least hash of the whole row. Documents without words are near copies of nothing.
     """
     mark = F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text")
-    kept = jaccard.representatives(docs, mark, k=WORDS, percent=PERCENT)
-    rows = docs.withColumn("near_mark", mark).join(kept.select(F.col("mark").alias("near_mark")), "near_mark", "left_semi")
-    first = Window.partitionBy("near_mark", "doc_id", "text").orderBy("source")
-    return rows.withColumn("nth_copy", F.row_number().over(first)).where("nth_copy = 1").select(*docs.columns)
-
+    kept = jaccard.representatives(docs, mark, k=WORDS, percent=PERCENT).select(F.col("mark").alias("kept"))
+    hashable = [c for c, f in zip(_carried(docs).values(), docs.schema) if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
+    order = F.struct(F.col("source").alias("source"), F.xxhash64(*hashable).alias("hash"))
+    rows = docs.select(F.struct(*_carried(docs).values()).alias("row"), mark.alias("mark"), order.alias("nth"))
+    # repeated rows meet as partial minima, so a text with a third of all rows is one row a partition
+    first = rows.groupBy("mark").agg(F.min_by("row", "nth").alias("row"))
+    return first.join(kept, first["mark"] == kept["kept"], "left_semi").select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
