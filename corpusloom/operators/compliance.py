@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions import text as t
 
@@ -78,15 +79,50 @@ def domain_stats(results: DataFrame, domain: str, ok: Column, quality: Column, t
     return results.groupBy(domain).agg(F.count("*").alias("processed"), F.count_if(ok).alias("successful"), F.avg(F.when(ok, quality)).alias("avg_quality"), F.max(ts).alias("last_seen"))
 
 
-def within_budget(df: DataFrame, size: Column, order: list[str], budget: int, shards: int = 64) -> DataFrame:
-    """Rows in order while the total of all before them is under the budget.
+def within_budget(df: DataFrame, size: Column, order: list[str], budget: float, splits: int = 64, few: int = 100_000) -> DataFrame:
+    """Rows in order while the total of all before them is under the budget; sizes are not negative, a null one counts as 0.
 
-    The running total is taken in shards by range of the first key, with the totals of earlier shards added, so no one
-    task sorts all rows.
+    The key at which the budget runs out is found by splitting the key range: each round takes bounds from the rows of
+    least hash, sums sizes between them (two passes without a sort) and goes on within the one range that spans the budget.
+    All rows before that range pass by a plain filter; only the rows of the last range, `few` or those that share one key,
+    are summed one by one. Bounds are values, so the same row falls into the same range in every pass. Nulls sort first.
     """
-    ranged = df.withColumn("_size", size).repartitionByRange(shards, *order).withColumn("_shard", F.spark_partition_id())
-    totals = ranged.groupBy("_shard").agg(F.sum("_size").alias("_total"))
-    before = totals.select("_shard", (F.sum("_total").over(Window.orderBy("_shard")) - F.col("_total")).alias("_before"))  # one row per shard
-    own = Window.partitionBy("_shard").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    out = ranged.join(F.broadcast(before), "_shard").withColumn("_so_far", F.col("_before") + F.coalesce(F.sum("_size").over(own), F.lit(0)))
-    return out.where(F.col("_so_far") < budget).drop("_size", "_shard", "_before", "_so_far")
+    whole = isinstance(df.select(size.alias("size")).schema["size"].dataType, T.IntegralType)
+    key = F.struct(*order)
+    kinds = [df.schema[c].dataType for c in order]
+    rows = df.select(F.struct("*").alias("row"), key.alias("key"), F.coalesce(size.cast("decimal(38,0)" if whole else "double"), F.lit(0)).alias("size"))
+
+    def value(bound) -> Column:
+        return F.struct(*[F.lit(v).cast(k).alias(c) for v, k, c in zip(bound, kinds, order)])
+
+    low = high = None  # rows up to low pass, rows beyond high do not
+    before = 0
+    while True:
+        part = rows
+        if low is not None:
+            part = part.where(F.col("key") > value(low))
+        if high is not None:
+            part = part.where(F.col("key") <= value(high))
+        found = part.select("key").orderBy(F.xxhash64("key"), "key").limit(16 * splits).select("key").orderBy("key").collect()
+        bounds = list(dict.fromkeys(tuple(r.key) for r in found[15::16]))
+        bounds = [b for b in bounds if b != high]
+        if not bounds:
+            break
+        shard = F.size(F.filter(F.array(*map(value, bounds)), lambda b: b < F.col("key")))
+        sums = {r[0]: (int(r[1]) if whole else r[1], r[2]) for r in part.groupBy(shard.alias("shard")).agg(F.sum("size"), F.count("*")).collect()}
+        at = 0
+        while at < len(bounds) and before + sums.get(at, (0, 0))[0] < budget:
+            before += sums.get(at, (0, 0))[0]
+            at += 1
+        low, high = (bounds[at - 1] if at else low), (bounds[at] if at < len(bounds) else high)
+        if sums.get(at, (0, 0))[1] <= few:
+            break
+    last = rows
+    if low is not None:
+        last = last.where(F.col("key") > value(low))
+    if high is not None:
+        last = last.where(F.col("key") <= value(high))
+    earlier = Window.orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    last = last.withColumn("so_far", F.coalesce(F.sum("size").over(earlier), F.lit(0))).where(F.col("so_far") < F.lit(budget - before)).select("row.*")
+    return last if low is None else rows.where(F.col("key") <= value(low)).select("row.*").unionByName(last)
+

@@ -1,20 +1,23 @@
 """A small query language over documents, compiled to DataFrame transformations.
 
     SELECT FROM documents|authors|sources|attribution
-      [WHERE condition] [ORDER BY field [ASC|DESC]] [LIMIT n]
+      [WHERE condition] [ORDER BY field [ASC|DESC]] [LIMIT n|ALL]
 
 A condition combines predicates with AND, OR, NOT and brackets; a predicate is `field op value` with = != > < >= <= ~,
 `field [NOT] EXISTS`, `field [NOT] IN (a, b)` or `field BETWEEN a AND b`. Fields are columns of the view or keys of the
-metadata map. Comparisons take the field's type; a value that cannot be read as that type matches nothing. A missing
+metadata map. Comparisons take the field's type, and a number makes a text field a number; a value that cannot be read as that
+type matches nothing. Within quotes a backslash keeps the next character as it is. A missing
 field equals nothing and differs from everything. Words of the language may name fields. Sorting comes before LIMIT
 (100 unless given), with the id or group as the last key, and anything left over is an error.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -37,7 +40,7 @@ class Token:
 
 
 _TOKEN = re.compile(
-    r"""(?P<space>[ \t\n]+)|(?P<string>"(?:\\.|[^"\\])*"|'(?:\\.|[^'\\])*')|(?P<number>\d[\d.]*)|(?P<word>[A-Za-z_][\w.]*)|(?P<op>!=|>=|<=|[=<>~(),])""",
+    r"""(?P<space>[ \t\n]+)|(?P<string>"(?:\\.|[^"\\])*"|'(?:\\.|[^'\\])*')|(?P<number>-?\d[\d.]*)|(?P<word>[A-Za-z_][\w.]*)|(?P<op>!=|>=|<=|[=<>~(),])""",
     re.S | re.A,
 )
 
@@ -73,7 +76,7 @@ class Query:
     where: Predicate | Group | None = None
     order_by: str | None = None
     descending: bool = False
-    limit: int = LIMIT
+    limit: int | None = LIMIT  # None: all rows
 
 
 class _Parser:
@@ -120,13 +123,18 @@ class _Parser:
             order = self.name()
             down = self.word("desc") or (self.word("asc") and False)
         if self.word("limit"):
+            if self.word("all"):
+                return self.finished(Query(kind, where, order, down, None))
             if self.next.kind != "number" or not re.fullmatch(r"\d+(\.0*)?", self.next.text):
                 raise QueryError(f"expected a whole number at {self.next.at}")
             limit = int(float(self.next.text))
             self.at += 1
+        return self.finished(Query(kind, where, order, down, limit))
+
+    def finished(self, query: Query) -> Query:
         if self.next.kind != "end":
             raise QueryError(f"unexpected {self.next.text!r} at {self.next.at}")
-        return Query(kind, where, order, down, limit)
+        return query
 
     def any_of(self):
         parts = [self.all_of()]
@@ -182,10 +190,10 @@ class _Parser:
             raise QueryError(f"expected a value at {t.at}")
         self.at += 1
         if t.kind == "string":
-            return t.text[1:-1]
+            return re.sub(r"\\(.)", r"\1", t.text[1:-1], flags=re.S)
         if t.kind == "number":
             try:
-                return float(t.text)
+                return float(t.text) if "." in t.text else int(t.text)
             except ValueError:
                 raise QueryError(f"no number: {t.text} at {t.at}") from None
         return {"true": True, "false": False}.get(t.text.lower(), t.text)
@@ -195,24 +203,62 @@ def parse(text: str) -> Query:
     return _Parser(text).query()
 
 
+def shown(value: object) -> str:
+    """A literal as text that reads back as the same value."""
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, str):
+        return '"' + value.replace("\\", "\\\\").replace('"', '\\"') + '"'
+    if not math.isfinite(value):
+        raise QueryError(f"no literal: {value}")
+    text = format(Decimal(repr(value)), "f")
+    return text if isinstance(value, int) or "." in text else text + ".0"
+
+
+def rendered(node: Predicate | Group) -> str:
+    """A condition as text."""
+    if isinstance(node, Group):
+        parts = [f"({rendered(p)})" if isinstance(p, Group) or node.op == "not" else rendered(p) for p in node.parts]
+        return f"NOT {parts[0]}" if node.op == "not" else f" {node.op.upper()} ".join(parts)
+    if node.op in ("in", "not in"):
+        return f"{node.field} {node.op.upper()} ({', '.join(map(shown, node.values))})"
+    if node.op == "between":
+        return f"{node.field} BETWEEN {shown(node.values[0])} AND {shown(node.values[1])}"
+    return " ".join([node.field, node.op.upper(), *map(shown, node.values)])
+
+
 @dataclass
 class Builder:
-    """Builds a query step by step: `Builder("documents").where("title", "~", "x").order_by("title").limit(5)`."""
+    """Builds a query step by step: `Builder("documents").where("title", "~", "x").order_by("title").limit(5)`.
+
+    `where` takes any number of values: one for a comparison, two for "between", a list's for "in", none for "exists".
+    """
 
     kind: str = "documents"
-    filters: list[Predicate] = field(default_factory=list)
+    filters: list[Predicate | Group] = field(default_factory=list)
     order: tuple[str, bool] | None = None
-    most: int = LIMIT
+    most: int | None = LIMIT
 
-    def where(self, name: str, op: str, value: object) -> Builder:
-        self.filters.append(Predicate(name, op, (value,)))
+    def where(self, name: str, op: str, *values: object) -> Builder:
+        self.filters.append(Predicate(name, op.lower(), values))
+        return self
+
+    def any_of(self, *choices: tuple) -> Builder:
+        """At least one of some conditions, each given as `where` takes it."""
+        parts = tuple(Predicate(name, op.lower(), tuple(values)) for name, op, *values in choices)
+        self.filters.append(parts[0] if len(parts) == 1 else Group("or", parts))
+        return self
+
+    def none_of(self, *choices: tuple) -> Builder:
+        self.any_of(*choices)
+        self.filters.append(Group("not", (self.filters.pop(),)))
         return self
 
     def order_by(self, name: str, descending: bool = False) -> Builder:
         self.order = (name, descending)
         return self
 
-    def limit(self, n: int) -> Builder:
+    def limit(self, n: int | None) -> Builder:
         self.most = n
         return self
 
@@ -221,15 +267,13 @@ class Builder:
         return Query(self.kind, where, *(self.order or (None, False)), self.most)
 
     def text(self) -> str:
-        def shown(v: object) -> str:
-            return str(v).lower() if isinstance(v, bool) else f'"{v}"' if isinstance(v, str) else f"{v:g}"
-
-        out = f"SELECT FROM {self.kind}"
-        if self.filters:
-            out += " WHERE " + " AND ".join(f"{p.field} {p.op} {shown(p.values[0])}" for p in self.filters)
-        if self.order:
-            out += f" ORDER BY {self.order[0]} {'DESC' if self.order[1] else 'ASC'}"
-        return out + (f" LIMIT {self.most}" if self.most > 0 else "")
+        q = self.query()
+        out = f"SELECT FROM {q.kind}"
+        if q.where is not None:
+            out += f" WHERE {rendered(q.where)}"
+        if q.order_by:
+            out += f" ORDER BY {q.order_by} {'DESC' if q.descending else 'ASC'}"
+        return out + (" LIMIT ALL" if q.limit is None else f" LIMIT {q.limit}" if q.limit > 0 else "")
 
 
 #: Canned queries.
@@ -294,15 +338,22 @@ class Views:
         return grouped, [F.desc("document_count"), F.col("source")]
 
 
-def _typed(value: object, kind: T.DataType) -> Column:
-    """A literal read as the field's type; null where it cannot be."""
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.try_to_timestamp(F.lit(str(value))) if isinstance(value, str) else F.lit(None).cast("timestamp")
+def _sides(f: Column, value: object, kind: T.DataType) -> tuple[Column, Column]:
+    """The field and a literal in one type, the same for all comparisons; the literal is null where it cannot be read so.
+
+    A number makes a text field a number. Elsewhere the field stays bare and the literal is read as its type.
+    """
+    number = isinstance(value, (int, float)) and not isinstance(value, bool)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return f, F.try_to_timestamp(F.lit(value)) if isinstance(value, str) else F.lit(None).cast("timestamp")
     if isinstance(kind, T.NumericType):
-        return F.lit(str(value)).try_cast("double") if not isinstance(value, bool) else F.lit(None).cast("double")
+        return f, F.lit(value) if number else F.lit(value).try_cast("double") if isinstance(value, str) else F.lit(None).cast("double")
     if isinstance(kind, T.BooleanType):
-        return F.lit(value) if isinstance(value, bool) else F.lit(None).cast("boolean")
-    return F.lit(value) if isinstance(value, str) else F.lit(str(value).lower() if isinstance(value, bool) else f"{value:g}")
+        return f, F.lit(value) if isinstance(value, bool) else F.lit(None).cast("boolean")
+    if number:
+        whole = isinstance(value, int) and abs(value) < 1 << 63
+        return (f.try_cast("decimal(38,10)"), F.lit(value).cast("decimal(38,10)")) if whole else (f.try_cast("double"), F.lit(float(value)))
+    return f, F.lit(str(value).lower() if isinstance(value, bool) else value)
 
 
 def condition(node: Predicate | Group | None, df: DataFrame, resolve: Callable[[str], Column]) -> Column:
@@ -319,20 +370,20 @@ def condition(node: Predicate | Group | None, df: DataFrame, resolve: Callable[[
         return present if node.op == "exists" else ~present
     if isinstance(kind, (T.ArrayType, T.MapType)):
         return F.lit(False)
-    values = [_typed(v, kind) for v in node.values]
+    if node.op == "~":
+        v = node.values[0]
+        return F.contains(F.lower(f), F.lower(F.lit(v if isinstance(v, str) else shown(v)))) if isinstance(kind, T.StringType) else F.lit(False)
+    pairs = [_sides(f, v, kind) for v in node.values]
     if node.op in ("in", "not in"):
-        same = reduce(lambda a, b: a | b, [f == v for v in values])
+        same = reduce(lambda a, b: a | b, [a == b for a, b in pairs])
         return same if node.op == "in" else ~F.coalesce(same, F.lit(False))
     if node.op == "between":
-        return (f >= values[0]) & (f <= values[1])
-    v = values[0]
-    if node.op == "~":
-        return F.contains(F.lower(f), F.lower(v)) if isinstance(kind, T.StringType) else F.lit(False)
+        (a, low), (b, high) = pairs
+        return (a >= low) & (b <= high)
+    a, b = pairs[0]
     if node.op == "!=":
-        return F.coalesce(f != v, F.lit(True))
-    if isinstance(kind, T.StringType) and node.op != "=" and isinstance(node.values[0], float):
-        f, v = f.try_cast("double"), F.lit(node.values[0])  # numbers in metadata compare as numbers
-    return {"=": f == v, ">": f > v, "<": f < v, ">=": f >= v, "<=": f <= v}[node.op]
+        return F.coalesce(a != b, F.lit(True))
+    return {"=": a == b, ">": a > b, "<": a < b, ">=": a >= b, "<=": a <= b}[node.op]
 
 
 def plan(query: Query | str, views: Views) -> DataFrame:
@@ -347,4 +398,5 @@ def plan(query: Query | str, views: Views) -> DataFrame:
         f = F.coalesce(f, F.lit("")) if isinstance(df.select(f).schema[0].dataType, T.StringType) else f
         last = F.col("id") if q.kind == "documents" else natural[-1]
         order = [f.desc() if q.descending else f.asc(), last]
-    return df.orderBy(*order).limit(q.limit)
+    ordered = df.orderBy(*order)
+    return ordered if q.limit is None else ordered.limit(q.limit)

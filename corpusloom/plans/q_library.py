@@ -19,21 +19,27 @@ def _gql(text: str, *columns: str):
     return run
 
 
-def _docs(where: str, order: str = "id", limit: int = 100) -> str:
-    return f"WITH {LIBRARY} SELECT {', '.join(DOC)} FROM library WHERE {where} ORDER BY {order} LIMIT {limit}"
+def _docs(where: str, order: str = "id", limit: int | None = None) -> str:
+    return f"WITH {LIBRARY} SELECT {', '.join(DOC)} FROM library WHERE {where} ORDER BY {order}" + ("" if limit is None else f" LIMIT {limit}")
+
+
+_WORDS = r"len(list_filter(regexp_split_to_array(text, '[\t\n\f\r ]+'), lambda x: x <> ''))"
 
 
 _CASES = {
     "gql_documents_topk": ('SELECT FROM documents WHERE title ~ "the" AND language = "en" ORDER BY created_at DESC LIMIT 20', _docs("lower(title) LIKE '%the%' AND language = 'en'", "created_at DESC, id", 20)),
-    "gql_contains": ('SELECT FROM documents WHERE title ~ "ER"', _docs("lower(title) LIKE '%er%'")),
-    "gql_and_filters": ('SELECT FROM documents WHERE source = "src1" AND author = "Author 1"', _docs("source = 'src1' AND coalesce(author, authors) = 'Author 1'")),
-    "gql_not_equals": ('SELECT FROM documents WHERE quality_tier != "high" LIMIT 400', _docs("quality_tier IS NULL OR quality_tier <> 'high'", limit=400)),
-    "gql_exists": ("SELECT FROM documents WHERE attribution exists AND quality_tier exists LIMIT 500", _docs("attribution IS NOT NULL AND quality_tier IS NOT NULL", limit=500)),
-    "gql_not_exists": ("SELECT FROM documents WHERE attribution not exists", _docs("attribution IS NULL")),
-    "gql_created_range": ('SELECT FROM documents WHERE created_at > "2024-01-01T02:00:00" AND created_at <= "2024-01-01T05:30:00" ORDER BY created_at', _docs("created_at > TIMESTAMP '2024-01-01 02:00:00' AND created_at <= TIMESTAMP '2024-01-01 05:30:00'", "created_at, id")),
+    "gql_contains": ('SELECT FROM documents WHERE title ~ "ER" LIMIT ALL', _docs("lower(title) LIKE '%er%'")),
+    "gql_and_filters": ('SELECT FROM documents WHERE source = "src1" AND author = "Author 1" LIMIT ALL', _docs("source = 'src1' AND coalesce(author, authors) = 'Author 1'")),
+    "gql_not_equals": ('SELECT FROM documents WHERE quality_tier != "high" LIMIT ALL', _docs("quality_tier IS NULL OR quality_tier <> 'high'")),
+    "gql_exists": ("SELECT FROM documents WHERE attribution exists AND quality_tier exists LIMIT ALL", _docs("attribution IS NOT NULL AND quality_tier IS NOT NULL")),
+    "gql_not_exists": ("SELECT FROM documents WHERE attribution not exists LIMIT ALL", _docs("attribution IS NULL")),
+    "gql_created_range": ('SELECT FROM documents WHERE created_at > "2024-01-01T02:00:00" AND created_at <= "2024-01-01T05:30:00" ORDER BY created_at LIMIT ALL', _docs("created_at > TIMESTAMP '2024-01-01 02:00:00' AND created_at <= TIMESTAMP '2024-01-01 05:30:00'", "created_at, id")),
     "gql_or": ('SELECT FROM documents WHERE (language = "fr" OR language = "de") AND source in ("src1", "src2", "src3") ORDER BY title DESC LIMIT 50', _docs("language IN ('fr', 'de') AND source IN ('src1', 'src2', 'src3')", "coalesce(title, '') DESC, id", 50)),
-    "gql_between": ("SELECT FROM documents WHERE doc_id between 100 and 160 AND not (language = 'en')", _docs("doc_id BETWEEN 100 AND 160 AND language <> 'en'")),
-    "gql_metadata_number": ("SELECT FROM documents WHERE words > 900 ORDER BY id LIMIT 60", _docs(r"len(list_filter(regexp_split_to_array(text, '[\t\n\f\r ]+'), lambda x: x <> '')) > 900", "id", 60)),
+    "gql_between": ("SELECT FROM documents WHERE created_at between '2024-01-01T01:00:00' and '2030-01-01T00:00:00' AND not (language = 'en') LIMIT ALL", _docs("created_at BETWEEN TIMESTAMP '2024-01-01 01:00:00' AND TIMESTAMP '2030-01-01' AND coalesce(language <> 'en', true)")),
+    "gql_metadata_number": ("SELECT FROM documents WHERE words > 900 ORDER BY id LIMIT ALL", _docs(f"{_WORDS} > 900")),
+    "gql_number_between": ("SELECT FROM documents WHERE words between 100 and 999.5 LIMIT ALL", _docs(f"{_WORDS} BETWEEN 100 AND 999")),
+    "gql_number_in": ("SELECT FROM documents WHERE words in (1, 50, 120, 1000, 1234567) OR words = 77 LIMIT ALL", _docs(f"{_WORDS} IN (1, 50, 77, 120, 1000)")),
+    "gql_number_differs": ("SELECT FROM documents WHERE words != 100 AND words not in (50.0, 1234567) LIMIT ALL", _docs(f"coalesce({_WORDS} NOT IN (50, 100), true)")),
     "gql_order_metadata": ("SELECT FROM documents WHERE quality_tier exists ORDER BY attribution DESC LIMIT 30", _docs("quality_tier IS NOT NULL", "coalesce(attribution, '') DESC, id", 30)),
     "gql_limit_zero": ("SELECT FROM documents LIMIT 0", _docs("true", limit=0)),
 }

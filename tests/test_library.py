@@ -71,6 +71,25 @@ def test_builder():
     assert gql.parse(b.text()).order_by == b.query().order_by and all(gql.parse(q) for q in gql.EXAMPLES.values())
 
 
+def test_builder_text_reads_back():
+    values = ['a "b" c', "it's", "back\\slash \\", "", "x\ny", True, False, 0, -7, 1234567, 12345678901234567, 0.1, -2.5, 1e20, 1e-7, 1234567.0]
+    for v in values:
+        b = gql.Builder("documents").where("n", "!=", v).any_of(("a.b", "in", v, "z"), ("c", "exists")).none_of(("d", "between", v, v)).where("e", "not exists").limit(None)
+        assert gql.parse(b.text()) == b.query(), b.text()
+    with pytest.raises(gql.QueryError):
+        gql.Builder().where("n", "=", float("nan")).text()
+
+
+@pytest.mark.parametrize("text, want", [
+    ("n = 1234567", ["a"]), ("n != 1234567", ["b", "c", "d", "e"]), ("n in (1234567, 9.0)", ["a", "b"]), ("n between 5 and 200", ["b", "c"]), ("n not in (9)", ["a", "c", "d", "e"]), ("n > 1234566", ["a"]),
+    ("n < -1", []), ('n = "1234567"', ["a"]), ("m = 100", ["b"]), ("m between 99.5 and 100.5", ["b"]), ("m != 100", ["a", "c", "d", "e"]), ('n between "1" and "2"', ["a", "c"]), ("big = 9007199254740993", ["a"]),
+])
+def test_numbers_compare_alike(spark, text, want):
+    rows = [("a", "1234567", 1, 9007199254740993), ("b", "9", 100, 9007199254740992), ("c", "100", 7, 1), ("d", "word", None, 2), ("e", None, None, None)]
+    lib = spark.createDataFrame(rows, "id string, n string, m long, big long").select("id", "m", "big", F.create_map(F.lit("n"), F.col("n")).alias("metadata"))
+    assert ids(gql.plan(f"SELECT FROM documents WHERE {text}", gql.Views(lib, "x"))) == want
+
+
 def test_top_k_and_pushdown(spark, tmp_path, views):
     path = str(tmp_path / "lib")
     views.library.write.parquet(path)
@@ -169,6 +188,28 @@ def test_budget_over_many_shards(spark):
     assert sorted(ids(compliance.within_budget(df, F.col("n"), ["id"], 500))) == want
 
 
+def test_budget_with_carried_columns(spark):
+    """300,000 rows over several partitions; the exact prefix, whatever is carried and whatever the columns are called."""
+    rows = spark.range(0, 300_000, numPartitions=7).select(
+        F.pmod(F.xxhash64("id"), F.lit(1_000_003)).alias("key"), "id", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(60)).alias("size"), F.col("id").cast("string").alias("row"), F.lit("x").alias("so_far")
+    )
+    listed = rows.select("key", "id", "size").toPandas().sort_values(["key", "id"], kind="stable")
+    before = listed["size"].cumsum() - listed["size"]
+    for budget in (0, 1, 4_000_000, 10**9):
+        got = compliance.within_budget(rows, F.col("size"), ["key", "id"], budget, few=5000)
+        assert got.columns == rows.columns and sorted(r.id for r in got.select("id").collect()) == sorted(listed["id"][before < budget])
+    real = compliance.within_budget(rows, F.col("size") / 2, ["key", "id"], 1_000_000.25, splits=4, few=1000)
+    assert real.count() == int((before / 2 < 1_000_000.25).sum())
+    assert compliance.within_budget(rows.limit(0), F.col("size"), ["key"], 5).count() == 0
+
+
+def test_budget_with_nulls_and_equal_keys(spark):
+    rows = spark.createDataFrame([(None, None, 4), ("a", 1, None), ("a", 1, 2), ("a", 1, 2), ("b", None, 5), ("c", 0, 9)] * 40, "k string, n int, size int")
+    got = compliance.within_budget(rows, F.col("size"), ["k", "n"], 170, splits=2, few=3)
+    assert got.groupBy("k").count().where("k is null").first()["count"] == 40 and got.agg(F.sum("size")).first()[0] in (170, 172) and got.where("k > 'a'").count() == 0
+    assert compliance.within_budget(rows, F.col("size"), ["k", "n"], 10**6).count() == 240
+
+
 def test_vectors(spark):
     a, b = vectors.embedding("Some text, some more."), vectors.embedding("Some text, some more.")
     assert len(a) == 384 and abs(float((a * a).sum()) - 1) < 1e-3 and (a == b).all() and vectors.embedding("") is None
