@@ -74,14 +74,24 @@ def basic_metrics(c: Column) -> dict[str, Column]:
     }
 
 
+def claim_pairs(c: Column) -> Column:
+    """Sentences with a digit or a claim phrase, as structs of `claim` and, lower-cased once, `low`."""
+    both = F.transform(F.transform(t.sentences(c), t.trim), lambda s: F.struct(s.alias("claim"), F.lower(s).alias("low")))
+    return F.filter(both, lambda s: F.regexp_like(s["claim"], F.lit("[0-9]")) | t.has_any(s["low"], CLAIM_PHRASES))
+
+
 def claims(c: Column) -> Column:
     """Sentences with a digit or a claim phrase."""
-    return F.filter(F.transform(t.sentences(c), t.trim), lambda s: F.regexp_like(s, F.lit("[0-9]")) | t.has_any(F.lower(s), CLAIM_PHRASES))
+    return F.transform(claim_pairs(c), lambda s: s["claim"])
 
 
 def fact_check(claim: Column, domain: str | None = None) -> dict[str, Column]:
     """confidence, verified, explanation and sources of a claim."""
-    low = F.lower(claim)
+    return checked(F.lower(claim), domain)
+
+
+def checked(low: Column, domain: str | None = None) -> dict[str, Column]:
+    """What `fact_check` says of a claim that is in lower case already."""
     confidence, verified, explanation = (F.lit(x) for x in NO_CHECK)
     sources = []
     for terms, conf, ok, why, source in CHECKS:
@@ -184,7 +194,7 @@ def assess(df: DataFrame, text: str = "text", metadata: str = "metadata", domain
     out = df.withColumns(basic_metrics(c))
     out = readability.scores(readability.counts(out, text)).withColumnRenamed("overall", "readability")
     out = out.withColumn("error", gate(F.col("word_count"), F.col("sentence_count")))
-    out = out.withColumn("_checked", F.transform(claims(c), lambda x: fact_check(x, domain)["confidence"]))
+    out = out.withColumn("_checked", F.transform(claim_pairs(c), lambda x: checked(x["low"], domain)["confidence"]))
     facts = F.try_divide(F.aggregate("_checked", F.lit(0.0), lambda a, x: a + x), F.size("_checked").cast("double"))
     fluency = t.clamp((F.col("readability") - 40.0) / 50.0 + 0.5)
     out = out.withColumns({

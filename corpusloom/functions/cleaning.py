@@ -51,10 +51,6 @@ def decode_all(c: pd.Series) -> pd.Series:
     return c.map(html.unescape, na_action="ignore")
 
 
-def drop_tags(c: Column, decode: Callable[[Column], Column] = decode_basic) -> Column:
-    return t.collapse(decode(F.regexp_replace(c, "<[^>]*>", " ")))
-
-
 # Patterns of what the rules replace.
 URL_TAIL = r"""[^\t\n\f\r <>"{}|\\^`\[\]]+"""
 URLS = ("https?://" + URL_TAIL, r"www\." + URL_TAIL, "ftp://" + URL_TAIL)
@@ -62,17 +58,28 @@ EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 PRECISE = r"\b(\d+\.\d{2})\d{2,}\b"
 MARKS = r"([!?.,:;]{3})[!?.,:;]+"
 QUOTES, PLAIN = "“”‘’", "\"\"''"
+#: Control characters but tab, line feed and carriage return.
+CONTROLS = "".join(chr(c) for c in (*range(0x20), *range(0x7F, 0xA0)) if chr(c) not in "\t\n\r")
 MOJIBAKE = (("â€™", "'"), ("â€œ", '"'), ("â€", '"'), ("Â ", " "), ("Â", ""))
 
 
+def where_present(c: Column, mark: str, change: Callable[[Column], Column]) -> Column:
+    """The change where the text has the mark without which it does nothing: a cheap test before a pattern."""
+    return F.when(t.has(c, mark), change(c)).otherwise(c)
+
+
+def drop_tags(c: Column, decode: Callable[[Column], Column] = decode_basic) -> Column:
+    return t.collapse(decode(where_present(c, "<", lambda x: F.regexp_replace(x, "<[^>]*>", " "))))
+
+
 def mask_urls(c: Column) -> Column:
-    for pattern in URLS:
-        c = F.regexp_replace(c, pattern, "[URL]")
+    for pattern, mark in zip(URLS, ("://", "www.", "ftp://")):
+        c = where_present(c, mark, lambda x, pattern=pattern: F.regexp_replace(x, pattern, "[URL]"))
     return c
 
 
 def mask_emails(c: Column) -> Column:
-    return F.regexp_replace(c, EMAIL, "[EMAIL]")
+    return where_present(c, "@", lambda x: F.regexp_replace(x, EMAIL, "[EMAIL]"))
 
 
 def shorten_numbers(c: Column) -> Column:

@@ -15,9 +15,13 @@ def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: The characters of the Unicode property White_Space.
+UNICODE_SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def trim(c: Column) -> Column:
     """Without Unicode white space at either end."""
-    return F.regexp_replace(c, r"^\p{IsWhite_Space}+|\p{IsWhite_Space}+$", "")
+    return F.btrim(c, F.lit(UNICODE_SPACES))
 
 
 def collapse(c: Column) -> Column:

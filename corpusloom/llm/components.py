@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import written
 
 
+def _least(e: DataFrame) -> DataFrame:
+    """Rows a, b of `e` with m, the least b of each a: minima are formed before the shuffle, and a hot a can be split in the join."""
+    return e.join(e.groupBy("a").agg(F.min("b").alias("m")), "a")
+
+
 def _large_star(e: DataFrame) -> DataFrame:
     """Each node links its larger neighbours to the least of its neighbourhood."""
-    both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = F.least("a", F.min("b").over(Window.partitionBy("a")))
-    return both.select("a", "b", least.alias("m")).where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    both = _least(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    return both.select("a", "b", F.least("a", "m").alias("m")).where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     """Each node links itself and its smaller neighbours to the least of them."""
-    down = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    near = down.select("a", "b", F.min("b").over(Window.partitionBy("a")).alias("m"))
+    near = _least(e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     return (
         near.select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         .select("e.*").where("a <> b").distinct()

@@ -5,8 +5,10 @@ from the labels of the training fold. A linear classifier over hashed words and
 class-prior-corrected logistic risk, and where the corrected risk of the negatives falls below zero it steps back
 instead (Kiryo et al., 2017), so it cannot profit from fitting unlabelled positives as negatives.
 
-The classifier is fitted on bounded samples: at most `POSITIVES` confirmed and `UNLABELLED` other documents, drawn by a
-hash of the id, and on the `SELECTED` hashed features that best tell the two apart. Only their ids are broadcast.
+Confirmed examples are a bounded sample, at most `POSITIVES`, drawn by a hash of the id. The unlabelled side is all training
+texts: sums over all partitions choose the `SELECTED` hashed features that best tell confirmed texts from the rest, and the
+risk is minimised over shares of some `SHARE` texts, which together hold every text; the classifier is the mean of their
+solutions. Only the confirmed texts' features are broadcast.
 
 Defined cases: null text counts as empty; an empty text has no features and scores by the bias alone; with no
 positive label every score is the prior (0 without labels). Null labels are ignored. Repeated rows give repeated results.
@@ -14,6 +16,7 @@ positive label every score is the prior (0 without labels). Null labels are igno
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,12 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.bytewords import NON_ALNUM, Words, split
-from corpusloom.llm.common import arrow_scan, fold, table
+from corpusloom.llm.common import arrow_scan, fold, matrix_rows, pieces, stacked, summed_by_key, table
 
 BITS = 18
-POSITIVES = 2500
-UNLABELLED = 5000
-SELECTED = 512
+POSITIVES = 2500  # confirmed texts to learn from, at most: a bounded sample of labelled rows
+SELECTED = 512  # size of the model
+SHARE = 50_000  # unlabelled texts that are solved for at once; all are used
 #: Word beginnings of these many bytes are features too.
 HEADS = (5, 6, 7, 8, 9)
 #: A feature's value is log(1 + DENSE * occurrences / (words + SHORT)).
@@ -82,58 +85,135 @@ class Model:
 Rows = list[tuple[np.ndarray, np.ndarray]]
 
 
-def selected(pos: Rows, unl: Rows) -> np.ndarray:
+def moments(rows: Rows) -> np.ndarray:
+    """Number of texts with each feature, and sums of its values and of their squares (features x 3)."""
+    f, v = (np.concatenate([r[k] for r in rows]) if rows else np.zeros(0, np.int64) for k in (0, 1))
+    return np.stack([np.bincount(f, x, minlength=1 << BITS) for x in (np.ones(len(f)), v, v * v)], 1)
+
+
+def selected(pos: np.ndarray, n_pos: int, unl: np.ndarray, n_unl: float) -> np.ndarray:
     """Features whose mean among positives most exceeds that among the unlabelled, by z-score of the difference."""
 
-    def moments(rows: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        f, v = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
-        n = max(len(rows), 2)
-        mean = np.bincount(f, v, minlength=1 << BITS) / n
-        return mean, (np.bincount(f, v * v, minlength=1 << BITS) / n - mean**2 + 0.01 / n) / n, np.bincount(f, minlength=1 << BITS)
+    def mean_and_variance(m: np.ndarray, n: float) -> tuple[np.ndarray, np.ndarray]:
+        n = max(n, 2)
+        mean = m[:, 1] / n
+        return mean, (m[:, 2] / n - mean**2 + 0.01 / n) / n
 
-    (mp, vp, support), (mu, vu, _) = moments(pos), moments(unl)
-    z = np.where(support >= min(5, len(pos)), (mp - mu) / np.sqrt(vp + vu), 0)
+    (mp, vp), (mu, vu) = mean_and_variance(pos, n_pos), mean_and_variance(unl, n_unl)
+    z = np.where(pos[:, 0] >= min(5, n_pos), (mp - mu) / np.sqrt(np.maximum(vp + vu, 1e-12)), 0)
     best = np.argsort(-z, kind="stable")[:SELECTED]
     return best[z[best] > 3]
 
 
-def nonnegative_pu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, l2: float = 2e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise prior*R_p(+) + max(0, R_u(-) - prior*R_p(-)) with the logistic loss, by Adam."""
+def nonnegative_pu(
+    pos: np.ndarray, unl: np.ndarray, prior: float, times: np.ndarray | None = None, steps: int = 400, rate: float = 0.05, l2: float = 2e-4
+) -> tuple[np.ndarray, float]:
+    """Weights and bias that minimise prior*R_p(+) + max(0, R_u(-) - prior*R_p(-)) with the logistic loss, by Adam.
+
+    `times` says how often each unlabelled row stands.
+    """
+    share = np.full(len(unl), 1 / len(unl)) if times is None else times / times.sum()
     d = pos.shape[1]
     theta, m, v = np.zeros(d + 1), np.zeros(d + 1), np.zeros(d + 1)
     theta[-1] = np.log(max(prior, 1e-4) / max(1 - prior, 1e-4))
     sigmoid = lambda t: 1 / (1 + np.exp(-np.clip(t, -30, 30)))
     for t in range(1, steps + 1):
-        fp, fu = pos @ theta[:-1] + theta[-1], unl @ theta[:-1] + theta[-1]
+        w = theta[:-1].astype(unl.dtype)
+        fp, fu = (pos @ w).astype(float) + theta[-1], (unl @ w).astype(float) + theta[-1]
         sp, su = sigmoid(fp), sigmoid(fu)
-        below = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
-        up = lambda a, b: np.append(pos.T @ a + unl.T @ b, a.sum() + b.sum())
+        below = share @ np.logaddexp(0, fu) - prior * np.logaddexp(0, fp).mean()
+        up = lambda a, b: np.append(pos.T @ a.astype(pos.dtype) + unl.T @ b.astype(unl.dtype), a.sum() + b.sum())
         if below >= 0:
-            g = up(-prior * (1 - sp) / len(fp) - prior * sp / len(fp), su / len(fu))
+            g = up(-prior * (1 - sp) / len(fp) - prior * sp / len(fp), su * share)
         else:  # step back from a negative estimate
-            g = -up(-prior * sp / len(fp), su / len(fu))
+            g = -up(-prior * sp / len(fp), su * share)
         g[:-1] += l2 * theta[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return theta[:-1], float(theta[-1])
 
 
-def _features(docs: DataFrame, text: str) -> Rows:
-    """Feature numbers and values of each text, in an order that does not depend on partitions."""
-    kind = T.StructType([T.StructField("f", T.BinaryType()), T.StructField("v", T.BinaryType())])
+_KIND = T.StructType([T.StructField("f", T.BinaryType()), T.StructField("v", T.BinaryType())])
+
+
+def _features(docs: DataFrame, text: str, chosen: np.ndarray | None = None) -> DataFrame:
+    """Columns f and v: feature numbers and values of each text, as bytes; of all features or of the chosen ones."""
 
     def run(arr: pa.Array) -> list[pa.Array]:
-        doc, feat, value = valued(split(arr, NON_ALNUM))
+        doc, feat, value = valued(split(arr, NON_ALNUM), chosen)
         ends = np.searchsorted(doc, np.arange(len(arr) + 1))
         return [pa.array([x[a:b].astype(k).tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()) for x, k in ((feat, "<i4"), (value, "<f2"))]
 
-    got = arrow_scan(docs, text, {"id": F.col("doc_id")}, kind, run).select("res.f", "res.v").toArrow()
-    both = sorted(zip(got.column("f").to_pylist(), got.column("v").to_pylist()))
-    return [(np.frombuffer(f, "<i4").astype(np.int64), np.frombuffer(v, "<f2").astype(np.float32)) for f, v in both]
+    return arrow_scan(docs, text, {"id": F.col("doc_id")}, _KIND, run).select("res.f", "res.v")
+
+
+def _read(f: list[bytes], v: list[bytes]) -> Rows:
+    return [(np.frombuffer(x, "<i4").astype(np.int64), np.frombuffer(y, "<f2").astype(np.float32)) for x, y in zip(f, v)]
+
+
+def all_moments(docs: DataFrame, text: str) -> np.ndarray:
+    """`moments` of all texts, and their number in one row more: sums within partitions, then by rows of the matrix."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(((1 << BITS) + 1, 3))
+        for batch in batches:
+            for part in pieces(batch, column=0):
+                doc, feat, value = valued(split(part.column(0), NON_ALNUM))
+                for k, x in enumerate((None, value, value * value)):
+                    total[:-1, k] += np.bincount(feat, x, minlength=1 << BITS)
+                total[-1, 0] += part.num_rows
+        if total[-1, 0]:
+            yield from pa.Table.from_pandas(matrix_rows(total.astype(np.float32), 1 << BITS - 4), preserve_index=False).to_batches()
+
+    src = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return stacked(summed_by_key(src.mapInArrow(run, "slot int, vec binary"), "f4"), (-1, 3), "f4").astype(float)
+
+
+def dense(rows: Rows, place: np.ndarray, n: int) -> np.ndarray:
+    x = np.zeros((len(rows), n), np.float32)
+    for i, (f, v) in enumerate(rows):
+        at = place[f]
+        x[i, at[at >= 0]] = v[at >= 0]
+    return x
+
+
+def fitted(unlabelled: DataFrame, positives: np.ndarray, chosen: np.ndarray, prior: float, total: float) -> tuple[np.ndarray, float]:
+    """The mean of the solutions for shares of all unlabelled texts, each of about `SHARE` of them with all positives.
+
+    `unlabelled` has f and v. Equal rows are counted, and their copies dealt evenly to the shares, so that each share is
+    like the whole and its size bounded however many texts are alike; most texts have none of the chosen features.
+    """
+    shares = max(1, round(total / SHARE))
+    place = np.full(1 << BITS, -1)
+    place[chosen] = np.arange(len(chosen))
+    sent = unlabelled.sparkSession.sparkContext.broadcast((positives, place))
+    turn = F.pmod(F.xxhash64("f", "v"), F.lit(shares))
+    counted = unlabelled.groupBy("f", "v").agg(F.count("*").alias("n"))
+    # a row that stands n times goes n div shares times to each share, and once more to the next n mod shares of them
+    whole, left = F.floor(F.col("n") / shares), F.col("n") % shares
+    copies = F.transform(F.sequence(F.lit(0).cast("long"), F.least("n", F.lit(shares)) - 1), lambda j: F.struct(F.pmod(turn + j, F.lit(shares)).cast("int").alias("share"), (whole + (j < left).cast("long")).alias("times")))
+    dealt = counted.select("f", "v", F.explode(copies).alias("x")).select("f", "v", "x.share", "x.times")
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pos, place = sent.value
+        held: dict[int, list] = {}
+        for b in batches:
+            for row in zip(*(b.column(i).to_pylist() for i in range(4))):
+                held.setdefault(row[2], []).append(row)
+        for share, rows in held.items():
+            rows.sort(key=lambda r: (r[0], r[1]))  # rows come in any order: fix it
+            x = dense(_read([r[0] for r in rows], [r[1] for r in rows]), place, pos.shape[1])
+            w, bias = nonnegative_pu(pos, x, prior, np.array([r[3] for r in rows], float))
+            n = float(sum(r[3] for r in rows))
+            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([(np.append(np.append(w, bias), 1.0) * n).tobytes()], pa.binary())], ["slot", "vec"])
+
+    solved = dealt.repartition(shares, "share").mapInArrow(solve, "slot int, vec binary")
+    sums = summed_by_key(solved, "f8")[0]
+    return sums[:-2] / sums[-1], float(sums[-2] / sums[-1])
 
 
 def learned(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
-    """Learns from documents outside the held-out fold (remainder 2)."""
+    """Learns from documents outside the held-out fold (remainder 2): confirmed toxic ones, and all as unlabelled."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 4) != 2)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     count, ones = known.agg(F.count("*"), F.coalesce(F.sum(F.when(F.col("toxic") > 0, 1).otherwise(0)), F.lit(0))).first()
     prior = ones / count if count else 0.0
@@ -141,26 +221,20 @@ def learned(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
         return Model(prior)
     draw = F.xxhash64(F.col("doc_id"), F.lit(9))
     confirmed = known.where("toxic > 0").orderBy(draw, "doc_id").limit(POSITIVES).select("doc_id")
-    train = docs.where(fold(F.col("doc_id"), 4) != 2)
-    share = min(1.0, 1.2 * UNLABELLED / max(docs.count(), 1))
-    other = train.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(10)), F.lit(1 << 30)) < share * (1 << 30)).limit(UNLABELLED)
-    pos, unl = _features(train.join(F.broadcast(confirmed), "doc_id", "left_semi"), text), _features(other, text)
-    if not pos or not unl:
+    train = docs.where(fold(F.col("doc_id"), 4) != 2).select("doc_id", text)
+    own = train.join(F.broadcast(confirmed), "doc_id", "left_semi").dropDuplicates().orderBy(draw, text).limit(POSITIVES)
+    got = _features(own, text).toArrow()
+    pos = sorted(zip(got.column(0).to_pylist(), got.column(1).to_pylist()))
+    if not pos:
         return Model(prior)
-    chosen = selected(pos, unl)
+    pos = _read(*zip(*pos))
+    unl = all_moments(train, text)
+    chosen = selected(moments(pos), len(pos), unl[:-1], unl[-1, 0])
     if not len(chosen):
         return Model(prior)
-    place = np.full(1 << BITS, -1)
-    place[chosen] = np.arange(len(chosen))
-
-    def dense(rows: Rows) -> np.ndarray:
-        x = np.zeros((len(rows), len(chosen)), np.float32)
-        for i, (f, v) in enumerate(rows):
-            at = place[f]
-            x[i, at[at >= 0]] = v[at >= 0]
-        return x
-
-    theta, bias = nonnegative_pu(dense(pos), dense(unl), prior)
+    mark, place = np.zeros(1 << BITS, bool), np.full(1 << BITS, -1)
+    mark[chosen], place[chosen] = True, np.arange(len(chosen))
+    theta, bias = fitted(_features(train, text, mark), dense(pos, place, len(chosen)), chosen, prior, unl[-1, 0])
     weights = np.zeros(1 << BITS)
     weights[chosen] = theta
     return Model(prior, weights, bias)

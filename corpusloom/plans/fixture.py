@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as t
+from corpusloom.sources.spread import spread
 
 #: What marks a document as attributed.
 MARKER = "collected by the library"
@@ -15,8 +16,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, dealt over all cores where they are few: for queries whose time goes into each text."""
+    return spread(read(spark, sf_dir, "documents"))
+
+
 def library(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels").select("doc_id", "quality")
+    docs, labels = texts(spark, sf_dir), read(spark, sf_dir, "labels").select("doc_id", "quality")
     n = F.col("doc_id")
     attribution = F.when(n % 4 < 2, F.concat(F.lit("Collected by the Library, item "), n.cast("string"))).when(n % 4 == 2, F.lit("none given"))
     tier = F.when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low")

@@ -13,7 +13,7 @@ from corpusloom.operators import compliance as co
 from corpusloom.operators import conversations as cv
 from corpusloom.operators import corpus as cp
 from corpusloom.operators import search as se
-from corpusloom.plans.fixture import LIBRARY, library, read
+from corpusloom.plans.fixture import LIBRARY, library, read, texts
 from corpusloom.plans.q_quality import quoted, sql_any, sql_fields, sql_many, sql_trim
 from corpusloom.streaming import events as ev
 
@@ -107,7 +107,7 @@ def archive_records(spark, sf_dir):
 @query("SELECT doc_id, x AS text, CAST(strlen(x) AS BIGINT) AS characters FROM (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN trim(text) ELSE '<b>' || text || '</b>' END AS x FROM documents)")
 def extract_formats(spark, sf_dir):
     n = F.col("doc_id") % 2
-    docs = read(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("<b>"), "text", F.lit("</b>")).alias("raw"), F.when(n == 0, "HTML").otherwise("weird").alias("kind"))
+    docs = texts(spark, sf_dir).select("doc_id", F.concat(F.lit("<b>"), "text", F.lit("</b>")).alias("raw"), F.when(n == 0, "HTML").otherwise("weird").alias("kind"))
     out = docs.withColumn("text", web.extracted(F.col("raw"), F.col("kind")))
     return out.select("doc_id", "text", t.size_of(F.col("text")).alias("characters"))
 
@@ -151,7 +151,7 @@ def label_centroids(spark, sf_dir):
 
 @query()
 def embed_documents(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").select("doc_id", v.embed("text").alias("e"))
+    docs = texts(spark, sf_dir).select("doc_id", v.embed("text").alias("e"))
     return docs.select("doc_id", F.size("e").alias("dim"), F.round(v.norm(F.col("e")), 3).alias("norm"))
 
 
@@ -160,26 +160,26 @@ def embed_documents(spark, sf_dir):
 
 @query(f"SELECT id, round((length(low) - length(replace(low, 'tion', ''))) // 4 / CAST(w AS DOUBLE), 9) AS score FROM (SELECT CAST(doc_id AS VARCHAR) AS id, lower(text) AS low, len({sql_fields('text')}) AS w FROM documents) WHERE contains(low, 'tion')")
 def search_hits(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    docs = texts(spark, sf_dir).select(F.col("doc_id").cast("string").alias("id"), "text")
     return se.search(docs, "TION").select("id", F.round("score", 9).alias("score"))
 
 
 @query("""WITH a AS (SELECT doc_id, text, strpos(lower(text), 'ing the') AS p, length(text) AS n FROM documents), b AS (SELECT *, greatest(p - 75, 1) AS s, least(p + 7 + 75, n + 1) AS e FROM a)
   SELECT doc_id, CASE WHEN p > 0 THEN CASE WHEN s > 1 THEN '...' ELSE '' END || substr(text, s, e - s) || CASE WHEN e <= n THEN '...' ELSE '' END WHEN n > 150 THEN left(text, 150) || '...' ELSE text END AS snippet FROM b""")
 def search_snippets(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", se.snippet(F.col("text"), "ing the").alias("snippet"))
+    return texts(spark, sf_dir).select("doc_id", se.snippet(F.col("text"), "ing the").alias("snippet"))
 
 
 @query(f"SELECT doc_id, array_to_string(list_transform(list_filter(string_split(text, '.'), lambda s: contains(lower(s), 'the') OR contains(lower(s), 'der'))[1:3], lambda s: {sql_trim('s')}), ' | ') AS highlights, regexp_replace(regexp_replace(left(text, 200), '(?i)(the)', '**\\1**', 'g'), '(?i)(der)', '**\\1**', 'g') AS bold FROM documents")
 def search_highlights(spark, sf_dir):
     c = F.col("text")
-    return read(spark, sf_dir, "documents").select("doc_id", F.array_join(se.highlights(c, "The der"), " | ").alias("highlights"), se.bold(F.left(c, F.lit(200)), ["the", "der"]).alias("bold"))
+    return texts(spark, sf_dir).select("doc_id", F.array_join(se.highlights(c, "The der"), " | ").alias("highlights"), se.bold(F.left(c, F.lit(200)), ["the", "der"]).alias("bold"))
 
 
 @query("SELECT doc_id, regexp_replace(regexp_replace(text, '(?i)(the)', '**\\1**', 'g'), '(?i)(der)', '**\\1**', 'g') AS bold FROM documents")
 def search_bold(spark, sf_dir):
     """Every occurrence in the whole text, where search_highlights shows the first 200 characters."""
-    return read(spark, sf_dir, "documents").select("doc_id", se.bold(F.col("text"), ["the", "der"]).alias("bold"))
+    return texts(spark, sf_dir).select("doc_id", se.bold(F.col("text"), ["the", "der"]).alias("bold"))
 
 
 @query(f"WITH {LIBRARY} SELECT field, value, count(*) AS count FROM (SELECT unnest([{{'field': 'source', 'value': source}}, {{'field': 'language', 'value': language}}, {{'field': 'quality_tier', 'value': quality_tier}}], recursive := true) FROM library) WHERE value <> '' GROUP BY 1, 2")
@@ -218,7 +218,7 @@ _LINE = f"{sql_trim(rf'''regexp_replace(list_filter(list_transform(string_split(
 def titles(spark, sf_dir):
     n = F.col("doc_id")
     named = F.when(n % 10 == 0, F.concat(F.lit("Named "), n.cast("string")))
-    return read(spark, sf_dir, "documents").select("doc_id", se.title(F.lit(None).cast("string"), named, F.col("text"), n.cast("string")).alias("title"))
+    return texts(spark, sf_dir).select("doc_id", se.title(F.lit(None).cast("string"), named, F.col("text"), n.cast("string")).alias("title"))
 
 
 def _esc(c: str) -> str:
@@ -234,7 +234,7 @@ _ODD = "text || ' <a & \"b\"> ''c''' || chr(10) || chr(10) || '  next line ' ||
     '# T' || doc_id || chr(10) || chr(10) || x AS exported, '<document><id>' || doc_id || '</id><title>' || 'T' || doc_id || '</title><content>' || {_esc('x')} || '</content></document>' AS xml FROM d""")
 def rendering(spark, sf_dir):
     n = F.col("doc_id").cast("string")
-    docs = read(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.lit(" <a & \"b\"> 'c'\n\n  next line \nx")).alias("x"))
+    docs = texts(spark, sf_dir).select("doc_id", F.concat("text", F.lit(" <a & \"b\"> 'c'\n\n  next line \nx")).alias("x"))
     head = F.concat(F.lit("T"), n)
     return docs.select("doc_id", *[se.render(F.col("x"), f).alias(f) for f in ("html", "markdown", "plain")], se.export(n, head, F.col("x"), "markdown").alias("exported"), se.export(n, head, F.col("x"), "xml").alias("xml"))
 

@@ -8,7 +8,7 @@ from corpusloom.functions import assessment as a
 from corpusloom.functions import cleaning as cl
 from corpusloom.functions import readability as r
 from corpusloom.functions import text as t
-from corpusloom.plans.fixture import read
+from corpusloom.plans.fixture import texts
 
 QUERIES, ORACLES = {}, {}
 
@@ -55,7 +55,7 @@ _DIRT = [
 
 def dirty(spark, sf_dir):
     n = F.col("doc_id").cast("string")
-    return read(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.lit(_DIRT[0] + _DIRT[1]), n, F.lit(_DIRT[2] + _DIRT[3]), n, F.lit(_DIRT[4] + _DIRT[5] + _DIRT[6])).alias("text"))
+    return texts(spark, sf_dir).select("doc_id", F.concat("text", F.lit(_DIRT[0] + _DIRT[1]), n, F.lit(_DIRT[2] + _DIRT[3]), n, F.lit(_DIRT[4] + _DIRT[5] + _DIRT[6])).alias("text"))
 
 
 _D = "d AS (SELECT doc_id, text || " + " || ".join([quoted(_DIRT[0] + _DIRT[1]), "doc_id", quoted(_DIRT[2] + _DIRT[3]), "doc_id", quoted(_DIRT[4] + _DIRT[5] + _DIRT[6])]) + " AS text FROM documents)"
@@ -159,14 +159,14 @@ _COUNTS = rf"""w AS (
 )"""
 _COUNTED = ["n_words", "n_sentences", "n_syllables", "n_complex", "n_characters"]
 _SCORED = ["flesch_kincaid", "flesch_ease", "gunning_fog", "smog", "ari", "overall"]
-QUERIES["readability_counts"] = lambda spark, sf_dir: r.counts(read(spark, sf_dir, "documents")).select("doc_id", *_COUNTED)
+QUERIES["readability_counts"] = lambda spark, sf_dir: r.counts(texts(spark, sf_dir)).select("doc_id", *_COUNTED)
 ORACLES["readability_counts"] = f"WITH {_COUNTS} SELECT doc_id, {', '.join(f'CAST({x} AS BIGINT) AS {x}' for x in _COUNTED)} FROM read"
-QUERIES["readability_scores"] = lambda spark, sf_dir: r.scores(r.counts(read(spark, sf_dir, "documents"))).select("doc_id", *[F.round(x, 6).alias(x) for x in _SCORED], "in_target_band")
+QUERIES["readability_scores"] = lambda spark, sf_dir: r.scores(r.counts(texts(spark, sf_dir))).select("doc_id", *[F.round(x, 6).alias(x) for x in _SCORED], "in_target_band")
 ORACLES["readability_scores"] = f"WITH {_COUNTS} SELECT doc_id, {', '.join(f'round({x}, 6) AS {x}' for x in _SCORED)}, flesch_kincaid BETWEEN 8 AND 12 AS in_target_band FROM read"
 _LEVEL = "CASE WHEN n_words = 0 THEN 'unreadable' " + " ".join(f"WHEN flesch_ease >= {k} THEN '{v}'" for k, v in ((90, "very easy"), (80, "easy"), (70, "fairly easy"), (60, "standard"), (50, "fairly difficult"), (30, "difficult"))) + " ELSE 'very difficult' END"
-QUERIES["readability_levels"] = lambda spark, sf_dir: r.scores(r.counts(read(spark, sf_dir, "documents"))).groupBy("level").agg(F.count("*").alias("documents"))
+QUERIES["readability_levels"] = lambda spark, sf_dir: r.scores(r.counts(texts(spark, sf_dir))).groupBy("level").agg(F.count("*").alias("documents"))
 ORACLES["readability_levels"] = f"WITH {_COUNTS} SELECT {_LEVEL} AS level, count(*) AS documents FROM read GROUP BY 1"
-QUERIES["readability_advice"] = lambda spark, sf_dir: r.scores(r.counts(read(spark, sf_dir, "documents"))).select("doc_id", F.array_join(r.advice(), "; ").alias("advice"))
+QUERIES["readability_advice"] = lambda spark, sf_dir: r.scores(r.counts(texts(spark, sf_dir))).select("doc_id", F.array_join(r.advice(), "; ").alias("advice"))
 _ADVICE = [("ws > 20", r.LONG_SENTENCES), ("pc > 15", r.COMPLEX_WORDS), ("sw > 1.7", r.LONG_WORDS), ("flesch_kincaid > 12", r.TOO_HARD), ("flesch_kincaid < 8", r.TOO_SIMPLE), ("n_words < 100", r.TOO_SHORT), ("n_sentences < 3", r.FEW_SENTENCES)]
 ORACLES["readability_advice"] = f"WITH {_COUNTS}, s AS (SELECT doc_id, concat_ws('; ', {', '.join(f'CASE WHEN {c} THEN {quoted(m)} END' for c, m in _ADVICE)}) AS x FROM read) SELECT doc_id, CASE WHEN x = '' THEN {quoted(r.BALANCED)} ELSE x END AS advice FROM s"
 
@@ -183,7 +183,7 @@ def enriched(spark, sf_dir):
         F.lit("title"), F.when(n % 4 == 0, "").otherwise("A title"), F.lit("content_type"), F.element_at(F.array(*map(F.lit, ("research_abstract", "tutorial", "documentation", "article"))), (n % 4 + 1).cast("int")),
         F.lit("topic"), F.when(n % 3 == 0, "the").when(n % 3 == 1, "debate").otherwise(""), F.lit("keywords"), F.when(n % 5 == 0, "growth, step ,zzz").otherwise(""), F.lit("domain"), F.lit("technology"),
     )
-    return read(spark, sf_dir, "documents").select("doc_id", text.alias("text"), meta.alias("metadata"))
+    return texts(spark, sf_dir).select("doc_id", text.alias("text"), meta.alias("metadata"))
 
 
 _E = f"""d AS (SELECT doc_id, text || CASE WHEN doc_id % 2 = 0 THEN {quoted(_SAID[0])} ELSE '' END || CASE WHEN doc_id % 3 = 0 THEN {quoted(_SAID[1])} ELSE '' END || CASE WHEN doc_id % 5 = 0 THEN {quoted(_SAID[2] + _SAID[3])} ELSE '' END AS text,

@@ -135,6 +135,47 @@ def test_nonnegative_risk_on_separable_points():
     assert (pos @ w + b > 0).mean() > 0.95 and (unl[40:] @ w + b < 0).mean() > 0.95
 
 
+def test_nonnegative_risk_against_differences():
+    """The minimum over counted rows is that over the rows one by one, and no step away from it lowers the risk."""
+    rng = np.random.default_rng(4)
+    pos, unl, times = rng.random((40, 3)) + [0.6, 0, 0], rng.random((50, 3)), rng.integers(1, 6, 50)
+    w, b = toxicity.nonnegative_pu(pos, unl, 0.2, times, steps=1500, rate=0.02)
+    one, other = toxicity.nonnegative_pu(pos, np.repeat(unl, times, 0), 0.2, steps=1500, rate=0.02)
+    assert np.allclose(w, one, atol=1e-6) and abs(b - other) < 1e-6
+
+    def risk(w, b):
+        loss = lambda x, sign: np.logaddexp(0, -sign * (x @ w + b))
+        return 0.2 * loss(pos, 1).mean() + max(0, np.average(loss(unl, -1), weights=times) - 0.2 * loss(pos, -1).mean()) + 1e-4 * (w @ w)
+
+    assert all(risk(w + s * d, b) > risk(w, b) - 1e-5 for d in np.eye(3) for s in (-0.05, 0.05)) and risk(w, b + 0.05) > risk(w, b) - 1e-5 < risk(w, b - 0.05)
+
+
+def test_all_unlabelled_texts_count(spark, corpus, monkeypatch):
+    """Moments over all texts against those of each text; shares deal every copy of every row once."""
+    docs, labels, rows, truth = corpus
+    texts = docs.select("doc_id", "text").union(documents(spark).select("doc_id", "text"))
+    total = toxicity.all_moments(texts, "text")
+    listed = [r.text or "" for r in texts.collect()]
+    each = [tuple(x[1:] for x in [toxicity.valued(toxicity.split(pa.array([t]), toxicity.NON_ALNUM))])[0] for t in listed]
+    assert total[-1, 0] == len(listed) and np.allclose(total[:-1], toxicity.moments(each), rtol=1e-3, atol=1e-4)
+    monkeypatch.setattr(toxicity, "SHARE", 60)  # several shares
+    model = toxicity.learned(docs, labels)
+    got = {r.row.doc_id: r.res.score for r in toxicity.scored(docs, model, {"doc_id": F.col("doc_id")}).collect()}
+    held = [i for i in truth if crc(i, 4) == 2]
+    assert auc([(got[i], truth[i][1]) for i in held]) > 0.98
+
+
+def test_toxicity_of_empty_and_repeated_documents(spark, corpus):
+    docs, labels, *_ = corpus
+    assert toxicity.learned(documents(spark, []), labels).weights is None
+    copies = docs.where("doc_id < 40")
+    for _ in range(4):
+        copies = copies.union(copies)
+    model = toxicity.learned(docs.union(copies), labels)
+    assert toxicity.scored(documents(spark, []), model, {"doc_id": F.col("doc_id")}).count() == 0
+    assert toxicity.scored(documents(spark), model, {c: F.col(c) for c in documents(spark).columns}).where("row.row = 'x' and res.score between 0 and 1").count() == 12
+
+
 def test_language_model(spark, corpus):
     docs, _, rows, _ = corpus
     both = docs.select("doc_id", "text").union(documents(spark).select(F.col("doc_id") + 5000, "text"))
