@@ -18,7 +18,7 @@ MAIN = (
     "<div[^>]*class=[\"'][^\"']*post[^\"']*[\"'][^>]*>(.*?)</div>", "<div[^>]*class=[\"'][^\"']*entry[^\"']*[\"'][^>]*>(.*?)</div>", "<div[^>]*id=[\"']content[\"'][^>]*>(.*?)</div>",
 )
 REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ", "&ndash;": "–", "&mdash;": "—", "&hellip;": "…", "&copy;": "©", "&reg;": "®", "&trade;": "™", "&amp;": "&"}
-NOISE = ["Toggle", "subsection", "Create account", "Log in", "Main page", "Contents", "Current events", "Random article", "Contact us", "Donate"]
+NOISE = ["Toggle", "subsection", "Create account", "Log in", "Main page", "Contents", "Current events", "Random article", "About Wikipedia", "Contact us", "Donate"]
 SKIPPED = frozenset("script style noscript nav header footer aside".split())
 BLOCK = frozenset("p div h1 h2 h3 h4 h5 h6 li ul ol table tr td th blockquote pre section article main br hr dl dt dd".split())
 
@@ -61,6 +61,31 @@ def meta(html: Column, name: str) -> Column:
     return F.nullif(F.regexp_extract(html, f"(?i)<meta[^>]*(?:name|property)=[\"']{name}[\"'][^>]*content=[\"']([^\"']+)[\"']", 1), F.lit(""))
 
 
+# Patterns of what the head of a page says.
+META_TAG, META_NAME, META_PROPERTY, META_CONTENT = (r"(?is)<meta\s+([^>]*)>", r"""(?is)name=["']([^"']+)["']""", r"""(?is)property=["']([^"']+)["']""", r"""(?is)content=["']([^"']+)["']""")
+JSON_LD = r"""(?is)<script[^>]*type=["']application/ld\+json["'][^>]*>([^<]+)</script>"""
+
+
+def head_entries(html: Column) -> Column:
+    """Every meta tag's name and property with its content, as a map; of equal keys the last wins."""
+    found = lambda tag, pattern: F.nullif(F.regexp_extract(tag, pattern, 1), F.lit(""))
+
+    def entries(tag: Column) -> Column:
+        content = t.collapse(decode_references(found(tag, META_CONTENT)))
+        return F.array(*[F.struct(found(tag, p).alias("key"), content.alias("value")) for p in (META_NAME, META_PROPERTY)])
+
+    tags = F.flatten(F.transform(F.regexp_extract_all(html, F.lit(META_TAG), F.lit(1)), entries))
+    kept = F.filter(tags, lambda e: e["key"].isNotNull() & e["value"].isNotNull())
+    # equal keys: their values in order of the page, the last of them taken
+    keys = F.array_distinct(F.transform(kept, lambda e: e["key"]))
+    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(kept, lambda e: e["key"] == k), -1)["value"]))
+
+
+def json_ld(html: Column) -> Column:
+    """The first block of linked data, null where there is none."""
+    return F.nullif(F.regexp_extract(html, JSON_LD, 1), F.lit(""))
+
+
 def links(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit("(?i)<a[^>]+href=[\"']([^\"']+)[\"']"), F.lit(1))
 

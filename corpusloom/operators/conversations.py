@@ -13,6 +13,25 @@ STOP = ["the", "and", "for"]
 CODE = [r"func\s+\w+[^\n]*\{[^}]*\}", r"package\s+\w+", r"import\s*\([^)]*\)", r"var\s+\w+[^\n]*=", r"type\s+\w+\s+struct"]
 
 
+# What marks code, texts on Go, and topics worth a critical discussion.
+CODE_MARKS = ["func ", "package ", "import ", "var ", "const ", "type ", "struct {", "interface {"]
+GO_MARKS = ["golang", "go lang", "func main", "package main", "import", "goroutine"]
+COMPLEX_DOMAINS = ["Philosophy", "Science", "Technology", "Economics"]
+COMPLEX_WORDS = ["artificial intelligence", "machine learning", "ethics", "philosophy", "quantum", "evolution", "consciousness"]
+
+
+def has_code(c: Column) -> Column:
+    return t.has_any(F.lower(c), CODE_MARKS)
+
+
+def on_go(c: Column) -> Column:
+    return t.has_any(F.lower(c), GO_MARKS)
+
+
+def is_complex(domain: Column, title: Column) -> Column:
+    return domain.isin(*COMPLEX_DOMAINS) | t.has_any(F.lower(title), COMPLEX_WORDS)
+
+
 def sanitized(c: Column, trimmed: bool = False) -> Column:
     out = F.lower(F.regexp_replace(c, "[^a-zA-Z0-9_-]", "_"))
     return F.left(F.btrim(out, F.lit("_")), F.lit(50)) if trimmed else out
@@ -110,6 +129,24 @@ def summary(conversations: DataFrame) -> DataFrame:
     return conversations.groupBy("kind").agg(F.count("*").alias("conversations"), F.sum(F.size("conversation")).alias("turns"), F.sum(turns).alias("chars"))
 
 
+def model_metrics(results: DataFrame, model: str, ok: Column, score: Column, millis: Column, tier: Column) -> DataFrame:
+    """Requests, success rate, mean score and time of the successful ones, and their tiers, of each model.
+
+    The rate is of the model's own requests, so it never exceeds 1.
+    """
+    tiers = [F.count_if(ok & (tier == x)).alias(x) for x in ("premium", "high", "medium", "low", "reject")]
+    return results.groupBy(model).agg(
+        F.count("*").alias("requests"), F.count_if(ok).alias("successful"), F.round(F.avg(ok.cast("double")), 6).alias("success_rate"),
+        F.round(F.avg(F.when(ok, score)), 6).alias("quality"), F.round(F.avg(F.when(ok, millis)), 6).alias("millis"), *tiers,
+    )
+
+
+def retry_schedule(failures: Column, first: float, factor: float, most: int) -> Column:
+    """The seconds waited before each further attempt, `first` times powers of `factor`, for a number of failures; at most `most` of them."""
+    n = F.least(failures, F.lit(most)).cast("int")
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.lit(first) * F.pow(F.lit(factor), i))).otherwise(F.array().cast("array<double>"))
+
+
 def best_model(requests: DataFrame, models: DataFrame, key: str = "request_id") -> DataFrame:
     """The best model for each request: needed capabilities .3 each, success and quality .25, cheapness .2, times a weight.
 

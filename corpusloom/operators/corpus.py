@@ -52,6 +52,33 @@ def short_number(n: Column) -> Column:
     return F.when(n >= 1_000_000, F.format_string("%.1fM", n / 1e6)).when(n >= 1_000, F.format_string("%.1fK", n / 1e3)).otherwise(n.cast("string"))
 
 
+def short_bytes(n: Column) -> Column:
+    """Bytes in the largest unit of 1,024s that leaves at least one of it."""
+    out = F.format_string("%d B", n.cast("long"))
+    for power, unit in enumerate("KMGTPE", 1):
+        out = F.when(n >= 1024**power, F.format_string(f"%.1f {unit}B", n / float(1024**power))).otherwise(out)
+    return F.when(n.isNotNull(), out)
+
+
+def short_url(url: Column, most: int = 60) -> Column:
+    return F.when(F.octet_length(url) > most, F.concat(F.left(url, F.lit(most - 3)), F.lit("..."))).otherwise(url)
+
+
+def progress(docs: DataFrame, category: str, status: Column, words: Column, chars: Column, quality: Column) -> DataFrame:
+    """Totals and mean quality of what was kept, and the share of each outcome, by category: one grouped pass."""
+    kept = status == "kept"
+    share = lambda name: F.round(F.avg((status == name).cast("double")) * 100, 6).alias(name)
+    return docs.groupBy(category).agg(
+        F.count("*").alias("processed"), F.count_if(kept).alias("documents"), F.sum(F.when(kept, words)).alias("words"), F.sum(F.when(kept, chars)).alias("chars"),
+        F.round(F.avg(F.when(kept, quality)), 6).alias("quality"), share("kept"), share("blocked"), share("filtered"),
+    )
+
+
+def curation(docs: DataFrame, category: str, words: Column, chars: Column) -> DataFrame:
+    """Documents, words and characters of each category and, with a null category, of all."""
+    return docs.rollup(category).agg(F.count("*").alias("documents"), F.sum(words).alias("words"), F.sum(chars).alias("chars"), F.grouping(category).cast("int").alias("all_of_them"))
+
+
 def exact_duplicates(docs: DataFrame, text: str, key: str) -> DataFrame:
     """Adds first_id, the least id of the documents with the same text; grouped by digest, joined back."""
     hashed = docs.withColumn("_digest", F.sha2(F.col(text), 256))

@@ -91,3 +91,25 @@ def export(ident: Column, heading: Column, c: Column, form: str) -> Column:
     if form == "json":
         return F.to_json(F.struct(ident.alias("id"), heading.alias("title"), c.alias("content")))
     raise ValueError(f"unsupported export format: {form}")
+
+
+#: A stored judgement as it stands in metadata.
+QUALITY = "overall_score double, quality_tier string, confidence_level double"
+RFC3339 = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
+
+
+def shown_metadata(m: Column) -> Column:
+    """Metadata without keys that begin with `_`; moments under keys with `time` or `date` in plain form, in their own offset."""
+
+    def shown(key: Column, value: Column) -> Column:
+        dated = F.contains(key, F.lit("time")) | F.contains(key, F.lit("date"))
+        plain = F.replace(F.left(value, F.lit(19)), F.lit("T"), F.lit(" "))
+        valid = F.regexp_like(value, F.lit(RFC3339)) & F.try_to_timestamp(plain, F.lit("yyyy-MM-dd HH:mm:ss")).isNotNull()
+        return F.when(dated & valid, plain).otherwise(value)
+
+    return F.transform_values(F.map_filter(m, lambda k, _: ~F.startswith(k, F.lit("_"))), shown)
+
+
+def stored_quality(m: Column) -> Column:
+    """The judgement stored as JSON under `quality`; null where there is none or it cannot be read."""
+    return F.from_json(F.try_element_at(m, F.lit("quality")), QUALITY)

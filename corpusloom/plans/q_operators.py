@@ -170,15 +170,15 @@ def search_snippets(spark, sf_dir):
     return texts(spark, sf_dir).select("doc_id", se.snippet(F.col("text"), "ing the").alias("snippet"))
 
 
-@query(f"SELECT doc_id, array_to_string(list_transform(list_filter(string_split(text, '.'), lambda s: contains(lower(s), 'the') OR contains(lower(s), 'der'))[1:3], lambda s: {sql_trim('s')}), ' | ') AS highlights, regexp_replace(regexp_replace(left(text, 200), '(?i)(the)', '**\\1**', 'g'), '(?i)(der)', '**\\1**', 'g') AS bold FROM documents")
+@query(f"SELECT doc_id, array_to_string(list_transform(list_filter(string_split(text, '.'), lambda s: contains(lower(s), 'the') OR contains(lower(s), 'der'))[1:3], lambda s: {sql_trim('s')}), ' | ') AS highlights, regexp_replace(regexp_replace(text, '(?i)(the)', '**\\1**', 'g'), '(?i)(der)', '**\\1**', 'g') AS bold FROM documents")
 def search_highlights(spark, sf_dir):
     c = F.col("text")
-    return texts(spark, sf_dir).select("doc_id", F.array_join(se.highlights(c, "The der"), " | ").alias("highlights"), se.bold(F.left(c, F.lit(200)), ["the", "der"]).alias("bold"))
+    return texts(spark, sf_dir).select("doc_id", F.array_join(se.highlights(c, "The der"), " | ").alias("highlights"), se.bold(c, ["the", "der"]).alias("bold"))
 
 
 @query("SELECT doc_id, regexp_replace(regexp_replace(text, '(?i)(the)', '**\\1**', 'g'), '(?i)(der)', '**\\1**', 'g') AS bold FROM documents")
 def search_bold(spark, sf_dir):
-    """Every occurrence in the whole text, where search_highlights shows the first 200 characters."""
+    """Every occurrence in the whole text."""
     return texts(spark, sf_dir).select("doc_id", se.bold(F.col("text"), ["the", "der"]).alias("bold"))
 
 

@@ -242,3 +242,29 @@ def test_bold_reaches_past_the_first_characters(spark, tmp_path):
     spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = dict(__spark_entry__.queries()["search_bold"](spark, str(tmp_path)).collect())
     assert got == {0: "x " * 150 + "**The** end, o**THE**r, wun**DER**", 1: "", 2: None, 3: "**the**"}
+
+
+def test_short_values_and_views(spark):
+    rows = spark.createDataFrame([(0,), (1023,), (1024,), (1536,), (1 << 20,), (5 << 40,), (None,)], "n long")
+    assert [r[0] for r in rows.select(corpus.short_bytes(F.col("n"))).collect()] == ["0 B", "1023 B", "1.0 KB", "1.5 KB", "1.0 MB", "5.0 TB", None]
+    meta = {"_x": "1", "time": "2024-02-30T00:00:00Z", "date": "2024-02-29T01:02:03-05:00", "other": "2024-02-29T01:02:03Z", "no_time": None}
+    one = spark.createDataFrame([(meta,), ({"quality": "{"},), (None,)], "m map<string,string>")
+    shown = [r[0] for r in one.select(search.shown_metadata(F.col("m"))).collect()]
+    assert shown[0] == {"time": "2024-02-30T00:00:00Z", "date": "2024-02-29 01:02:03", "other": "2024-02-29T01:02:03Z", "no_time": None}
+    assert shown[1:] == [{"quality": "{"}, None]
+    assert [r[0] and r[0]["overall_score"] for r in one.select(search.stored_quality(F.col("m"))).collect()] == [None] * 3
+
+
+def test_page_heads(spark):
+    pages = ["<meta name='a' content='1'><META property=\"a\" content='2'><meta name=b>", "", None, "<meta name='k' property='p' content='&lt;x'>"]
+    out = [r[0] for r in spark.createDataFrame([(p,) for p in pages], "h string").select(web.head_entries(F.col("h"))).collect()]
+    assert out == [{"a": "2"}, {}, None, {"k": "<x", "p": "<x"}]
+
+
+def test_retries_and_metrics(spark):
+    n = spark.createDataFrame([(0,), (1,), (3,), (9,)], "n int")
+    assert [r[0] for r in n.select(conversations.retry_schedule(F.col("n"), 1.0, 2.0, 3)).collect()] == [[], [1.0], [1.0, 2.0, 4.0], [1.0, 2.0, 4.0]]
+    rows = spark.createDataFrame([("m", True, 0.9, 10, "premium"), ("m", False, 0.1, 99, "reject"), ("x", False, None, None, None)], "model string, ok boolean, score double, ms int, tier string")
+    got = {r["model"]: r for r in conversations.model_metrics(rows, "model", F.col("ok"), F.col("score"), F.col("ms"), F.col("tier")).collect()}
+    assert (got["m"]["requests"], got["m"]["success_rate"], got["m"]["quality"], got["m"]["premium"], got["m"]["reject"]) == (2, 0.5, 0.9, 1, 0)
+    assert (got["x"]["success_rate"], got["x"]["quality"]) == (0.0, None)
