@@ -19,8 +19,8 @@ percent * |union|. With tile keys, the default, every link between different set
    are intersected exactly. A task emits only links that connect, at most one less than its nodes.
 
 The components of the links, over all documents, give `component_id`. The large tables are written to the shared
-folder between steps; what goes to every executor is a Bloom filter of the nodes that are compared, at most 2^MOST_BLOOM
-bits: beyond its capacity it only lets more texts through than needed.
+folder between steps; what goes to every executor is a Bloom filter of the keys that nodes share, and one of the nodes that are
+compared, each of at most 2^MOST_BLOOM bits: beyond its capacity it only lets more through than needed.
 
 Defined cases: a null, empty or wordless text has n_shingles 0 and is a component of its own; fewer than k words make
 one shingle. Rows of one doc_id with different texts are linked by their texts like any others; a null doc_id never
@@ -36,6 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -186,10 +187,28 @@ def linked_pairs(sets: list[np.ndarray], right: int, percent: int, roots: np.nda
     return out
 
 
-def shared_keys(nodes: DataFrame) -> DataFrame:
-    """Columns key, node and hub (the least node of the key) of the keys that several nodes have."""
-    posts = nodes.select("node", F.explode("keys").alias("key"))
-    hubs = posts.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last").select("key", "hub")
+def shared_keys(rows: DataFrame) -> DataFrame:
+    """Columns key, node and hub (the least node of the key) of the keys that several nodes have; `rows` has node and keys, copies and all.
+
+    Most keys are one node's alone. They meet only as partial minima; a Bloom filter of the others lets few of them into the join.
+    """
+    spark = rows.sparkSession
+    ends = rows.select("node", F.explode("keys").alias("key")).groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
+    hubs = written(ends.where("hub <> last").select("key", "hub"), "shared")
+    bits = min(MOST_BLOOM, max(LEAST_BLOOM, hubs.count().bit_length() + 4))
+    bloom = spark.sparkContext.broadcast(bloom_of(hubs.select("key"), bits))
+    bounded_batches(spark)
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mask = bloom.value
+        for batch in batches if len(mask) else ():
+            lists = batch.column(1)
+            keys, owner = lists.flatten(), pc.list_parent_indices(lists)
+            at = _blooms(keys.to_numpy(zero_copy_only=False), bits)
+            kept = pa.array(np.all(mask[at >> 3] >> (7 - (at & 7)) & 1, axis=0))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(owner.filter(kept)), keys.filter(kept)], ["node", "key"])
+
+    posts = rows.select("node", "keys").mapInArrow(likely, "node long, key long").distinct()
     return posts.join(hubs, "key").select("key", "node", "hub")
 
 
@@ -282,8 +301,9 @@ def _linked(docs: DataFrame, key: str, text: str, k: int, percent: int, keys: st
         ]
 
     rows = written(arrow_scan(docs, text, {"id": F.col(key)} | carry, _SETS, keyed).select("row.*", "res.*"), "sets")
-    nodes = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
-    posts = written(shared_keys(nodes.select("node", "keys")), "posts")
+    worded = rows.where("node is not null")
+    posts = written(shared_keys(worded), "posts")
+    nodes = worded.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"))
     pairs = written(posts.where("node <> hub").select("node", "hub").distinct(), "pairs")
     named = pairs.select(F.explode(F.array("node", "hub")).alias("node")).distinct()
     members = written(nodes.select("node", "id", "n").join(named, "node"), "members")
