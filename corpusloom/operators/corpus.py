@@ -53,10 +53,10 @@ def short_number(n: Column) -> Column:
 
 
 def short_bytes(n: Column) -> Column:
-    """Bytes in the largest unit of 1,024s that leaves at least one of it."""
+    """Bytes in the largest unit of 1,024s that leaves at least one of it, ties to the even digit."""
     out = F.format_string("%d B", n.cast("long"))
     for power, unit in enumerate("KMGTPE", 1):
-        out = F.when(n >= 1024**power, F.format_string(f"%.1f {unit}B", n / float(1024**power))).otherwise(out)
+        out = F.when(n >= 1024**power, F.format_string(f"%.1f {unit}B", F.bround(n / float(1024**power), 1))).otherwise(out)
     return F.when(n.isNotNull(), out)
 
 

@@ -245,8 +245,8 @@ def test_bold_reaches_past_the_first_characters(spark, tmp_path):
 
 
 def test_short_values_and_views(spark):
-    rows = spark.createDataFrame([(0,), (1023,), (1024,), (1536,), (1 << 20,), (5 << 40,), (None,)], "n long")
-    assert [r[0] for r in rows.select(corpus.short_bytes(F.col("n"))).collect()] == ["0 B", "1023 B", "1.0 KB", "1.5 KB", "1.0 MB", "5.0 TB", None]
+    rows = spark.createDataFrame([(0,), (1023,), (1024,), (1280,), (1536,), (1 << 20,), (5 << 40,), (None,)], "n long")
+    assert [r[0] for r in rows.select(corpus.short_bytes(F.col("n"))).collect()] == ["0 B", "1023 B", "1.0 KB", "1.2 KB", "1.5 KB", "1.0 MB", "5.0 TB", None]
     meta = {"_x": "1", "time": "2024-02-30T00:00:00Z", "date": "2024-02-29T01:02:03-05:00", "other": "2024-02-29T01:02:03Z", "no_time": None}
     one = spark.createDataFrame([(meta,), ({"quality": "{"},), (None,)], "m map<string,string>")
     shown = [r[0] for r in one.select(search.shown_metadata(F.col("m"))).collect()]
