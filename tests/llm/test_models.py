@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import jaccard, langid, maxent, quality, queries, toxicity
 from corpusloom.llm.common import fold
-from corpusloom.llm.components import components
+from corpusloom.llm.components import components, contracted
 
 from .odd import documents
 
@@ -326,6 +326,25 @@ def test_jaccard_at_another_threshold(spark):
     assert jaccard.keys_of(90) == 20 and (1 - 0.8**jaccard.ROWS) ** jaccard.keys_of(80) < 1e-9
 
 
+def test_contracted_edges_are_stars_of_the_same_components():
+    rng = np.random.default_rng(3)
+    shapes = [rng.integers(-40, 40, (50, 2)), np.array([(i, i + 1) for i in range(300)]), np.array([(7, 7), (8, 9), (9, 8)]), np.empty((0, 2), np.int64)]
+    for edges in shapes:
+        a, b = contracted(edges[:, 0].astype(np.int64), edges[:, 1].astype(np.int64))
+        least = {int(n): int(n) for n in edges.ravel()}
+        for _ in range(len(edges)):
+            for x, y in edges.tolist():
+                least[x] = least[y] = min(least[x], least[y])
+        assert dict(zip(a.tolist(), b.tolist())) == {n: low for n, low in least.items() if low != n}
+        assert not set(a.tolist()) & set(b.tolist())
+
+
+def test_components_of_a_long_path_over_many_tasks(spark):
+    edges = [(i, i + 1) for i in range(400)]
+    rows = components(spark.createDataFrame(edges, "a long, b long").repartition(16)).collect()
+    assert len(rows) == 400 and {(r.a, r.b) for r in rows} == {(i, 0) for i in range(1, 401)}
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(i, i + 1) for i in range(1000, 1060)] + [(5, 5), (7, 9), (9, 7)]
