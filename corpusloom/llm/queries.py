@@ -1,8 +1,8 @@
-"""The queries op1_ to op10_, each over its whole table with production parameters."""
+"""The queries op1_ to op13_, each over its whole table with production parameters."""
 
 from __future__ import annotations
 
-from corpusloom.llm import bpe, chat, decontamination, jaccard, langid, maxent, media, mincut, quality, toxicity
+from corpusloom.llm import bpe, chat, decontamination, divergence, jaccard, langid, maxent, media, mincut, mixing, quality, toxicity
 
 QUERIES = {
     "op1_matroska": media.query,
@@ -15,8 +15,11 @@ QUERIES = {
     "op8_bpe": bpe.query,
     "op9_chat": chat.query,
     "op10_jaccard": jaccard.query,
+    "op11_divergence": divergence.query,
+    "op13_mixing": mixing.query,
 }
 ORACLES = {
     "op9_chat": chat.ORACLE_SQL,
     "op4_decontamination": decontamination.ORACLE_SQL,
+    "op11_divergence": divergence.ORACLE_SQL,
 }
