@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import bpe, chat, decontamination, divergence, jaccard, langid, maxent, media, mincut, mixing, quality, toxicity
+from corpusloom.llm import bpe, chat, decontamination, divergence, features, jaccard, langid, maxent, media, mincut, mixing, quality, toxicity
 
 QUERIES = {
     "op1_matroska": media.query,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_chat": chat.query,
     "op10_jaccard": jaccard.query,
     "op11_divergence": divergence.query,
+    "op12_features": features.query,
     "op13_mixing": mixing.query,
 }
 ORACLES = {
     "op9_chat": chat.ORACLE_SQL,
     "op4_decontamination": decontamination.ORACLE_SQL,
     "op11_divergence": divergence.ORACLE_SQL,
+    "op12_features": features.ORACLE_SQL,
 }
