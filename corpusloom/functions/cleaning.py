@@ -55,6 +55,8 @@ def decode_all(c: pd.Series) -> pd.Series:
 URL_TAIL = r"""[^\t\n\f\r <>"{}|\\^`\[\]]+"""
 URLS = ("https?://" + URL_TAIL, r"www\." + URL_TAIL, "ftp://" + URL_TAIL)
 EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
+#: The same matches in linear time: a match starts a run of name characters, or where the match before ended.
+EMAIL_ONCE = r"(?:\G|(?<![a-zA-Z0-9._%+-]))[a-zA-Z0-9._%+-]++@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 PRECISE = r"\b(\d+\.\d{2})\d{2,}\b"
 MARKS = r"([!?.,:;]{3})[!?.,:;]+"
 QUOTES, PLAIN = "“”‘’", "\"\"''"
@@ -79,7 +81,7 @@ def mask_urls(c: Column) -> Column:
 
 
 def mask_emails(c: Column) -> Column:
-    return where_present(c, "@", lambda x: F.regexp_replace(x, EMAIL, "[EMAIL]"))
+    return where_present(c, "@", lambda x: F.regexp_replace(x, EMAIL_ONCE, "[EMAIL]"))
 
 
 def shorten_numbers(c: Column) -> Column:

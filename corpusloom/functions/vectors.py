@@ -6,10 +6,12 @@ import hashlib
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +40,52 @@ def nearest(vectors: DataFrame, query: list[float], k: int, key: str = "vec_id",
     return vectors.select(key, dot(F.col(column), q).alias("similarity")).orderBy(F.desc("similarity"), key).limit(k)
 
 
+def nearest_of(queries: DataFrame, vectors: DataFrame, k: int, block: int = 1024, key: str = "vec_id", column: str = "embedding") -> DataFrame:
+    """query_id, `key` and similarity of the `k` nearest vectors of each row of `queries` (query_id, q), itself left out.
+
+    Query vectors reach the driver `block` at a time and go out with one scan of all vectors; each task keeps `k` for each query of
+    the block, and those of all tasks are ranked. Similarities are compared at nine decimals, then by key.
+    """
+    found, waiting = [], []
+    rows = vectors.select(key, F.transform(column, lambda x: x.cast("double")).alias("v"))
+    kept = T.StructType([T.StructField("query_id", queries.schema["query_id"].dataType), T.StructField(key, vectors.schema[key].dataType), T.StructField("s", T.DoubleType())])
+
+    def scan(ids: list, matrix: np.ndarray) -> DataFrame:
+        names = np.array(ids)
+
+        def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            keys, scores = np.empty(0, object), np.empty((len(names), 0))
+            for pdf in batches:
+                pdf = pdf[pdf["v"].map(lambda v: v is not None and len(v) == matrix.shape[1])]
+                if len(pdf):
+                    more = np.round(matrix @ np.stack(pdf["v"].to_numpy()).T, 9)
+                    own = pdf[key].to_numpy()
+                    more[names[:, None] == own[None, :]] = -np.inf
+                    both, which = np.concatenate([scores, more], 1), np.concatenate([np.broadcast_to(keys, (len(names), keys.shape[-1])), np.broadcast_to(own, (len(names), len(own)))], 1) if keys.size else np.broadcast_to(own, (len(names), len(own)))
+                    order = np.lexsort((which, -both))[:, :k]
+                    scores, keys = np.take_along_axis(both, order, 1), np.take_along_axis(which, order, 1)
+            if keys.size:
+                at = scores > -np.inf
+                yield pd.DataFrame({"query_id": np.repeat(names, at.sum(1)), key: keys[at].astype(own.dtype), "s": scores[at]})
+
+        return rows.mapInPandas(best, kept)
+
+    def flush() -> None:
+        if waiting:
+            found.append(scan([w[0] for w in waiting], np.array([w[1] for w in waiting], float)))
+            waiting.clear()
+
+    for r in queries.toLocalIterator():
+        waiting.append((r.query_id, r.q))
+        if len(waiting) == block:
+            flush()
+    flush()
+    if not found:
+        return rows.select(F.lit(None).cast(kept[0].dataType).alias("query_id"), key, F.lit(0.0).alias("similarity")).limit(0)
+    order = Window.partitionBy("query_id").orderBy(F.desc("s"), key)
+    return reduce(DataFrame.union, found).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k).select("query_id", key, F.col("s").alias("similarity"))
+
+
 def embedding(text: str) -> np.ndarray | None:
     """384 numbers from letter trigrams, word frequencies, a sine and a hash, of unit length; None for an empty text."""
     if not text:

@@ -38,19 +38,32 @@ def sanitized(c: Column, trimmed: bool = False) -> Column:
 
 
 def sections(c: Column, size: int = 400, least: int = 50) -> Column:
-    """Lines gathered greedily into sections of over `size` bytes; pieces of at most `least` bytes are carried on, or dropped at the end."""
-    zero = F.struct(F.lit("").alias("cur"), F.array().cast("array<string>").alias("done"))
+    """Lines gathered greedily into sections of over `size` bytes; pieces of at most `least` bytes are carried on, or dropped at the end.
 
-    def step(acc: Column, line: Column) -> Column:
-        cur = F.concat(acc["cur"], line, F.lit("\n"))
-        full = (F.octet_length(cur) > size) & ((line == "") | (F.size(acc["done"]) < 10)) & (F.octet_length(t.trim(cur)) > least)
-        return F.struct(F.when(full, "").otherwise(cur).alias("cur"), F.when(full, F.concat(acc["done"], F.array(t.trim(cur)))).otherwise(acc["done"]).alias("done"))
+    The walk over the lines keeps byte counts only: of the piece so far, and of what lies before and after its outermost words.
+    """
+    measured = F.transform(t.lines(c), lambda x: F.struct(
+        x.alias("line"), F.octet_length(x).alias("n"), F.octet_length(F.ltrim(x, F.lit(t.UNICODE_SPACES))).alias("left"), F.octet_length(t.trim(x)).alias("bare"),
+    ))
+    none = F.lit(-1)
+    zero = F.struct(F.lit(1).alias("from"), F.lit(0).alias("lines"), F.lit(0).alias("n"), none.alias("first"), F.lit(0).alias("last"), F.array().cast("array<struct<from:int,lines:int>>").alias("done"))
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["n"] + x["n"] - x["left"]
+        first = F.when((acc["first"] < 0) & (x["bare"] > 0), start).otherwise(acc["first"])
+        last = F.when(x["bare"] > 0, start + x["bare"]).otherwise(acc["last"])
+        n, count = acc["n"] + x["n"] + 1, acc["lines"] + 1
+        full = (n > size) & ((x["line"] == "") | (F.size(acc["done"]) < 10)) & (last - first > least) & (first >= 0)
+        piece = F.array(F.struct(acc["from"].alias("from"), count.alias("lines")))
+        return F.when(full, F.struct((acc["from"] + count).alias("from"), F.lit(0).alias("lines"), F.lit(0).alias("n"), none.alias("first"), F.lit(0).alias("last"), F.concat(acc["done"], piece).alias("done"))).otherwise(
+            F.struct(acc["from"].alias("from"), count.alias("lines"), n.alias("n"), first.alias("first"), last.alias("last"), acc["done"].alias("done")))
 
     def finish(acc: Column) -> Column:
-        rest = t.trim(acc["cur"])
-        return F.when(F.octet_length(rest) > least, F.concat(acc["done"], F.array(rest))).otherwise(acc["done"])
+        rest = (acc["first"] >= 0) & (acc["last"] - acc["first"] > least)
+        return F.when(rest, F.concat(acc["done"], F.array(F.struct(acc["from"].alias("from"), acc["lines"].alias("lines"))))).otherwise(acc["done"])
 
-    return F.aggregate(t.lines(c), zero, step, finish)
+    pieces = F.aggregate(measured, zero, step, finish)
+    return F.transform(pieces, lambda p: t.trim(F.array_join(F.slice(t.lines(c), p["from"], p["lines"]), "\n")))
 
 
 def overview(c: Column, low: int = 50, high: int = 300, prefix: int = 200) -> Column:

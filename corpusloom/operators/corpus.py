@@ -99,13 +99,16 @@ def expected_and_actual(actual: DataFrame, expected: DataFrame, key: str) -> Dat
     return both.select(key, F.coalesce("actual", F.lit(0)).alias("actual"), F.coalesce("expected", F.lit(0)).alias("expected"), F.round(F.try_divide(F.coalesce("actual", F.lit(0)) * 100.0, F.col("expected").cast("double")), 6).alias("rate"))
 
 
-def as_of(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, value: str) -> DataFrame:
-    """For each left row the right value of the same key latest at or before it: one shuffle of both, no range join."""
-    rows = left.select("*", F.col(left_ts).alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast(right.schema[value].dataType).alias("_value"))
-    other = right.select(key, F.col(right_ts).alias("_at"), F.lit(0).alias("_side"), F.col(value).alias("_value"))
-    w = Window.partitionBy(key).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+def as_of(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, value: str, tie: str | None = None) -> DataFrame:
+    """For each left row the right value of the same key latest at or before it: one shuffle of both, no range join.
+
+    Of several values at one time that of the greatest `tie` counts, or the greatest value; null values count as absent.
+    """
+    rows = left.select("*", F.col(left_ts).alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast(right.schema[value].dataType).alias("_value"), F.lit(None).cast(right.schema[tie or value].dataType).alias("_tie"))
+    other = right.select(key, F.col(right_ts).alias("_at"), F.lit(0).alias("_side"), F.col(value).alias("_value"), F.col(tie or value).alias("_tie"))
+    w = Window.partitionBy(key).orderBy("_at", "_side", "_tie").rowsBetween(Window.unboundedPreceding, 0)
     both = rows.unionByName(other, allowMissingColumns=True).withColumn(value, F.last("_value", ignorenulls=True).over(w))
-    return both.where("_side = 1").drop("_at", "_side", "_value")
+    return both.where("_side = 1").drop("_at", "_side", "_value", "_tie")
 
 
 def as_of_time(versions: DataFrame, key: str, ts: str, when: Column) -> DataFrame:

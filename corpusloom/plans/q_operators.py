@@ -126,16 +126,10 @@ def similar_topk(spark, sf_dir):
 
 @query(f"SELECT a.vec_id AS query_id, b.vec_id, round({_DOT}, 6) AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0 QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY round({_DOT}, 9) DESC, b.vec_id) <= 5")
 def similar_search(spark, sf_dir):
-    """Five nearest of each stated query vector, against all vectors: queries go out in one bounded block."""
+    """Five nearest of each stated query vector, against all vectors."""
     vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    out = None
-    for block in range(1):  # one block of queries here; larger sets take more
-        queries = vectors.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
-        listed = queries.agg(F.collect_list(F.struct("query_id", "q")).alias("qs"))
-        scored = vectors.join(F.broadcast(listed)).select("vec_id", F.explode(F.transform("qs", lambda x: F.struct(x["query_id"].alias("query_id"), v.dot(F.col("embedding"), x["q"]).alias("s")))).alias("x")).where("x.query_id <> vec_id")
-        best = scored.groupBy("x.query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.round("x.s", 9)).alias("n"), "vec_id"))), 1, 5).alias("top"))
-        out = best.select("query_id", F.inline("top")).select("query_id", "vec_id", F.round(-F.col("n"), 6).alias("similarity"))
-    return out
+    queries = vectors.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
+    return v.nearest_of(queries, vectors, 5).withColumn("similarity", F.round("similarity", 6))
 
 
 @query("SELECT label, count(*) AS vectors, round(avg(sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])))), 6) AS mean_norm FROM embeddings GROUP BY label")

@@ -1,7 +1,11 @@
 """The query language, the store, cleaning, quality, search and the rest on small fixtures."""
 
 import datetime as dt
+import random
+import re
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -235,6 +239,58 @@ def test_sections_and_as_of(spark):
     assert {tuple(r) for r in corpus.as_of(left, right, "k", "t", "s", "v").select("k", "t", "v").collect()} == {("k", 5, "b"), ("k", 1, None), ("z", 5, None)}
 
 
+def test_sections_against_brute_force_in_linear_time(spark):
+    rng = random.Random(3)
+
+    def brute(text, size=400, least=50):
+        cur, done = "", []
+        for line in text.split("\n"):
+            cur += line + "\n"
+            if len(cur.encode()) > size and (line == "" or len(done) < 10) and len(cur.strip().encode()) > least:
+                done.append(cur.strip())
+                cur = ""
+        return done + ([cur.strip()] if len(cur.strip().encode()) > least else [])
+
+    texts = ["\n".join(rng.choice(["", "  ", "\u00a0é word" * rng.randint(1, 30), " x " * rng.randint(1, 90)]) for _ in range(rng.randint(0, 150))) for _ in range(60)]
+    rows = spark.createDataFrame([(x,) for x in texts], "t string").select("t", conversations.sections(F.col("t")).alias("s")).collect()
+    assert all(r.s == brute(r.t) for r in rows)
+    begun = time.time()
+    assert spark.createDataFrame([("some words here\n" * 60_000,)], "t string").select(F.size(conversations.sections(F.col("t")))).first()[0] == 11
+    assert time.time() - begun < 20
+
+
+def test_email_mask_keeps_its_matches_in_linear_time(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("ab.@_-%c ", [5, 5, 4, 4, 1, 1, 1, 5, 1], k=rng.randint(0, 60))) for _ in range(2000)] + ["a@b.co_x@e.fr", "a@b.co@c.de"]
+    for r in spark.createDataFrame([(x,) for x in texts], "t string").select("t", cleaning.mask_emails(F.col("t")).alias("m")).collect():
+        assert r.m == re.sub(cleaning.EMAIL, "[EMAIL]", r.t)
+    begun = time.time()
+    spark.createDataFrame([("a@" + "b" * 400_000 + "@" + "c." * 100_000,)], "t string").select(cleaning.mask_emails(F.col("t"))).collect()
+    assert time.time() - begun < 10
+
+
+def test_as_of_takes_the_greatest_of_a_tie(spark):
+    left = spark.createDataFrame([("k", 5)], "k string, t int")
+    right = spark.createDataFrame([("k", 2, "b", 1), ("k", 2, "a", 9), ("k", 2, None, 10)], "k string, s int, v string, nth int").repartition(3)
+    assert corpus.as_of(left, right, "k", "t", "s", "v").first()["v"] == "b"
+    assert corpus.as_of(left, right, "k", "t", "s", "v", tie="nth").first()["v"] == "a"
+
+
+@pytest.mark.parametrize("block", [2, 100])
+def test_nearest_of_many(spark, block):
+    rng = np.random.default_rng(1)
+    m = rng.normal(size=(60, 5))
+    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(m)] + [(70, None), (71, [1.0])], "vec_id long, embedding array<double>").repartition(4)
+    queries = rows.where("vec_id < 5").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
+    got = {}
+    for r in vectors.nearest_of(queries, rows, 3, block=block).orderBy("query_id", F.desc("similarity")).collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    s = m @ m.T
+    np.fill_diagonal(s, -np.inf)
+    assert got == {i: np.argsort(-s[i])[:3].tolist() for i in range(5)}
+    assert vectors.nearest_of(queries.limit(0), rows, 3).count() == 0 == vectors.nearest_of(queries, rows.limit(0), 3).count()
+
+
 def test_bold_reaches_past_the_first_characters(spark, tmp_path):
     import __spark_entry__
 
