@@ -132,8 +132,10 @@ def chunked(rows: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     whole = START | sum(EXPIRE) | SOLD | ASKED
     small = rows.join(large, "client", "left_anti").select("*", F.lit(0).cast("long").alias("chunk"), F.lit(whole).alias("role"))
     most = rows.join(large, "client", "left_semi")
-    none = F.lit(None).cast("long")
-    parts = _parts(most.withColumn("item", none).unionByName(item_intervals(most))).withColumn("hour", F.floor(F.col("at") / HOUR))
+    # lines of one sale and day, and items that come and go together, are one row
+    lasting = most.where(F.col("kind") == LINE).unionByName(item_intervals(most)).groupBy("client", "kind", "a", "b").agg(F.sum("cents").alias("cents"), F.sum("n").alias("n"))
+    rest = most.where(F.col("kind") != LINE).unionByName(lasting, allowMissingColumns=True).withColumn("item", F.lit(None).cast("long"))
+    parts = _parts(rest).withColumn("hour", F.floor(F.col("at") / HOUR))
     sums = Window.partitionBy("client").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
     cut = written(parts.groupBy("client", "hour").count().withColumn("chunk", F.floor(F.coalesce(F.sum("count").over(sums), F.lit(0)) / chunk_rows)).drop("count"), "hours")
     placed = written(parts.join(cut, ["client", "hour"]).drop("hour", "at"), "parts")
@@ -245,7 +247,8 @@ def worked_out(rows: pa.Table, group: np.ndarray) -> Iterator[pa.RecordBatch]:
         g, begin, end = _united(group[m], item[m], a[m], expiry[m])
         s, e = np.flatnonzero((kind == ITEMS + i) & (role & START > 0)), np.flatnonzero((kind == ITEMS + i) & (role & EXPIRE[i] > 0))
         begins, ends = np.concatenate([place(begin, g), place(a[s], group[s])]), np.concatenate([place(end, g), place(b[e], group[e])])
-        results[7] += _Sums(begins, [np.ones(len(begins), np.int64)]).upto(at, first)[0] - _Sums(ends, [np.ones(len(ends), np.int64)]).upto(at, first)[0]
+        own = np.ones(len(g), np.int64)
+        results[7] += _Sums(begins, [np.concatenate([own, x["n"][s]])]).upto(at, first)[0] - _Sums(ends, [np.concatenate([own, x["n"][e]])]).upto(at, first)[0]
         last = pa.array(last_id, mask=(last_id == _LEAST) | (last_b <= t[asked] - d * DAY))
         got = dict(zip(COUNTED, map(pa.array, results))) | {"sale_id": sale_id, "d": pa.array(np.full(len(asked), d, np.int32)), "t_us": pa.array(t[asked]), "label": pa.array(label), "last_click_id": last}
         yield pa.RecordBatch.from_arrays([got[c].cast(_OUT.field(c).type) for c in _OUT.names], schema=_OUT)
