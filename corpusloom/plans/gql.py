@@ -1,7 +1,13 @@
 """A small query language over documents, compiled to DataFrame transformations.
 
-    SELECT FROM documents|authors|sources|attribution
-      [WHERE condition] [ORDER BY field [ASC|DESC]] [LIMIT n|ALL]
+    SELECT [item, ...] FROM documents|authors|sources|attribution [[AS] name]
+      [[LEFT] JOIN view [[AS] name] ON field = field [AND ...]]
+      [WHERE condition] [GROUP BY field, ...] [HAVING condition] [ORDER BY field [ASC|DESC]] [LIMIT n|ALL]
+
+An item is a field or COUNT(*), COUNT, SUM, AVG, MIN or MAX of a field, COUNT(DISTINCT field) too, with AS and a name; without items
+all columns of the view are selected. COUNT of a field counts where it exists; SUM and AVG take texts as numbers. With a
+join, `name.field` is a field of that side, and a bare field must be a column of one side only; the columns of an itemless
+join are named `name_column`. HAVING and ORDER BY may use names of items.
 
 A condition combines predicates with AND, OR, NOT and brackets; a predicate is `field op value` with = != > < >= <= ~,
 `field [NOT] EXISTS`, `field [NOT] IN (a, b)` or `field BETWEEN a AND b`. Fields are columns of the view or keys of the
@@ -40,7 +46,7 @@ class Token:
 
 
 _TOKEN = re.compile(
-    r"""(?P<space>[ \t\n]+)|(?P<string>"(?:\\.|[^"\\])*"|'(?:\\.|[^'\\])*')|(?P<number>-?\d[\d.]*)|(?P<word>[A-Za-z_][\w.]*)|(?P<op>!=|>=|<=|[=<>~(),])""",
+    r"""(?P<space>[ \t\n]+)|(?P<string>"(?:\\.|[^"\\])*"|'(?:\\.|[^'\\])*')|(?P<number>-?\d[\d.]*)|(?P<word>[A-Za-z_][\w.]*)|(?P<op>!=|>=|<=|[=<>~(),*])""",
     re.S | re.A,
 )
 
@@ -70,6 +76,21 @@ class Group:
     parts: tuple
 
 
+@dataclass(frozen=True)
+class Item:
+    field: str  # "*" in COUNT(*)
+    name: str
+    function: str | None = None  # count, count distinct, sum, avg, min, max
+
+
+@dataclass(frozen=True)
+class Join:
+    kind: str
+    name: str
+    on: tuple[tuple[str, str], ...]
+    outer: bool = False
+
+
 @dataclass(frozen=True)
 class Query:
     kind: str
@@ -77,6 +98,14 @@ class Query:
     order_by: str | None = None
     descending: bool = False
     limit: int | None = LIMIT  # None: all rows
+    items: tuple[Item, ...] = ()
+    name: str | None = None  # None: the view's own
+    join: Join | None = None
+    group: tuple[str, ...] = ()
+    having: Predicate | Group | None = None
+
+
+FUNCTIONS = ("count", "sum", "avg", "min", "max")
 
 
 class _Parser:
@@ -110,13 +139,80 @@ class _Parser:
         self.at += 1
         return self.tokens[self.at - 1].text
 
-    def query(self) -> Query:
-        self.need("select")
-        self.need("from")
+    def ahead(self, *names: str) -> bool:
+        return self.next.kind == "word" and self.next.text.lower() in names
+
+    def view(self) -> tuple[str, str]:
+        """A view and the name it goes by."""
         kind = self.name().lower()
         if kind not in KINDS:
             raise QueryError(f"unknown view {kind!r}")
+        if self.word("as"):
+            return kind, self.name()
+        named = self.next.kind == "word" and not self.ahead("join", "left", "on", "where", "group", "having", "order", "limit")
+        return kind, self.name() if named else kind
+
+    def item(self) -> Item:
+        following = self.tokens[self.at + 1] if self.next.kind == "word" else None
+        if self.ahead(*FUNCTIONS) and following.text == "(":
+            function = self.name().lower()
+            self.need("(")
+            if function == "count" and self.sign("*"):
+                of, label = "*", "count"
+            else:
+                function += " distinct" if function == "count" and self.ahead("distinct") and self.tokens[self.at + 1].kind == "word" and self.word("distinct") else ""
+                of = self.name()
+                label = f"{function.split()[0]}_{of.rpartition('.')[2]}"
+            self.need(")")
+        else:
+            function, of = None, self.name()
+            label = of.rpartition(".")[2]
+        return Item(of, self.name() if self.word("as") else label, function)
+
+    def joined(self) -> Join | None:
+        outer = self.ahead("left") and self.word("left")
+        if not self.word("join"):
+            if outer:
+                raise QueryError(f"expected JOIN at {self.next.at}")
+            return None
+        kind, name = self.view()
+        self.need("on")
+        on = []
+        while True:
+            left = self.name()
+            self.need("=")
+            on.append((left, self.name()))
+            if not self.word("and"):
+                return Join(kind, name, tuple(on), bool(outer))
+
+    def query(self) -> Query:
+        self.need("select")
+        items = []
+        if not self.ahead("from") or self.tokens[self.at + 1].kind != "word":
+            items.append(self.item())
+            while self.sign(","):
+                items.append(self.item())
+        self.need("from")
+        kind, name = self.view()
+        join = self.joined()
+        if join and join.name == name:
+            raise QueryError(f"two views are named {name!r}")
         where = self.any_of() if self.word("where") else None
+        group = []
+        if self.word("group"):
+            self.need("by")
+            group.append(self.name())
+            while self.sign(","):
+                group.append(self.name())
+        having = self.any_of() if self.word("having") else None
+        if group or any(i.function for i in items):
+            loose = [i.field for i in items if not i.function and i.field not in group]
+            if loose or not items:
+                raise QueryError(f"neither grouped nor counted: {', '.join(loose)}" if loose else "GROUP BY needs items")
+        elif having:
+            raise QueryError("HAVING needs groups")
+        if len({i.name for i in items}) < len(items):
+            raise QueryError("two items have one name")
         order, down, limit = None, False, LIMIT
         if self.word("order"):
             self.need("by")
@@ -124,12 +220,13 @@ class _Parser:
             down = self.word("desc") or (self.word("asc") and False)
         if self.word("limit"):
             if self.word("all"):
-                return self.finished(Query(kind, where, order, down, None))
-            if self.next.kind != "number" or not re.fullmatch(r"\d+(\.0*)?", self.next.text):
-                raise QueryError(f"expected a whole number at {self.next.at}")
-            limit = int(float(self.next.text))
-            self.at += 1
-        return self.finished(Query(kind, where, order, down, limit))
+                limit = None
+            else:
+                if self.next.kind != "number" or not re.fullmatch(r"\d+(\.0*)?", self.next.text):
+                    raise QueryError(f"expected a whole number at {self.next.at}")
+                limit = int(float(self.next.text))
+                self.at += 1
+        return self.finished(Query(kind, where, order, down, limit, tuple(items), None if name == kind else name, join, tuple(group), having))
 
     def finished(self, query: Query) -> Query:
         if self.next.kind != "end":
@@ -298,14 +395,16 @@ class Views:
     library: DataFrame
     marker: str
 
-    def resolver(self, df: DataFrame) -> Callable[[str], Column]:
+    def resolver(self, df: DataFrame, prefix: str = "") -> Callable[[str], Column]:
+        """What a field is among the columns of `df`, which go by their names with `prefix`."""
+
         def resolve(name: str) -> Column:
             if name == "author" and "authors" in df.columns and "author" in df.columns:
-                return F.coalesce(F.nullif(F.col("author"), F.lit("")), F.col("authors"))
+                return F.coalesce(F.nullif(F.col(f"{prefix}author"), F.lit("")), F.col(f"{prefix}authors"))
             if name in df.columns:
-                return F.col(f"`{name}`")
+                return F.col(f"`{prefix}{name}`")
             if "metadata" in df.columns:
-                return F.try_element_at(F.col("metadata"), F.lit(name))
+                return F.try_element_at(F.col(f"{prefix}metadata"), F.lit(name))
             return F.lit(None).cast("string")
 
         return resolve
@@ -386,17 +485,77 @@ def condition(node: Predicate | Group | None, df: DataFrame, resolve: Callable[[
     return {"=": a == b, ">": a > b, "<": a < b, ">=": a >= b, "<=": a <= b}[node.op]
 
 
+def _joined(q: Query, views: Views) -> tuple[DataFrame, list[Column], Callable[[str], Column]]:
+    """The rows of two views joined, their natural order, and the meaning of a field: of one side by its name, or of the only side that has it."""
+    sides, orders = {}, []
+    for name, kind in ((q.name or q.kind, q.kind), (q.join.name, q.join.kind)):
+        df, _ = views.view(kind)
+        sides[name] = (df.select(*[F.col(f"`{c}`").alias(f"{name}_{c}") for c in df.columns]), df)
+        orders.append(F.col(f"{name}_{'id' if kind == 'documents' else 'author' if kind == 'authors' else 'source'}"))
+
+    def of(name: str, field_name: str) -> Column:
+        _, plain = sides[name]
+        return views.resolver(plain, f"{name}_")(field_name)
+
+    def resolve(text: str) -> Column:
+        name, dot, rest = text.partition(".")
+        if dot and name in sides:
+            return of(name, rest)
+        having = [n for n, (_, plain) in sides.items() if text in plain.columns]
+        if len(having) == 1:
+            return of(having[0], text)
+        with_metadata = [n for n, (_, plain) in sides.items() if "metadata" in plain.columns]
+        if having or len(with_metadata) != 1:
+            raise QueryError(f"which view's field is {text!r}?")
+        return of(with_metadata[0], text)
+
+    (left, _), (right, _) = sides.values()
+    both = left.join(right, reduce(lambda a, b: a & b, [resolve(a) == resolve(b) for a, b in q.join.on]), "left" if q.join.outer else "inner")
+    return both, orders, resolve
+
+
+def _aggregated(item: Item, df: DataFrame, resolve: Callable[[str], Column]) -> Column:
+    if item.field == "*":
+        return F.count(F.lit(1)).alias(item.name)
+    f = resolve(item.field)
+    text = isinstance(df.select(f).schema[0].dataType, T.StringType)
+    number = f.try_cast("double") if text else f
+    made = {
+        "count": lambda: F.count(F.nullif(f, F.lit("")) if text else f), "count distinct": lambda: F.count_distinct(F.nullif(f, F.lit("")) if text else f),
+        "sum": lambda: F.sum(number), "avg": lambda: F.avg(number), "min": lambda: F.min(f), "max": lambda: F.max(f),
+    }
+    return made[item.function]().alias(item.name)
+
+
 def plan(query: Query | str, views: Views) -> DataFrame:
-    """The query's rows. Sorting and limiting together plan as one top-k."""
+    """The query's rows. Sorting and limiting together plan as one top-k; filters on one side of a join reach that side's scan."""
     q = parse(query) if isinstance(query, str) else query
-    df, natural = views.view(q.kind)
-    resolve = views.resolver(df)
+    if q.join:
+        df, natural, resolve = _joined(q, views)
+    else:
+        df, natural = views.view(q.kind)
+        plain = views.resolver(df)
+        resolve = lambda text: plain(text.removeprefix(f"{q.name or q.kind}."))
     df = df.where(condition(q.where, df, resolve))
+    grouped = bool(q.group) or any(i.function for i in q.items)
+    if grouped:
+        kept = {g: next((i.name for i in q.items if i.field == g and not i.function), g.rpartition(".")[2]) for g in q.group}
+        df = df.groupBy(*[resolve(g).alias(n) for g, n in kept.items()]).agg(*[_aggregated(i, df, resolve) for i in q.items if i.function])
+        natural = [F.col(f"`{n}`") for n in kept.values()]
+        inner, resolve = df, lambda text: F.col(f"`{kept.get(text, text)}`") if kept.get(text, text) in inner.columns else _unknown(text)
+        df = df.where(condition(q.having, df, resolve))
+    chosen = None if not q.items else [F.col(f"`{kept[i.field]}`" if not i.function else f"`{i.name}`") for i in q.items] if grouped else [resolve(i.field).alias(i.name) for i in q.items]
     order = natural
     if q.order_by:
-        f = resolve(q.order_by)
+        named = next((i for i in q.items if i.name == q.order_by and not i.function), None)
+        f = resolve(named.field) if named and not grouped else resolve(q.order_by)
         f = F.coalesce(f, F.lit("")) if isinstance(df.select(f).schema[0].dataType, T.StringType) else f
-        last = F.col("id") if q.kind == "documents" else natural[-1]
-        order = [f.desc() if q.descending else f.asc(), last]
-    ordered = df.orderBy(*order)
-    return ordered if q.limit is None else ordered.limit(q.limit)
+        last = [F.col("id")] if q.kind == "documents" and not q.join and not grouped else natural if q.join or grouped else natural[-1:]
+        order = [f.desc() if q.descending else f.asc(), *last]
+    ordered = df.orderBy(*order) if order else df
+    limited = ordered if q.limit is None else ordered.limit(q.limit)
+    return limited if chosen is None else limited.select(*chosen)
+
+
+def _unknown(text: str) -> Column:
+    raise QueryError(f"neither grouped nor counted: {text}")

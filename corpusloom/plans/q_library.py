@@ -48,13 +48,27 @@ QUERIES = {k: _gql(text, *DOC) for k, (text, _) in _CASES.items()}
 ORACLES = {k: sql for k, (_, sql) in _CASES.items()}
 
 QUERIES |= {
+    "gql_group_by": _gql('SELECT source, language, COUNT(*) AS n, COUNT(quality_tier) AS judged, AVG(words) AS mean, MAX(created_at) AS newest FROM documents WHERE title exists GROUP BY source, language HAVING n > 1 ORDER BY n DESC LIMIT ALL'),
+    "gql_totals": _gql("SELECT COUNT(*) AS n, COUNT(DISTINCT source) AS sources, SUM(words) AS words, MIN(words) AS least FROM documents WHERE language != 'en'"),
+    "gql_join": _gql("SELECT d.id AS id, d.title AS title, s.count AS in_source FROM documents d JOIN sources AS s ON d.source = s.source WHERE d.language = 'fr' AND s.count > 10 ORDER BY in_source DESC LIMIT ALL"),
+    "gql_join_grouped": _gql("SELECT a.author AS author, COUNT(*) AS n, AVG(document_count) AS listed FROM documents d LEFT JOIN authors a ON d.author = a.author WHERE d.words > 20 GROUP BY a.author ORDER BY n DESC LIMIT ALL"),
     "gql_sources": _gql("SELECT FROM sources", "source", "count"),
     "gql_sources_filtered": _gql("SELECT FROM sources WHERE count > 40 AND source ~ 'src1' ORDER BY source", "source", "count"),
     "gql_authors": _gql("SELECT FROM authors", "author", "document_count"),
     "gql_attribution": _gql("SELECT FROM attribution WHERE document_count > 10"),
 }
 _COUNTS = f"WITH {LIBRARY}, s AS (SELECT source, count(*) AS count FROM library GROUP BY source) "
+_AUTHORS = """a AS (
+  SELECT author, count(*) AS document_count FROM (
+    SELECT unnest(CASE WHEN coalesce(author, '') = '' THEN names ELSE list_prepend(author, list_filter(names, lambda x: x <> author)) END) AS author
+    FROM (SELECT author, list_filter(list_transform(string_split(authors, ','), lambda x: trim(x)), lambda x: x <> '') AS names FROM library)) GROUP BY author)"""
 ORACLES |= {
+    "gql_group_by": f"""WITH {LIBRARY} SELECT source, language, count(*) AS n, count(quality_tier) AS judged, avg({_WORDS}) AS mean, max(created_at) AS newest
+      FROM library WHERE coalesce(title, '') <> '' GROUP BY source, language HAVING count(*) > 1""",
+    "gql_totals": f"WITH {LIBRARY} SELECT count(*) AS n, count(DISTINCT source) AS sources, CAST(sum({_WORDS}) AS DOUBLE) AS words, CAST(min(CAST({_WORDS} AS VARCHAR)) AS VARCHAR) AS least FROM library WHERE coalesce(language <> 'en', true)",
+    "gql_join": _COUNTS + "SELECT id, title, count AS in_source FROM library JOIN s USING (source) WHERE language = 'fr' AND count > 10",
+    "gql_join_grouped": f"""WITH {LIBRARY}, {_AUTHORS}
+      SELECT a.author AS author, count(*) AS n, avg(document_count) AS listed FROM library d LEFT JOIN a ON coalesce(nullif(d.author, ''), d.authors) = a.author WHERE {_WORDS} > 20 GROUP BY a.author""",
     "gql_sources": _COUNTS + "SELECT source, count FROM s ORDER BY count DESC, source LIMIT 100",
     "gql_sources_filtered": _COUNTS + "SELECT source, count FROM s WHERE count > 40 AND source LIKE '%src1%'",
     "gql_authors": f"""WITH {LIBRARY}, a AS (

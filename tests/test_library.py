@@ -230,6 +230,55 @@ def test_pages(spark):
     assert problems.where(~web.url_problem(F.col("u")).eqNullSafe(F.col("p"))).count() == 0
 
 
+
+def rows_of(df):
+    return [tuple(r) for r in df.collect()]
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("SELECT source, COUNT(*) FROM documents GROUP BY source", [("", 1), ("PubMed", 1), ("arXiv", 2)]),
+        ("SELECT COUNT(author) AS named, COUNT(DISTINCT source) AS sources, MIN(id) FROM documents", [(4 - 1, 2, "t1")]),
+        ("SELECT title AS t, id FROM documents WHERE source = 'arXiv' ORDER BY t DESC", [("Transformer Architecture Analysis", "t3"), ("Neural Networks in Machine Learning", "t1")]),
+        ("SELECT source AS s, COUNT(*) AS n FROM documents GROUP BY source HAVING n > 1 ORDER BY n DESC", [("arXiv", 2)]),
+        ("SELECT d.id AS id, s.count AS n FROM documents d JOIN sources s ON d.source = s.source WHERE s.count > 1", [("t1", 2), ("t3", 2)]),
+        ("SELECT d.id AS id, s.count AS n FROM documents AS d LEFT JOIN sources s ON d.source = s.source AND d.title = s.source LIMIT ALL", [("t1", None), ("t2", None), ("t3", None), ("t4", None)]),
+        ("SELECT attribution, COUNT(*) AS n FROM documents GROUP BY attribution ORDER BY n DESC LIMIT 1", [(None, 2)]),
+        ("SELECT a.author AS name, COUNT(*) AS n, AVG(document_count) AS listed FROM documents d JOIN authors a ON d.author = a.author GROUP BY a.author", [("Alice Johnson", 1, 1.0), ("John Smith", 1, 1.0)]),
+    ],
+)
+def test_groups_and_joins(views, text, want):
+    assert rows_of(gql.plan(text, views)) == want
+
+
+def test_columns_of_a_join_without_items(views):
+    df = gql.plan("SELECT FROM documents d JOIN sources s ON d.source = s.source", views)
+    assert df.columns[:2] == ["d_id", "d_source"] and df.columns[-2:] == ["s_source", "s_count"] and df.count() == 3
+
+
+@pytest.mark.parametrize(
+    "text,why",
+    [
+        ("SELECT id, COUNT(*) FROM documents", "neither grouped nor counted"), ("SELECT FROM documents GROUP BY source", "needs items"), ("SELECT id FROM documents HAVING id = 1", "needs groups"),
+        ("SELECT source, COUNT(*) FROM documents GROUP BY source HAVING title = 'x'", "neither grouped"), ("SELECT id, id FROM documents", "one name"), ("SELECT FROM documents d JOIN sources d ON source = source", "two views"),
+        ("SELECT FROM documents d JOIN sources s ON source = s.source", "which view"), ("SELECT FROM documents d JOIN documents e ON d.id = e.id WHERE nowhere = 1", "which view"), ("SELECT FROM documents LEFT sources", "expected JOIN"),
+        ("SELECT COUNT( FROM documents", r"expected \)"), ("SELECT COUNT() FROM documents", "expected a field"), ("SELECT COUNT(* FROM documents", "expected"), ("SELECT id FROM nowhere", "unknown view"),
+    ],
+)
+def test_errors_of_groups_and_joins(views, text, why):
+    with pytest.raises(gql.QueryError, match=why):
+        gql.plan(text, views)
+
+
+def test_filters_reach_below_the_join(spark, tmp_path):
+    lib = spark.createDataFrame([("t1", "a", "x", dt.datetime(2024, 1, 1))], "id string, source string, title string, created_at timestamp")
+    lib.write.parquet(str(tmp_path / "lib"))
+    views = gql.Views(spark.read.parquet(str(tmp_path / "lib")), "m")
+    plan = gql.plan("SELECT d.id AS id, e.title AS t FROM documents d JOIN documents e ON d.source = e.source WHERE d.title = 'x' AND e.id > 't0'", views)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(title,x)" in plan and "GreaterThan(id,t0)" in plan
+
+
 def test_sections_and_as_of(spark):
     df = spark.createDataFrame([("\n".join(["line of text number %d with more words" % i for i in range(40)]),)], "t string")
     parts = df.select(conversations.sections(F.col("t"))).first()[0]
