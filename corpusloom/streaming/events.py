@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from corpusloom.functions.cleaning import Cleaner
+from corpusloom.sources.scratch import new_path, shared_dir
 
 
 def source(spark: SparkSession, path: str, files_per_trigger: int = 16) -> DataFrame:
@@ -70,29 +71,57 @@ def adaptive_delays(requests: DataFrame, first: float = 1.0, low: float = 0.1, h
     return requests.groupBy("key").applyInPandasWithState(step, "key string, seen long, delay double", "seen long, delay double, past string", "update", GroupStateTimeout.NoTimeout)
 
 
+def checkpoint(spark: SparkSession, name: str) -> str:
+    """The folder of a named stream's progress: the same name goes on where an earlier run stopped."""
+    return f"{shared_dir(spark)}/streams/{name}"
+
+
+def run_to_end(stream: DataFrame, sink: Callable[[DataFrame, int], None], progress: str, mode: str = "append") -> StreamingQuery:
+    """Hands what is there now to `sink`, batch by batch, and waits; `progress` is the checkpoint, so a later call goes on after it."""
+    query = stream.writeStream.foreachBatch(sink).outputMode(mode).option("checkpointLocation", progress).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def batch_files(path: str) -> Callable[[DataFrame, int], None]:
+    """A sink that writes each batch as Parquet under its number, so a batch that runs again replaces itself."""
+    return lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+
 def to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Runs a stream over what is there now and returns the result; for bounded runs and checks."""
+    """Runs a stream over what is there now, from the beginning, and returns its rows; for bounded runs and checks.
+
+    Batches are Parquet files in the shared folder. In complete mode the last batch is the result.
+    """
     spark = stream.sparkSession
-    checkpoint = tempfile.mkdtemp(prefix="corpusloom-stream-") if spark.conf.get("spark.checkpoint.dir", None) is None else f"{spark.conf.get('spark.checkpoint.dir')}/stream-{name}-{id(stream)}"
-    query: StreamingQuery = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.table(name)
+    path = new_path(spark, f"stream-{name}")
+    run_to_end(stream, batch_files(f"{path}/rows"), f"{path}/progress", mode)
+    rows = spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])).option("recursiveFileLookup", "false").parquet(f"{path}/rows")
+    if mode == "complete":
+        rows = rows.join(rows.agg(F.max("batch").alias("batch")), "batch")
+    return rows.select(*stream.columns)
+
 
+def clean_on_arrival(docs: DataFrame, path: str, progress: str, cleaner: Cleaner | None = None, kind: str = "text", text: str = "text", trigger: dict | None = None) -> StreamingQuery:
+    """Cleans documents as they are added: rows with event_type document.cleaned, or document.failed with an error, as Parquet by batch.
 
-def clean_on_arrival(docs: DataFrame, sink: Callable[[DataFrame, int], None], cleaner: Cleaner | None = None, kind: str = "text") -> StreamingQuery:
-    """Cleans documents as they are added and hands each batch to `sink`, which must be idempotent by batch id."""
+    A text that is null cannot be cleaned and fails; an error of a whole batch stops the stream, which goes on from `progress`. A batch
+    that runs again replaces its files, so nothing is lost or written twice.
+    """
+    sink = batch_files(path)
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        sink((cleaner or Cleaner()).apply(batch, kind=kind).withColumn("event_type", F.lit("document.cleaned")), batch_id)
+    def each(batch: DataFrame, number: int) -> None:
+        missing = F.col(text).isNull()
+        cleaned = (cleaner or Cleaner()).apply(batch, text=text, kind=kind)
+        sink(cleaned.withColumns({"event_type": F.when(missing, "document.failed").otherwise("document.cleaned"), "error": F.when(missing, "no text to clean")}), number)
 
-    return docs.writeStream.foreachBatch(each).trigger(availableNow=True).start()
+    return docs.writeStream.foreachBatch(each).option("checkpointLocation", progress).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def token_bucket(requests: DataFrame, capacity: int = 10, refill_s: float = 1.0) -> DataFrame:
     """order, key, granted of a stream (key, ts, order): each key's bucket refills one token per whole `refill_s` passed.
 
-    Time that does not fill a whole token is kept, because the refill mark moves only when tokens are added. State is the
-    number of tokens and the mark.
+    Time that does not fill a whole token is kept: the mark moves on by whole refills. State is the number of tokens and the mark.
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -102,7 +131,7 @@ def token_bucket(requests: DataFrame, capacity: int = 10, refill_s: float = 1.0)
         for ts in rows["ts"]:
             passed = ts.timestamp() - mark
             if passed >= refill_s:
-                tokens, mark = min(capacity, tokens + int(passed // refill_s)), ts.timestamp()
+                tokens, mark = min(capacity, tokens + int(passed // refill_s)), mark + passed // refill_s * refill_s
             granted.append(tokens > 0)
             tokens -= tokens > 0
         state.update((tokens, mark))

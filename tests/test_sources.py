@@ -56,7 +56,8 @@ def test_streams(spark, tmp_path):
     docs = spark.createDataFrame([("1", "a  <b>b</b>")], "id string, text string")
     docs.write.parquet(str(tmp_path / "d.parquet"))
     cleaned = []
-    events.clean_on_arrival(events.source(spark, str(tmp_path / "d.parquet")), lambda df, n: cleaned.extend(df.collect())).awaitTermination()
+    events.clean_on_arrival(events.source(spark, str(tmp_path / "d.parquet")), str(tmp_path / "out"), str(tmp_path / "progress")).awaitTermination()
+    cleaned.extend(spark.read.parquet(str(tmp_path / "out")).collect())
     assert [r.cleaned for r in cleaned] == ["a b"]
 
 
