@@ -131,8 +131,8 @@ class Media:
     doc_type: str = "matroska"
     tracks: dict[int, dict] = field(default_factory=dict)
     packets: list[Packet] = field(default_factory=list)
-    cues: list[tuple[int, int, int, int | None]] = field(default_factory=list)  # time in ns, track, cluster position in the segment, block position in the cluster
-    clusters: list[int] = field(default_factory=list)  # positions of the cluster elements in the segment
+    cues: list[tuple[int, int, tuple[int, int], int | None]] = field(default_factory=list)  # time in ns, track, segment and the cluster's position in it, block position in the cluster
+    clusters: list[tuple[int, int]] = field(default_factory=list)  # segment and position in it of the cluster elements
     lost_cues: int = 0  # cues that point to no packet
     duration_ns: int = 0
 
@@ -265,7 +265,7 @@ def _demuxed(d: bytes) -> Media:
     for ident, a, b in _elements(d, *top[0][1:]):
         if ident == DOC_TYPE:
             m.doc_type = d[a:b].decode("ascii", "replace")
-    for ident, seg_a, seg_b in top[1:]:
+    for segment, (ident, seg_a, seg_b) in enumerate(top[1:]):
         if ident != SEGMENT:
             continue
         for start, ident, a, b in _placed(d, seg_a, seg_b):
@@ -286,7 +286,7 @@ def _demuxed(d: bytes) -> Media:
                             "bits": _number(d, *audio[BIT_DEPTH]) if BIT_DEPTH in audio else 0,
                         }
             elif ident == CLUSTER:
-                m.clusters.append(start - seg_a)
+                m.clusters.append((segment, start - seg_a))
                 base = 0
                 for place, i, x, y in _placed(d, a, b):
                     if i in (SIMPLE_BLOCK, BLOCK_GROUP):
@@ -303,10 +303,12 @@ def _demuxed(d: bytes) -> Media:
                                 _packets(d, p, q, base, scale, m, key)
             elif ident == CUES:
                 for i, x, y in _elements(d, a, b):
-                    point = {j: (p, q) for j, p, q in _elements(d, x, y)}
-                    if CUE_TIME in point and CUE_TRACK_POSITIONS in point:
-                        pos = {j: _number(d, p, q) for j, p, q in _elements(d, *point[CUE_TRACK_POSITIONS])}
-                        m.cues.append((_number(d, *point[CUE_TIME]) * scale, pos.get(CUE_TRACK, 0), pos.get(CUE_CLUSTER_POSITION, 0), pos.get(CUE_RELATIVE_POSITION)))
+                    point = list(_elements(d, x, y))
+                    time = next(((p, q) for j, p, q in point if j == CUE_TIME), None)
+                    for j, p, q in point if time else ():
+                        if j == CUE_TRACK_POSITIONS:
+                            pos = {k: _number(d, *at) for k, *at in _elements(d, p, q)}
+                            m.cues.append((_number(d, *time) * scale, pos.get(CUE_TRACK, 0), (segment, pos.get(CUE_CLUSTER_POSITION, 0)), pos.get(CUE_RELATIVE_POSITION)))
     _resolve(m, blocks)
     return m
 

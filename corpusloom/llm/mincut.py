@@ -256,8 +256,10 @@ class Page:
         self.chief = any(e.part in ("article", "main") and e.chars >= CHIEF * self.total for e in listed)
         for e in reversed(listed):  # parents first: what is known of a parent holds for its children
             above = self.known[id(e.parent)] if e.parent is not None else _NONE
-            own = {e.part} if e.part else set()
-            if e.names and (e.chars < WHOLE * self.total or e.chiefs < chiefs):
+            # what holds the whole page, its article included, says nothing of its blocks: a form, header or dialog round all
+            whole = e.chars >= WHOLE * self.total and e.chiefs == chiefs
+            own = {e.part} if e.part and (not whole or e.part in ("article", "main")) else set()
+            if e.names and not whole:
                 own |= e.names
             if e.part == "head" and ("article" in above or "main" in above):
                 own = own - {"head"} | {"head-inside"}

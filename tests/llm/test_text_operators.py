@@ -55,6 +55,32 @@ def test_long_media_has_clusters_cues_and_laces():
     assert m.tracks[1]["codec"] == "A_PCM/INT/LIT"
 
 
+def _el(ident, *parts):
+    return media._element(ident, b"".join(parts))
+
+
+def _num(ident, n):
+    return _el(ident, n.to_bytes(2, "big"))
+
+
+def _segment(frames, cues):
+    """A segment of one cluster with a block for each (track, frame), then cues: lists of (track, block number) for each point."""
+    blocks = [_el(media.SIMPLE_BLOCK, bytes([0x80 | t]) + b"\x00\x00\x80" + f) for t, f in frames]
+    head = _num(media.TIMESTAMP, 7)
+    places = [len(head) + sum(map(len, blocks[:i])) for i in range(len(blocks))]
+    points = [_el(media.CUE_POINT, _num(media.CUE_TIME, 7), *[_el(media.CUE_TRACK_POSITIONS, _num(media.CUE_TRACK, t), _num(media.CUE_CLUSTER_POSITION, 0), _num(media.CUE_RELATIVE_POSITION, places[k])) for t, k in point]) for point in cues]
+    return _el(media.SEGMENT, _el(media.CLUSTER, head, *blocks), _el(media.CUES, *points))
+
+
+def test_a_cue_point_of_several_tracks_and_segments():
+    header = _el(media.EBML, _el(media.DOC_TYPE, b"matroska"))
+    m = media.demux(header + _segment([(1, b"a"), (2, b"bb")], [[(1, 0), (2, 1)]]))
+    assert [p.cued for p in m.packets] == [True, True] and len(m.cues) == 2 and m.lost_cues == 0
+    # clusters at equal positions of two segments are not taken for each other
+    m = media.demux(header + _segment([(1, b"a"), (1, b"b")], []) + _segment([(1, b"c"), (1, b"d")], [[(1, 1)]]))
+    assert [p.cued for p in m.packets] == [False, False, False, True]
+
+
 def _block(kind, frames):
     sizes, body = [len(f) for f in frames], b"".join(frames)
     if kind == 1:
@@ -324,3 +350,13 @@ def test_page_columns(spark):
     got = mincut.extracted(pages, {"page_id": F.col("page_id")}).select("row.page_id", "res.*").collect()
     assert [r.n_chars for r in got] == [len(mincut.main_text(PAGE)), 0, 0, 0]
     assert mincut.extracted(pages.limit(0), {"page_id": F.col("page_id")}).count() == 0
+
+
+@pytest.mark.parametrize("tag", ["form", "header", "section role='dialog'", "aside class='sidebar'"])
+@pytest.mark.parametrize("inner", ["<article>%s</article>", "<div class='content'>%s</div>", "%s", "<main><h1>T</h1>%s</main>"])
+def test_a_container_round_the_whole_page_says_nothing(tag, inner):
+    said = [f"This is the sentence number {i} of a proper article, with commas, and it ends here. It says more." for i in range(8)]
+    nav = "<nav><ul><li><a href='/a'>Home</a></li><li><a href='/b'>News</a></li></ul></nav>"
+    body = inner % "".join(f"<p>{p}</p>" for p in said)
+    page = f"<html><head><title>x</title></head><body><{tag}>{nav}{body}<footer>© 2024 Corp | <a href='/t'>Terms</a></footer></{tag.split()[0]}></body></html>"
+    assert mincut.main_text(page) == "\n".join((["T"] if "<h1>" in inner else []) + said)
