@@ -207,7 +207,7 @@ def fitted(unlabelled: DataFrame, positives: np.ndarray, chosen: np.ndarray, pri
             n = float(sum(r[3] for r in rows))
             yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([(np.append(np.append(w, bias), 1.0) * n).tobytes()], pa.binary())], ["slot", "vec"])
 
-    solved = dealt.repartition(shares, "share").mapInArrow(solve, "slot int, vec binary")
+    solved = dealt.repartitionById(shares, "share").mapInArrow(solve, "slot int, vec binary")
     sums = summed_by_key(solved, "f8")[0]
     return sums[:-2] / sums[-1], float(sums[-2] / sums[-1])
 
