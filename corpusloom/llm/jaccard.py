@@ -157,7 +157,7 @@ def bloom_of(keys: DataFrame, bits: int) -> np.ndarray:
         if mask.any():
             yield matrix_rows(np.packbits(mask).reshape(-1, 1), 1 << bits - 7)
 
-    return stacked(summed_by_key(keys.coalesce(16).mapInPandas(run, "slot int, vec binary"), "u1", np.bitwise_or), (-1,), "u1")
+    return stacked(summed_by_key(keys.mapInPandas(run, "slot int, vec binary"), "u1", np.bitwise_or), (-1,), "u1")
 
 
 def linked_pairs(sets: list[np.ndarray], right: int, percent: int, roots: np.ndarray | None = None) -> list[tuple[int, int]]:
