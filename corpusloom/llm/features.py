@@ -6,10 +6,10 @@ sum likewise. Rows are dealt by client and time into chunks; in a chunk, numpy s
 finds each sale's t among both. An item's intervals are united first, so that an item counts once. Many chunks are worked on at once,
 as one sorted array of (chunk, time).
 
-A client of at most `CHUNK_ROWS` rows is one chunk. One with more, which may have a third of all rows, is cut into chunks of
-about as many by time: its rows go to the chunks of their start and of both expiries, and a chunk starts from base totals, which Spark
+A client of at most `LARGE` rows is one chunk. One with more, which may have a third of all rows, is cut into chunks of
+about `CHUNK_ROWS` by time: its rows go to the chunks of their start and of both expiries, and a chunk starts from base totals, which Spark
 sums up by chunk and carries along the client's chunks, as it does the last click before and the next sale after. The table of large
-clients, of at most one row for each `CHUNK_ROWS` rows, is written, and Spark joins it by broadcast only if its file is small. Nothing else
+clients, of at most one row for each `LARGE` rows, is written, and Spark joins it by broadcast only if its file is small. Nothing else
 is broadcast or goes to the driver. Lines are summed up by sale, item and day before they meet their sale, so a sale with a third of
 all lines is a few rows a task.
 
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import table, written
 
 DAYS, LABEL_DAYS, DELAY, SPREAD = (2, 14), 7, 240, 259_200
-CHUNK_ROWS, BLOCK_ROWS = 100_000, 200_000
+LARGE, CHUNK_ROWS, BLOCK_ROWS = 100_000, 25_000, 200_000
 DAY, HOUR, MINUTE, SECOND = 86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000
 CLICK, PURCHASE, SALE, LINE, ITEMS, BASE = 0, 1, 2, 3, 4, 9  # ITEMS + 0 and ITEMS + 1: united intervals of an item, by window
 START, EXPIRE, SOLD, ASKED = 1, (2, 4), 8, 16
@@ -126,9 +126,9 @@ def _bases(parts: DataFrame) -> DataFrame:
     return chunks.select("client", "chunk", F.lit(BASE).alias("kind"), F.lit(0).alias("role"), base.alias("base"))
 
 
-def chunked(rows: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def chunked(rows: DataFrame, large_rows: int = LARGE, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """`rows` with chunk and role, those of large clients once for each role, and base rows."""
-    large = written(rows.groupBy("client").count().where(F.col("count") > chunk_rows).select("client"), "large")
+    large = written(rows.groupBy("client").count().where(F.col("count") > large_rows).select("client"), "large")
     whole = START | sum(EXPIRE) | SOLD | ASKED
     small = rows.join(large, "client", "left_anti").select("*", F.lit(0).cast("long").alias("chunk"), F.lit(whole).alias("role"))
     most = rows.join(large, "client", "left_semi")
@@ -279,9 +279,9 @@ def _work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from worked_out(rows, np.cumsum(bounds(rows)) - 1)
 
 
-def features(clicks: DataFrame, sales: DataFrame, lines: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def features(clicks: DataFrame, sales: DataFrame, lines: DataFrame, large_rows: int = LARGE, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Two rows per sale, one a window."""
-    rows = chunked(written(events(clicks, sales, lines), "events"), chunk_rows)
+    rows = chunked(written(events(clicks, sales, lines), "events"), large_rows, chunk_rows)
     columns = ["client", "chunk", "kind", "role", "a", "b", "t", "cents", "id", "item", "n", "base"]
     dealt = rows.select(*columns).repartition("client", "chunk").sortWithinPartitions("client", "chunk")
     kinds = {pa.int64(): "long", pa.int32(): "int", pa.bool_(): "boolean"}

@@ -125,12 +125,12 @@ def test_features_against_brute_force(spark, monkeypatch, chunk_rows, block_rows
     monkeypatch.setattr(features, "BLOCK_ROWS", block_rows)
     clicks, sales, lines = shop(random.Random(chunk_rows), 240)
     frames = [spark.createDataFrame(rows, schema).repartition(3) for rows, schema in ((clicks, CLICKS), (sales, SALES), (lines, LINES))]
-    got = features.features(*frames, chunk_rows=chunk_rows)
+    got = features.features(*frames, large_rows=chunk_rows, chunk_rows=chunk_rows)
     assert sorted(repr(tuple(r)) for r in got.collect()) == expected(clicks, sales, lines)
     for other in ("America/New_York", "UTC"):  # times have no zone, so the session's must not matter
         spark.conf.set("spark.sql.session.timeZone", other)
         try:
-            assert features.features(*frames, chunk_rows=chunk_rows).agg(F.sum("t_us")).first()[0] == got.agg(F.sum("t_us")).first()[0]
+            assert features.features(*frames, large_rows=chunk_rows, chunk_rows=chunk_rows).agg(F.sum("t_us")).first()[0] == got.agg(F.sum("t_us")).first()[0]
         finally:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
 
