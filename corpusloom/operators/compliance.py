@@ -9,14 +9,30 @@ from pyspark.sql import types as T
 from corpusloom.functions import text as t
 
 
-def robots_rules(files: DataFrame, host: str = "host", body: str = "body") -> DataFrame:
-    """host, agent, allow, disallow and delay of robots files: rules belong to the last User-agent line above them."""
-    rows = files.select(host, F.posexplode(t.lines(F.col(body))).alias("n", "line")).withColumn("line", t.trim(F.regexp_replace("line", "#.*", "")))
-    rows = rows.where(F.contains("line", F.lit(":"))).select(host, "n", F.lower(t.trim(F.substring_index("line", ":", 1))).alias("key"), t.trim(F.regexp_extract("line", "^[^:]*:(.*)$", 1)).alias("value"))
-    above = Window.partitionBy(host).orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+def robots_lines(files: DataFrame, keys: list[str], body: str = "body") -> DataFrame:
+    """`keys`, n, key and value of the lines `key: value` of robots files; comments are cut off."""
+    rows = files.select(*keys, F.posexplode(t.lines(F.col(body))).alias("n", "line")).withColumn("line", t.trim(F.regexp_replace("line", "#.*", "")))
+    return rows.where(F.contains("line", F.lit(":"))).select(*keys, "n", F.lower(t.trim(F.substring_index("line", ":", 1))).alias("key"), t.trim(F.regexp_extract("line", "^[^:]*:(.*)$", 1)).alias("value"))
+
+
+def sitemaps(files: DataFrame, keys: list[str], body: str = "body") -> DataFrame:
+    """`keys`, nth (from 0) and url of the sitemaps that robots files name, wherever they stand."""
+    found = robots_lines(files, keys, body).where("key = 'sitemap'").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("n", "value"))).alias("all"))
+    return found.select(*keys, F.posexplode(F.col("all.value")).alias("nth", "url"))
+
+
+def robots_rules(files: DataFrame, host: str = "host", body: str = "body", version: str | None = None) -> DataFrame:
+    """host, agent, allow, disallow, delay and request_rate of robots files: rules belong to the last User-agent line above them.
+
+    With a `version` column, such as the time of fetching, each version of a host's file has rules of its own.
+    """
+    keys = [host] if version is None else [host, version]
+    rows = robots_lines(files, keys, body)
+    above = Window.partitionBy(*keys).orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("agent", F.last(F.when(F.col("key") == "user-agent", F.col("value")), ignorenulls=True).over(above)).where("agent is not null")
     listed = lambda k: F.array_sort(F.collect_list(F.when(F.col("key") == k, F.col("value"))))
-    return rows.groupBy(host, "agent").agg(listed("allow").alias("allow"), listed("disallow").alias("disallow"), F.max(F.when(F.col("key") == "crawl-delay", F.col("value").try_cast("double"))).alias("delay"))
+    rate = F.max_by(F.when(F.col("key") == "request-rate", F.col("value")), F.when(F.col("key") == "request-rate", F.col("n")))
+    return rows.groupBy(*keys, "agent").agg(listed("allow").alias("allow"), listed("disallow").alias("disallow"), F.max(F.when(F.col("key") == "crawl-delay", F.col("value").try_cast("double"))).alias("delay"), rate.alias("request_rate"))
 
 
 def rule_matches(rule: Column, path: Column) -> Column:
@@ -30,6 +46,19 @@ def path_allowed(allow: Column, disallow: Column, path: Column) -> Column:
     return hit(allow) | ~hit(disallow)
 
 
+def chosen_rules(rules: DataFrame, agent: str, keys: list[str]) -> DataFrame:
+    """`keys` and rule: of each file the agent's rules, else those for all."""
+    return rules.where(F.col("agent").isin(agent, "*")).groupBy(*keys).agg(F.max_by(F.struct("allow", "disallow", "delay", "request_rate"), (F.col("agent") == agent).cast("int")).alias("rule"))
+
+
+def of_domain(hosts: DataFrame, listed: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """host and a struct `name` of `columns` of the most exact domain in `listed` that is the host or one above it."""
+    labels = F.split("host", r"\.")
+    parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    met = hosts.select("host").distinct().where(F.col("host").isNotNull()).select("host", F.explode(parents).alias("domain")).join(listed, "domain")
+    return met.groupBy("host").agg(F.max_by(F.struct(*columns), F.length("domain")).alias(name))
+
+
 def verdicts(urls: DataFrame, rules: DataFrame, policies: DataFrame, agent: str, default_delay: float = 1.0, blacklist: list[str] = ()) -> DataFrame:
     """Adds allowed, restrictions, recommendations and delay to rows of url, host and path.
 
@@ -37,21 +66,30 @@ def verdicts(urls: DataFrame, rules: DataFrame, policies: DataFrame, agent: str,
     for subdomains too, and a host without one is refused. Both join on equal keys: a host is matched to policies through
     the list of its own parent domains.
     """
-    named = rules.where(F.col("agent").isin(agent, "*")).groupBy("host").agg(F.max_by(F.struct("allow", "disallow", "delay"), (F.col("agent") == agent).cast("int")).alias("rule"))
-    labels = F.split("host", r"\.")
-    parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    hosts = urls.select("host").distinct()
-    best = hosts.select("host", F.explode(parents).alias("domain")).join(policies, "domain").groupBy("host").agg(F.max_by(F.struct("allows_automation", "requires_attribution"), F.length("domain")).alias("policy"))
-    out = urls.join(named, "host", "left").join(best, "host", "left")
+    return decided(urls.join(chosen_rules(rules, agent, ["host"]), "host", "left"), policies, urls.columns, default_delay, blacklist)
+
+
+def decided(ruled: DataFrame, policies: DataFrame, columns: list[str], default_delay: float = 1.0, blacklist: list[str] = (), whitelist: DataFrame | None = None) -> DataFrame:
+    """`columns` of rows that carry their `rule`, with allowed, restrictions, recommendations and delay.
+
+    With a whitelist (column domain), hosts outside it and its subdomains are refused before all else.
+    """
+    out = ruled.join(of_domain(ruled, policies, ["allows_automation", "requires_attribution"], "policy"), "host", "left")
+    outside = F.lit(False)
+    if whitelist is not None:
+        out = out.join(of_domain(ruled, whitelist.select("domain"), ["domain"], "_white"), "host", "left")
+        outside = F.col("_white").isNull()
     robots = path_allowed(F.col("rule.allow"), F.col("rule.disallow"), F.col("path"))
     tos = F.coalesce(F.col("policy.allows_automation"), F.lit(False))
-    black = F.col("host").isin(*blacklist) if blacklist else F.lit(False)
+    black = F.coalesce(F.col("host").isin(*blacklist), F.lit(False)) if blacklist else F.lit(False)
     delay = F.coalesce(F.nullif(F.col("rule.delay"), F.lit(0.0)), F.lit(default_delay))
     said = F.array_compact(F.array(F.when(~robots, "Blocked by robots.txt"), F.when(~tos, "Terms of Service prohibit automation")))
     advice = F.array_compact(F.array(F.when(F.col("policy.requires_attribution"), "Attribution required"), F.format_string("Respect crawl delay of %.1fs", delay), F.lit("Use respectful crawling practices"), F.lit("Monitor for rate limiting")))
+    shut = outside | black
     return out.select(
-        *urls.columns, (~black & robots & tos).alias("allowed"), F.when(black, F.array(F.lit("Domain is blacklisted"))).otherwise(said).alias("restrictions"),
-        F.when(black, F.array().cast("array<string>")).otherwise(advice).alias("recommendations"), F.when(black, 0.0).otherwise(delay).alias("delay"),
+        *columns, (~shut & robots & tos).alias("allowed"),
+        F.when(outside, F.array(F.lit("Domain not in whitelist"))).when(black, F.array(F.lit("Domain is blacklisted"))).otherwise(said).alias("restrictions"),
+        F.when(shut, F.array().cast("array<string>")).otherwise(advice).alias("recommendations"), F.when(shut, 0.0).otherwise(delay).alias("delay"),
     )
 
 
