@@ -108,6 +108,16 @@ def claim_key(claim: Column) -> Column:
     return t.collapse(F.lower(claim))
 
 
+def imported_knowledge(known: DataFrame, more: DataFrame) -> DataFrame:
+    """Knowledge with what is imported, by key the latest check; of several at one time that of the greatest confidence."""
+    return known.unionByName(more).groupBy("key").agg(F.max_by("known_confidence", F.struct("checked_at", "known_confidence")).alias("known_confidence"), F.max("checked_at").alias("checked_at"))
+
+
+def fresh_knowledge(known: DataFrame, now: Column, hours: int = 24) -> DataFrame:
+    """Knowledge without what was checked more than `hours` ago."""
+    return known.where(F.col("checked_at") > F.timestamp_add("HOUR", F.lit(-hours), now))
+
+
 def with_knowledge(claim_rows: DataFrame, knowledge: DataFrame, now: Column, hours: int = 24) -> DataFrame:
     """Claims with what the knowledge table (key, known_confidence, checked_at) says, if it is fresh."""
     fresh = knowledge.where(F.col("checked_at") > F.timestamp_add("HOUR", F.lit(-hours), now))

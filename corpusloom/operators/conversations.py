@@ -142,6 +142,14 @@ def summary(conversations: DataFrame) -> DataFrame:
     return conversations.groupBy("kind").agg(F.count("*").alias("conversations"), F.sum(F.size("conversation")).alias("turns"), F.sum(turns).alias("chars"))
 
 
+def summaries(conversations: DataFrame, fields: list[str]) -> DataFrame:
+    """field, value, conversations, turns, chars and mean turns by each of some columns, and in all (field `all`), in one pass."""
+    chars = F.aggregate("conversation", F.lit(0).cast("long"), lambda a, x: a + F.length(x["content"]))
+    each = F.array(F.struct(F.lit("all").alias("field"), F.lit("").alias("value")), *[F.struct(F.lit(f).alias("field"), F.coalesce(F.col(f).cast("string"), F.lit("unknown")).alias("value")) for f in fields])
+    rows = conversations.select(F.size("conversation").alias("n"), chars.alias("chars"), F.explode(each).alias("by")).select("by.*", "n", "chars")
+    return rows.groupBy("field", "value").agg(F.count("*").alias("conversations"), F.sum("n").alias("turns"), F.sum("chars").alias("chars"), F.round(F.avg("n"), 6).alias("mean_turns"))
+
+
 def model_metrics(results: DataFrame, model: str, ok: Column, score: Column, millis: Column, tier: Column) -> DataFrame:
     """Requests, success rate, mean score and time of the successful ones, and their tiers, of each model.
 

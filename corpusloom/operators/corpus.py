@@ -44,6 +44,58 @@ def additive_score(c: Column, host_bonus: Column, bands: tuple = ((10_000, 0.3),
     return F.least(F.lit(1.0), length + 0.02 * t.how_many(low, EDUCATIONAL) + host_bonus + 0.03 * t.how_many(low, TECHNICAL))
 
 
+# Length bands (more words than), words that count once each, their weights and limits, hosts and priorities.
+BROAD = {
+    "bands": [(15_000, 0.35), (8_000, 0.25), (3_000, 0.15), (1_000, 0.08)],
+    "educational": [
+        "definition", "concept", "theory", "principle", "method", "algorithm", "example", "explanation", "analysis", "research", "study", "development",
+        "process", "system", "technique", "approach", "framework", "model", "implementation", "application", "solution", "methodology", "evaluation",
+        "comparison", "classification", "structure", "function", "mechanism", "overview", "introduction", "foundation", "fundamental", "basic", "advanced",
+        "history", "evolution", "progress", "innovation", "discovery", "invention",
+    ],
+    "technical": [
+        "implementation", "optimization", "architecture", "performance", "complexity", "efficiency", "scalability", "methodology", "specification", "protocol", "interface", "abstraction",
+        "encapsulation", "inheritance", "polymorphism", "modular", "distributed", "concurrent", "parallel", "synchronization",
+    ],
+    "hosts": [(["wikipedia.org"], 0.25), ([".edu"], 0.35), (["go.dev", "golang.org"], 0.3), ([".gov"], 0.2)], "priorities": {1: 0.05, 2: 0.02},
+}
+FOCUSED = {
+    "bands": BROAD["bands"],
+    "educational": [
+        "algorithm", "method", "technique", "approach", "implementation", "analysis", "theory", "principle", "concept", "definition", "explanation", "example",
+        "research", "study", "development", "system", "framework", "model", "optimization", "complexity", "performance", "efficiency", "scalability",
+        "architecture", "design", "pattern", "structure", "function", "mechanism",
+    ],
+    "technical": ["computational", "mathematical", "statistical", "algorithmic", "systematic", "formal", "theoretical", "empirical", "experimental", "analytical", "quantitative", "qualitative", "optimization", "implementation", "evaluation"],
+    "hosts": [(["wikipedia.org"], 0.25), ([".edu"], 0.35)], "priorities": {},
+}
+EDUCATIONAL_WEIGHT, EDUCATIONAL_MOST, TECHNICAL_WEIGHT, TECHNICAL_MOST = 0.015, 0.3, 0.02, 0.2
+
+
+def banded_score(c: Column, url: Column, priority: Column, variant: dict) -> Column:
+    """Length band + educational words + host + technical words + priority, each part with its limit; at most 1."""
+    words, low = t.word_count(c), F.lower(c)
+    length, host, rank = F.lit(0.0), F.lit(0.0), F.lit(0.0)
+    for least, x in reversed(variant["bands"]):
+        length = F.when(words > least, x).otherwise(length)
+    for names, x in reversed(variant["hosts"]):
+        host = F.when(t.has_any(url, names), x).otherwise(host)
+    for number, x in variant["priorities"].items():
+        rank = F.when(priority == number, x).otherwise(rank)
+    educational = F.least(F.lit(EDUCATIONAL_MOST), EDUCATIONAL_WEIGHT * t.how_many(low, variant["educational"]))
+    technical = F.least(F.lit(TECHNICAL_MOST), TECHNICAL_WEIGHT * t.how_many(low, variant["technical"]))
+    return F.least(F.lit(1.0), length + educational + host + technical + rank)
+
+
+def simple_grade(c: Column) -> Column:
+    """high, medium or low by length, code words, paragraphs and teaching words."""
+    words = t.word_count(c)
+    points = F.when(words > 1000, 4).when(words > 500, 2).otherwise(0)
+    for has in (t.has_any(c, ["function", "class"]), F.size(t.paragraphs(c)) > 5, t.has_any(c, ["example", "tutorial"])):
+        points = points + F.when(has, 2).otherwise(0)
+    return F.when(points >= 8, "high").when(points >= 5, "medium").otherwise("low")
+
+
 def host_bonus(url: Column) -> Column:
     return F.when(t.has(url, "wikipedia.org"), 0.2).when(t.has(url, ".edu"), 0.3).when(t.has_any(url, ["go.dev", "golang.org"]), 0.25).otherwise(0.0)
 

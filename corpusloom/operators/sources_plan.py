@@ -38,6 +38,15 @@ def passes_rules(rules: list[dict[str, str]]) -> Column:
     return keep
 
 
+def by_rules(rows: DataFrame, rules: list[dict[str, str]]) -> DataFrame:
+    """Rows that pass, with the transform rules applied to their fields in order: each replaces what its pattern matches by its `value`."""
+    out = rows.where(passes_rules(rules))
+    for r in rules:
+        if r["kind"] == "transform":
+            out = out.withColumn(r["field"], F.regexp_replace(F.col(r["field"]), r["pattern"], r.get("value", "")))
+    return out
+
+
 #: Left out unless a source says otherwise: addresses of binary files.
 DEFAULT_RULES = [{"kind": "exclude", "field": "url", "pattern": r"(?i)\.(jpg|jpeg|png|gif|pdf|zip|exe|mp4|mp3)$"}]
 

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusloom.functions import assessment
 from corpusloom.functions import text as t
 from corpusloom.functions import web
 from corpusloom.operators import conversations as cv
 from corpusloom.operators import corpus as cp
 from corpusloom.operators import search as se
+from corpusloom.operators import sources_plan as sp
 from corpusloom.plans.fixture import read, texts
 from corpusloom.plans.q_operators import nested
-from corpusloom.plans.q_quality import quoted, sql_any, sql_collapse, sql_fields
+from corpusloom.plans.q_quality import quoted, sql_any, sql_collapse, sql_fields, sql_many
 
 QUERIES, ORACLES = {}, {}
 
@@ -113,3 +115,58 @@ _TOPICS = ["Science", "Cooking", "Economics", "History"]
 def topic_predicates(spark, sf_dir):
     c, domain = F.col("text"), F.element_at(F.array(*map(F.lit, _TOPICS)), (F.col("doc_id") % 4 + 1).cast("int"))
     return texts(spark, sf_dir).select("doc_id", cv.has_code(c).alias("code"), cv.on_go(c).alias("go"), cv.is_complex(domain, c).alias("complex"))
+
+
+_URLS = ["https://en.wikipedia.org/x", "https://cs.x.edu/golang.org", "https://x.gov/a", "https://go.dev/x", "https://x.example/a"]
+
+
+def _banded(name: str, variant: dict) -> str:
+    cases = lambda pairs, test: "CASE " + " ".join(f"WHEN {test(k)} THEN {x}" for k, x in pairs) + " ELSE 0 END"
+    rank = cases(variant["priorities"].items(), lambda k: f"priority = {k}") if variant["priorities"] else "0"
+    parts = [
+        cases(variant["bands"], lambda n: f"w > {n}"), f"least({cp.EDUCATIONAL_MOST}, {cp.EDUCATIONAL_WEIGHT} * {sql_many('low', variant['educational'])})",
+        cases(variant["hosts"], lambda names: sql_any("url", names)), f"least({cp.TECHNICAL_MOST}, {cp.TECHNICAL_WEIGHT} * {sql_many('low', variant['technical'])})", rank,
+    ]
+    return f"round(CAST(least(1, {' + '.join(parts)}) AS DOUBLE), 6) AS {name}"
+
+
+@query(f"""WITH d AS (SELECT doc_id, text, lower(text) AS low, len({sql_fields('text')}) AS w, [{', '.join(map(quoted, _URLS))}][doc_id % 5 + 1] AS url, doc_id % 3 AS priority FROM documents)
+  SELECT doc_id, {_banded('broad', cp.BROAD)}, {_banded('focused', cp.FOCUSED)}, CASE WHEN s >= 8 THEN 'high' WHEN s >= 5 THEN 'medium' ELSE 'low' END AS simple
+  FROM (SELECT *, CASE WHEN w > 1000 THEN 4 WHEN w > 500 THEN 2 ELSE 0 END + 2 * (CAST({sql_any('text', ['function', 'class'])} AS INTEGER) + CAST(len(string_split(text, chr(10) || chr(10))) > 5 AS INTEGER) + CAST({sql_any('text', ['example', 'tutorial'])} AS INTEGER)) AS s FROM d)""")
+def score_variants(spark, sf_dir):
+    """The additive scores beside `additive_quality`: two by bands with limits, one as a grade."""
+    n = F.col("doc_id")
+    url = F.element_at(F.array(*map(F.lit, _URLS)), (n % 5 + 1).cast("int"))
+    rows = texts(spark, sf_dir).select("doc_id", "text", url.alias("url"), (n % 3).alias("priority"))
+    score = lambda v: F.round(cp.banded_score(F.col("text"), F.col("url"), F.col("priority"), v), 6)
+    return rows.select("doc_id", score(cp.BROAD).alias("broad"), score(cp.FOCUSED).alias("focused"), cp.simple_grade(F.col("text")).alias("simple"))
+
+
+@query("""WITH c AS (SELECT conv_id, conv_id % 3 AS domain, CASE WHEN conv_id % 4 > 0 THEN 'level ' || (conv_id % 4) END AS difficulty, count(*) AS n, sum(length(coalesce(text, ''))) AS chars FROM conversations GROUP BY conv_id),
+  e AS (SELECT 'all' AS field, '' AS value, n, chars FROM c UNION ALL SELECT 'domain', CAST(domain AS VARCHAR), n, chars FROM c UNION ALL SELECT 'difficulty', coalesce(difficulty, 'unknown'), n, chars FROM c)
+  SELECT field, value, count(*) AS conversations, CAST(sum(n) AS BIGINT) AS turns, CAST(sum(chars) AS BIGINT) AS chars, round(avg(n), 6) AS mean_turns FROM e GROUP BY ALL""")
+def conv_summaries(spark, sf_dir):
+    """Conversations by domain, by difficulty and in all."""
+    n = F.col("conv_id")
+    turns = read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("content")))).alias("conversation"))
+    rows = turns.select("conversation", (n % 3).alias("domain"), F.when(n % 4 > 0, F.concat(F.lit("level "), (n % 4).cast("string"))).alias("difficulty"))
+    return cv.summaries(rows, ["domain", "difficulty"])
+
+
+_RULES = [{"kind": "include", "field": "url", "pattern": "/(en|fr)/"}, {"kind": "exclude", "field": "url", "pattern": "/2[0-9]*$"}, {"kind": "transform", "field": "url", "pattern": "[?#].*$"}, {"kind": "transform", "field": "url", "pattern": "^https?:", "value": "web:"}]
+
+
+@query(f"SELECT page_id, regexp_replace(regexp_replace(url, '[?#].*$', ''), '^https?:', 'web:') AS url FROM pages WHERE regexp_matches(url, {quoted(_RULES[0]['pattern'])}) AND NOT regexp_matches(url, {quoted(_RULES[1]['pattern'])})")
+def url_rules(spark, sf_dir):
+    """Include, exclude and transform rules over the pages' addresses."""
+    return sp.by_rules(read(spark, sf_dir, "pages").select("page_id", "url"), _RULES)
+
+
+@query("""WITH k AS (SELECT user_id % 50 AS key, round(value, 3) AS conf, ts FROM events WHERE event_type IN ('view', 'click')), l AS (SELECT key, max({'ts': ts, 'conf': conf}) AS m FROM k GROUP BY key)
+  SELECT CAST(key AS VARCHAR) AS key, m.conf AS known_confidence, m.ts AS checked_at FROM l WHERE m.ts > (SELECT max(ts) FROM events) - INTERVAL 6 HOURS""")
+def knowledge_import(spark, sf_dir):
+    """Knowledge of two sources merged by key, without what is older than six hours."""
+    ev = read(spark, sf_dir, "events")
+    rows = lambda kind: ev.where(F.col("event_type") == kind).select((F.col("user_id") % 50).cast("string").alias("key"), F.round("value", 3).alias("known_confidence"), F.col("ts").alias("checked_at"))
+    now = F.lit(ev.agg(F.max("ts")).first()[0])
+    return assessment.fresh_knowledge(assessment.imported_knowledge(rows("view"), rows("click")), now, 6)
