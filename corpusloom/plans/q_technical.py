@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import technical as tc
 from corpusloom.operators import corpus as cp
-from corpusloom.plans.fixture import read
+from corpusloom.plans.fixture import read, texts
 from corpusloom.plans.q_quality import quoted, sql_any
 
 QUERIES, ORACLES = {}, {}
@@ -32,14 +32,17 @@ def _pick(xs, k):
 
 
 def samples(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("Text\n"), _pick(_CODE, 5), F.lit("\nmore\n"), _pick(_CODE[::-1], 5), F.lit(" and "), _pick(_MATH, 6)).alias("text"))
+    """Documents as technical texts: code and formulas, and the whole text itself as the comment of a block of code."""
+    body = F.translate(F.coalesce("text", F.lit("")), "\n`$", " ")
+    pieces = (F.lit("Text\n"), _pick(_CODE, 5), F.lit("\nmore\n"), _pick(_CODE[::-1], 5), F.lit("\n```go\npackage main // "), body, F.lit("\n``` and "), _pick(_MATH, 6))
+    return texts(spark, sf_dir).select("doc_id", F.concat(*pieces).alias("text"))
 
 
 def _array(xs) -> str:
     return "[" + ", ".join(map(quoted, xs)) + "]"
 
 
-_T = f"s AS (SELECT doc_id, 'Text' || chr(10) || {_array(_CODE)}[doc_id % 5 + 1] || chr(10) || 'more' || chr(10) || {_array(_CODE[::-1])}[doc_id % 5 + 1] || ' and ' || {_array(_MATH)}[doc_id % 6 + 1] AS text FROM documents)"
+_T = f"s AS (SELECT doc_id, 'Text' || chr(10) || {_array(_CODE)}[doc_id % 5 + 1] || chr(10) || 'more' || chr(10) || {_array(_CODE[::-1])}[doc_id % 5 + 1] || chr(10) || '```go' || chr(10) || 'package main // ' || translate(coalesce(text, ''), chr(10) || '`$', ' ') || chr(10) || '``` and ' || {_array(_MATH)}[doc_id % 6 + 1] AS text FROM documents)"
 _B = f"{_T}, b AS (SELECT doc_id, unnest(list_zip(regexp_extract_all(text, '```(\\w*)\\n([\\s\\S]*?)\\n```', 1), regexp_extract_all(text, '```(\\w*)\\n([\\s\\S]*?)\\n```', 2), range(len(regexp_extract_all(text, '```(\\w*)\\n([\\s\\S]*?)\\n```', 1))))) AS p FROM s), c AS (SELECT doc_id, CAST(p[3] AS BIGINT) AS nth, CASE WHEN p[1] = '' THEN 'text' ELSE p[1] END AS language, p[2] AS code FROM b)"
 
 
@@ -67,7 +70,7 @@ def formulas(spark, sf_dir):
     return samples(spark, sf_dir).select(F.explode(tc.formulas(F.col("text"))).alias("formula")).groupBy("formula").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT * FROM (VALUES ('x^2 + y = 1', true, 0.9, 'ascii'), ('(a + b * 2', false, 0.5, 'ascii'), ('log(-1) + 3 / 0', false, 0.2, 'ascii'), ('x + 0 = y = 2', false, 0.7, 'ascii'), ('\\frac{a}{b}', true, 0.9, 'latex'), ('sin(x) ÷ 2', true, 0.9, 'ascii')) t(formula, valid, confidence, notation)""")
+@query("""SELECT formula, valid, CAST(confidence AS DOUBLE) AS confidence, notation FROM (VALUES ('x^2 + y = 1', true, 0.9, 'ascii'), ('(a + b * 2', false, 0.5, 'ascii'), ('log(-1) + 3 / 0', false, 0.2, 'ascii'), ('x + 0 = y = 2', false, 0.7, 'ascii'), ('\\frac{a}{b}', true, 0.9, 'latex'), ('sin(x) ÷ 2', true, 0.9, 'ascii')) t(formula, valid, confidence, notation)""")
 def formula_validity(spark, sf_dir):
     found = samples(spark, sf_dir).select(F.explode(tc.formulas(F.col("text"))).alias("formula")).distinct()
     return found.withColumns(tc.validated_formula(F.col("formula"))).select("formula", "valid", "confidence", "notation")
