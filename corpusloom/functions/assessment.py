@@ -186,8 +186,9 @@ def repeated_words(words: Column) -> Column:
     return F.size(starts).cast("long")
 
 
-def uniqueness(c: Column) -> Column:
-    return F.greatest(F.lit(0.0), 1.0 - 0.3 * t.how_many(F.lower(c), TEMPLATE_PHRASES) - 0.1 * repeated_words(t.fields(c)))
+def uniqueness(c: Column, repeated: Column | None = None) -> Column:
+    """By template phrases and repeated words; `repeated` is their number where it is known already."""
+    return F.greatest(F.lit(0.0), 1.0 - 0.3 * t.how_many(F.lower(c), TEMPLATE_PHRASES) - 0.1 * (repeated_words(t.fields(c)) if repeated is None else repeated))
 
 
 def tier(score: Column) -> Column:
@@ -201,8 +202,8 @@ def assess(df: DataFrame, text: str = "text", metadata: str = "metadata", domain
     """Adds metrics, error, the five dimensions, overall, tier, confidence and suggestions; scores are null where error is not."""
     meta = lambda k: F.try_element_at(F.col(metadata), F.lit(k))
     c = F.col(text)
-    out = df.withColumns(basic_metrics(c))
-    out = readability.scores(readability.counts(out, text)).withColumnRenamed("overall", "readability")
+    out = readability.scores(readability.counts(df, text)).withColumnRenamed("overall", "readability")
+    out = out.withColumns(basic_metrics(c) | {"word_count": F.col("n_fields")})
     out = out.withColumn("error", gate(F.col("word_count"), F.col("sentence_count")))
     out = out.withColumn("_checked", F.transform(claim_pairs(c), lambda x: checked(x["low"], domain)["confidence"]))
     facts = F.try_divide(F.aggregate("_checked", F.lit(0.0), lambda a, x: a + x), F.size("_checked").cast("double"))
@@ -212,7 +213,7 @@ def assess(df: DataFrame, text: str = "text", metadata: str = "metadata", domain
         "completeness": completeness(c, meta("content_type")) * 0.8 + metadata_completeness(F.col(metadata)) * 0.2,
         "relevance": relevance(c, meta("topic"), meta("keywords")),
         "quality": F.least(F.lit(1.0), fluency * 0.3 + language_quality(c) * 0.3 + structure_quality(c) * 0.2 + length_score(F.col("word_count")) * 0.2),
-        "uniqueness": uniqueness(c), "_facts": F.coalesce(facts, F.lit(1.0)),
+        "uniqueness": uniqueness(c, F.col("n_repeated")), "_facts": F.coalesce(facts, F.lit(1.0)),
     })
     names = list(WEIGHTS)
     out = out.withColumns({n: F.when(F.col("error").isNull(), F.col(n)) for n in names})

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions import text as t
 
@@ -32,15 +38,70 @@ def sentence_count(c: Column) -> Column:
     return F.greatest(F.lit(1), F.size(F.filter(F.split(c, "[.!?]+"), lambda s: t.trim(s) != ""))).cast("long")
 
 
+#: Words whose counts a worker remembers; beyond that it begins anew.
+REMEMBERED = 400_000
+_SPACES = str.maketrans("\t\n\f\r", "    ")
+_STRIP = re.compile(r"""[.,;:!?'"()\[\]{}\u2014\u2013-]""")
+_VOWELS, _LE = re.compile("[aeiouy]+"), re.compile("[^aeiouy]le$")
+COUNTED = T.StructType([T.StructField(n, T.LongType()) for n in ("n_words", "n_syllables", "n_complex", "n_fields", "repeated")])
+
+
+def word_counter(easy: list[str]) -> Callable[[str], tuple[int, int, int, int, int]]:
+    """Words, syllables, complex words and fields (words before punctuation goes) of a text, and how many different words of over three bytes are over a twentieth of all.
+
+    What a word adds is worked out once and remembered, so a text costs a look-up for each of its different words.
+    """
+    known: dict[str, tuple[int, int, int, str]] = {}
+    simple = frozenset(easy)
+
+    def of(word: str) -> tuple[int, int, int, str]:
+        low = word.lower()
+        bare = _STRIP.sub("", low)
+        n = max(1, len(_VOWELS.findall(bare)) - bare.endswith("e") + bool(_LE.search(bare))) if bare else 0
+        return (1 if bare else 0, n, 1 if n >= 3 and bare not in simple else 0, low if len(word.encode("utf-8", "replace")) > 3 else "")
+
+    def count(text: str) -> tuple[int, int, int, int, int]:
+        found = Counter(text.translate(_SPACES).split(" "))
+        found.pop("", None)
+        if len(known) > REMEMBERED:
+            known.clear()
+        words = syllables = hard = total = 0
+        often: dict[str, int] = {}
+        for word, times in found.items():
+            one = known.get(word)
+            if one is None:
+                one = known[word] = of(word)
+            words += times * one[0]
+            syllables += times * one[1]
+            hard += times * one[2]
+            total += times
+            if one[3]:
+                often[one[3]] = often.get(one[3], 0) + times
+        return words, syllables, hard, total, sum(n > total // 20 for n in often.values())
+
+    return count
+
+
+def counted(easy: list[str]):
+    """`word_counter` over Arrow batches; null texts have null counts. Per word, built-in expressions are many times slower."""
+
+    @F.pandas_udf(COUNTED)
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        count = word_counter(easy)
+        for batch in texts:
+            yield pd.DataFrame([(None,) * 5 if x is None else count(x) for x in batch], columns=COUNTED.names, dtype="Int64")
+
+    return run
+
+
 def counts(df: DataFrame, text: str = "text", easy: list[str] = EASY) -> DataFrame:
-    """Adds words, sentences, syllables, complex words and characters; the word array is built once."""
-    out = df.withColumn("_w", words(F.col(text)))
-    out = out.withColumn("_s", F.transform("_w", syllables))
-    hard = F.filter(F.arrays_zip(F.col("_w").alias("w"), F.col("_s").alias("s")), lambda x: (x["s"] >= 3) & ~x["w"].isin(*easy))
+    """Adds words, sentences, syllables, complex words, characters, and the words repeated too often."""
+    out = df.withColumn("_n", counted(easy)(F.col(text)))
+    letters = F.length(F.regexp_replace(F.col(text), r"[^\p{L}\p{Nd}]+", ""))
     return out.withColumns({
-        "n_words": F.size("_w").cast("long"), "n_sentences": sentence_count(F.col(text)), "n_syllables": F.aggregate("_s", F.lit(0).cast("long"), lambda a, x: a + x),
-        "n_complex": F.size(hard).cast("long"), "n_characters": F.length(F.regexp_replace(F.col(text), r"[^\p{L}\p{Nd}]", "")).cast("long"),
-    }).drop("_w", "_s")
+        "n_words": F.col("_n.n_words"), "n_sentences": sentence_count(F.col(text)), "n_syllables": F.col("_n.n_syllables"),
+        "n_complex": F.col("_n.n_complex"), "n_characters": letters.cast("long"), "n_fields": F.col("_n.n_fields"), "n_repeated": F.col("_n.repeated"),
+    }).drop("_n")
 
 
 def scores(df: DataFrame) -> DataFrame:
