@@ -14,10 +14,10 @@ from pyspark.sql import types as T
 from corpusloom.functions import text as t
 
 # Words of three syllables or more that count as easy.
-EASY = (
-    "however because important different available probably understand remember everything computer "
-    "technology information business government community university education development management company"
-).split()
+EASY = [
+    "however", "because", "important", "different", "available", "probably", "understand", "remember", "everything", "computer", "technology",
+    "information", "business", "government", "community", "university", "education", "development", "management", "company",
+]
 STRIP = r"""[.,;:!?'"()\[\]{}\x{2014}\x{2013}-]"""
 
 

@@ -32,7 +32,7 @@ DANGEROUS_IMPORTS = {"python": ["import os", "import subprocess", "import sys",
 HANDLING = {"go": ["if err != nil", "error"], "python": ["try:", "except"], "javascript": ["try {", "catch"], "java": ["try {", "catch"]}
 
 # What a formula may hold, and what is wrong in one.
-FUNCTIONS = "sin cos tan asin acos atan log ln exp sqrt abs floor ceil round max min sum prod".split()
+FUNCTIONS = ["sin", "cos", "tan", "asin", "acos", "atan", "log", "ln", "exp", "sqrt", "abs", "floor", "ceil", "round", "max", "min", "sum", "prod"]
 CONSTANTS = ["pi", "e", "phi"]
 OPERATORS = ["+", "-", "*", "/", "%", "^", "**"]
 SYMBOLS = {"×": "*", "⋅": "*", "∙": "*", "÷": "/", "²": "^2", "³": "^3", "√": "sqrt", "∞": "inf", "±": "+-", "≤": "<=", "≥": ">=", "≠": "!="}

@@ -19,8 +19,13 @@ MAIN = (
 )
 REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ", "&ndash;": "–", "&mdash;": "—", "&hellip;": "…", "&copy;": "©", "&reg;": "®", "&trade;": "™", "&amp;": "&"}
 NOISE = ["Toggle", "subsection", "Create account", "Log in", "Main page", "Contents", "Current events", "Random article", "About Wikipedia", "Contact us", "Donate"]
-SKIPPED = frozenset("script style noscript nav header footer aside".split())
-BLOCK = frozenset("p div h1 h2 h3 h4 h5 h6 li ul ol table tr td th blockquote pre section article main br hr dl dt dd".split())
+SKIPPED = frozenset([
+    "script", "style", "noscript", "nav", "header", "footer", "aside",
+])
+BLOCK = frozenset([
+    "p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "table", "tr", "td", "th", "blockquote", "pre", "section", "article", "main",
+    "br", "hr", "dl", "dt", "dd",
+])
 
 
 def media_type(c: Column) -> Column:

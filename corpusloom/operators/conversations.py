@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as t
 
 # Terms looked for in texts, and stop words of titles.
-TERMS = "go golang package function module interface struct error test".split()
+TERMS = [
+    "go", "golang", "package", "function", "module", "interface", "struct", "error", "test",
+]
 STOP = ["the", "and", "for"]
 CODE = [r"func\s+\w+[^\n]*\{[^}]*\}", r"package\s+\w+", r"import\s*\([^)]*\)", r"var\s+\w+[^\n]*=", r"type\s+\w+\s+struct"]
 

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as t
 
 # Words that mark educational and technical texts.
-EDUCATIONAL = (
-    "definition concept theory principle method algorithm example explanation analysis research study development process system technique approach framework model"
-).split()
-TECHNICAL = "implementation optimization architecture performance complexity efficiency scalability methodology".split()
+EDUCATIONAL = [
+    "definition", "concept", "theory", "principle", "method", "algorithm", "example", "explanation", "analysis", "research", "study", "development",
+    "process", "system", "technique", "approach", "framework", "model",
+]
+TECHNICAL = [
+    "implementation", "optimization", "architecture", "performance", "complexity", "efficiency", "scalability", "methodology",
+]
 
 
 def by_category(docs: DataFrame, category: str, chars: str) -> DataFrame:
