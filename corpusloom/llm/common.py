@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -96,14 +98,24 @@ def arrow_scan(
     names = results.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(batch, limit):
-                arrays = fn(part.column(1))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.StructArray.from_arrays(arrays, names)], ["row", "res"])
+        try:
+            for batch in batches:
+                for part in pieces(batch, limit):
+                    arrays = fn(part.column(1))
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.StructArray.from_arrays(arrays, names)], ["row", "res"])
+        finally:
+            _give_back()
 
     return src.mapInArrow(run, schema)
 
 
+def _give_back() -> None:
+    """Returns freed memory to the system: a worker is used again, and what one step needed would stand beside the next step's."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def pieces(batch: pa.RecordBatch, limit: int = 1 << 20, column: int = 1) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with at most `limit` text bytes each, or one row where that alone is longer."""
     ends = string_offsets(batch.column(column))
