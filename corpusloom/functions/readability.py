@@ -46,9 +46,11 @@ _VOWELS, _LE = re.compile("[aeiouy]+"), re.compile("[^aeiouy]le$")
 COUNTED = T.StructType([T.StructField(n, T.LongType()) for n in ("n_words", "n_syllables", "n_complex", "n_fields", "repeated")])
 
 
-def word_counter(easy: list[str]) -> Callable[[str], tuple[int, int, int, int, int]]:
+def word_counter(easy: list[str]) -> Callable[[str], tuple[int, int, int, int, int | None]]:
     """Words, syllables, complex words and fields (words before punctuation goes) of a text, and how many different words of over three bytes are over a twentieth of all.
 
+    The last is null for a text without such a word.
+
     What a word adds is worked out once and remembered, so a text costs a look-up for each of its different words.
     """
     known: dict[str, tuple[int, int, int, str]] = {}
@@ -60,7 +62,7 @@ def word_counter(easy: list[str]) -> Callable[[str], tuple[int, int, int, int, i
         n = max(1, len(_VOWELS.findall(bare)) - bare.endswith("e") + bool(_LE.search(bare))) if bare else 0
         return (1 if bare else 0, n, 1 if n >= 3 and bare not in simple else 0, low if len(word.encode("utf-8", "replace")) > 3 else "")
 
-    def count(text: str) -> tuple[int, int, int, int, int]:
+    def count(text: str) -> tuple[int, int, int, int, int | None]:
         found = Counter(text.translate(_SPACES).split(" "))
         found.pop("", None)
         if len(known) > REMEMBERED:
@@ -77,7 +79,7 @@ def word_counter(easy: list[str]) -> Callable[[str], tuple[int, int, int, int, i
             total += times
             if one[3]:
                 often[one[3]] = often.get(one[3], 0) + times
-        return words, syllables, hard, total, sum(n > total // 20 for n in often.values())
+        return words, syllables, hard, total, sum(n > total // 20 for n in often.values()) if often else None
 
     return count
 
