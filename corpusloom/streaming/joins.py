@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +28,11 @@ def within(left: DataFrame, right: DataFrame, key: str, before: str, late: str =
 
 
 class Activity(StatefulProcessor):
-    """A key's requests, failures and kinds since it was last idle; `idle_s` after its last request they come out and are forgotten.
+    """A key's periods of activity: requests, failures and kinds until `idle_s` pass without a request; then they come out and are forgotten.
 
-    State: one row of sums, a map of counts by kind, and a timer at the end of the idle time. A request that itself comes after
-    the idle time closes the period before it, so periods do not depend on how rows fall into batches.
+    State: the sums of the periods still open, in order of time, the counts by kind of each, and one timer at the end of the first. A call
+    reads and writes state a fixed number of times, however many requests it brings: each Arrow batch is cut into periods, and
+    those meet the open ones. A period ends by the watermark alone, so periods depend neither on batches nor on the order of arrival.
     """
 
     def __init__(self, idle_s: float, kind: T.DataType):
@@ -38,41 +40,75 @@ class Activity(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.sums = handle.getValueState("sums", "n long, failed long, first long, last long")
-        self.kinds = handle.getMapState("kinds", "kind string", "n long")
-
-    def _out(self, key: tuple) -> pd.DataFrame:
-        n, failed, first, last = self.sums.get()
-        counts = {k[0]: v[0] for k, v in self.kinds.iterator()}
-        return pd.DataFrame({
-            "key": [key[0]], "requests": [n], "failed": [failed], "first_us": [first], "last_us": [last],
-            "kinds": [",".join(f"{k}={counts[k]}" for k in sorted(counts))],
-        })
-
-    def _forget(self) -> None:
-        self.sums.clear()
-        self.kinds.clear()
-        for at in list(self.handle.listTimers()):
-            self.handle.deleteTimer(at)
+        self.sums = handle.getValueState("sums", "n array<long>, failed array<long>, first array<long>, last array<long>")
+        self.kinds = handle.getValueState("kinds", "kinds array<map<string,long>>")
+
+    def _periods(self) -> list[list]:
+        """The open periods: [n, failed, first, last, counts by kind]."""
+        if not self.sums.exists():
+            return []
+        return [[*one, dict(kinds)] for *one, kinds in zip(*self.sums.get(), self.kinds.get()[0])]
+
+    def _ends(self, period: list) -> int:
+        return period[3] // 1000 + self.idle_ms
+
+    def _keep(self, periods: list[list]) -> None:
+        if periods:
+            self.sums.update(tuple([p[i] for p in periods] for i in range(4)))
+            self.kinds.update(([p[4] for p in periods],))
+            self.handle.registerTimer(self._ends(periods[0]))
+        else:
+            self.sums.clear()
+            self.kinds.clear()
+
+    def _cut(self, pdf: pd.DataFrame) -> list[list]:
+        """The periods of a batch's rows alone."""
+        us = pdf["us"].to_numpy(np.int64)
+        order = np.argsort(us, kind="stable")
+        us, failed, (codes, names) = us[order], pdf["failed"].to_numpy(bool)[order], pd.factorize(pdf["kind"].to_numpy()[order])
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(us) > self.idle_ms * 1000) + 1])
+        stops = np.append(starts[1:], len(us))
+        out = []
+        for a, b in zip(starts.tolist(), stops.tolist()):
+            kind, n = np.unique(codes[a:b], return_counts=True)
+            out.append([b - a, int(failed[a:b].sum()), int(us[a]), int(us[b - 1]), {names[k]: c for k, c in zip(kind.tolist(), n.tolist())}])
+        return out
+
+    def _joined(self, periods: list[list]) -> list[list]:
+        """Periods in order of time, those joined that no idle time lies between."""
+        out: list[list] = []
+        for p in sorted(periods, key=lambda x: x[2]):
+            if out and p[2] <= out[-1][3] + self.idle_ms * 1000:
+                q = out[-1]
+                q[0], q[1], q[3] = q[0] + p[0], q[1] + p[1], max(q[3], p[3])
+                for k, n in p[4].items():
+                    q[4][k] = q[4].get(k, 0) + n
+            else:
+                out.append(p)
+        return out
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        periods = self._periods()
+        before = self._ends(periods[0]) if periods else None
         for pdf in rows:  # one Arrow batch at a time
-            for at, failed, kind in sorted(zip(pdf["us"].tolist(), pdf["failed"], pdf["kind"])):
-                if self.sums.exists() and at > self.sums.get()[3] + self.idle_ms * 1000:
-                    yield self._out(key)
-                    self._forget()
-                n, bad, first, last = self.sums.get() if self.sums.exists() else (0, 0, at, at)
-                self.sums.update((n + 1, bad + int(failed), min(first, at), max(last, at)))
-                seen = self.kinds.getValue((kind,))[0] if self.kinds.containsKey((kind,)) else 0
-                self.kinds.updateValue((kind,), (seen + 1,))
-        for at in list(self.handle.listTimers()):
-            self.handle.deleteTimer(at)
-        self.handle.registerTimer(self.sums.get()[3] // 1000 + self.idle_ms)
+            if len(pdf):
+                periods = self._joined(periods + self._cut(pdf))
+        if before is not None and before != self._ends(periods[0]):
+            self.handle.deleteTimer(before)
+        self._keep(periods)
+        yield from ()
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.sums.exists():
-            yield self._out(key)
-        self._forget()
+        past = max(expiredTimerInfo.getExpiryTimeInMs() + 1, timerValues.getCurrentWatermarkInMs())
+        periods = self._periods()
+        over = [p for p in periods if self._ends(p) < past]
+        self._keep(periods[len(over) :])
+        if over:
+            n, failed, first, last, kinds = zip(*over)
+            yield pd.DataFrame({
+                "key": [key[0]] * len(over), "requests": n, "failed": failed, "first_us": first, "last_us": last,
+                "kinds": [",".join(f"{k}={x[k]}" for k in sorted(x)) for x in kinds],
+            })
 
     def close(self) -> None:
         pass
@@ -89,3 +125,16 @@ def activity(requests: DataFrame, idle_s: float, late: str = "2 days") -> DataFr
     ])
     rows = requests.select("key", "ts", F.unix_micros("ts").alias("us"), F.coalesce("kind", F.lit("")).alias("kind"), F.coalesce("failed", F.lit(False)).alias("failed")).withWatermark("ts", late)
     return rows.groupBy("key").transformWithStateInPandas(Activity(idle_s, kind), out, "append", "eventtime")
+
+
+def activity_of_kinds(requests: DataFrame, kinds: list[str], idle_s: int, late: str = "2 days") -> DataFrame:
+    """The same rows for kinds known beforehand, as session windows: sums of fixed size that the engine keeps and joins itself.
+
+    `activity` calls Python for every key of a batch, here no row leaves the engine. A request without a key or time has no period; one
+    without a kind counts in `requests` alone.
+    """
+    rows = requests.where(F.col("key").isNotNull()).select("key", "ts", F.unix_micros("ts").alias("us"), "kind", F.coalesce("failed", F.lit(False)).alias("failed")).withWatermark("ts", late)
+    counts = [F.count_if(F.col("kind") == k).alias(f"kind_{i}") for i, k in enumerate(kinds)]
+    sums = rows.groupBy(F.session_window("ts", f"{idle_s} seconds"), "key").agg(F.count("*").alias("requests"), F.count_if("failed").alias("failed"), F.min("us").alias("first_us"), F.max("us").alias("last_us"), *counts)
+    said = [F.when(F.col(f"kind_{i}") > 0, F.concat(F.lit(f"{k}="), F.col(f"kind_{i}").cast("string"))) for i, k in sorted(enumerate(kinds), key=lambda x: x[1])]
+    return sums.select("key", "requests", "failed", "first_us", "last_us", F.nullif(F.concat_ws(",", *said), F.lit("")).alias("kinds"))
