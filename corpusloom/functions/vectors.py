@@ -11,6 +11,8 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,11 +42,53 @@ def nearest(vectors: DataFrame, query: list[float], k: int, key: str = "vec_id",
     return vectors.select(key, dot(F.col(column), q).alias("similarity")).orderBy(F.desc("similarity"), key).limit(k)
 
 
+#: Vectors that a task compares with a block of queries at a time.
+SLICE = 512
+
+
+def same_length(batch: pa.RecordBatch, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and vectors of the rows (key, vector) whose vectors are not null and of `n` numbers, without a Python object a number."""
+    batch = batch.filter(pc.fill_null(pc.equal(pc.list_value_length(batch.column(1)), n), False))
+    numbers = pc.fill_null(pc.list_flatten(batch.column(1)), float("nan"))
+    return batch.column(0).to_numpy(zero_copy_only=False), numbers.to_numpy(zero_copy_only=False).reshape(-1, n)
+
+
+class Nearest:
+    """The best `k` keys of each query of a block, as they are met: by score, then by key."""
+
+    def __init__(self, queries: int, k: int):
+        self.k, self.least = k, np.full(queries, -np.inf)
+        self.which, self.own, self.scores = np.empty(0, np.int64), None, np.empty(0)
+
+    def add(self, scores: np.ndarray, own: np.ndarray) -> None:
+        """Scores of each query (rows) with each of the keys `own` (columns); what cannot be among the best goes at once."""
+        bar = self.least
+        if scores.shape[1] > self.k:
+            bar = np.maximum(bar, np.partition(scores, -self.k, axis=1)[:, -self.k])
+        which, at = np.nonzero((scores >= bar[:, None]) & (scores > -np.inf))
+        self.own = own[at] if self.own is None else np.concatenate([self.own, own[at]])
+        self.which, self.scores = np.concatenate([self.which, which]), np.concatenate([self.scores, scores[which, at]])
+        order = np.lexsort((self.own, -self.scores, self.which))
+        which = self.which[order]
+        first = np.flatnonzero(np.r_[True, which[1:] != which[:-1]]) if len(which) else np.empty(0, np.int64)
+        nth = np.arange(len(which)) - np.repeat(first, np.diff(np.append(first, len(which))))
+        order = order[nth < self.k]
+        self.which, self.own, self.scores = self.which[order], self.own[order], self.scores[order]
+        full = np.bincount(self.which, minlength=len(self.least)) == self.k
+        lowest = np.full(len(self.least), np.inf)
+        np.minimum.at(lowest, self.which, self.scores)
+        self.least = np.where(full, lowest, -np.inf)
+
+    def ranked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self.which, self.own if self.own is not None else np.empty(0, np.int64), self.scores
+
+
 def nearest_of(queries: DataFrame, vectors: DataFrame, k: int, block: int = 1024, key: str = "vec_id", column: str = "embedding") -> DataFrame:
     """query_id, `key` and similarity of the `k` nearest vectors of each row of `queries` (query_id, q), itself left out.
 
     Query vectors reach the driver `block` at a time and go out with one scan of all vectors; each task keeps `k` for each query of
-    the block, and those of all tasks are ranked. Similarities are compared at nine decimals, then by key.
+    the block, and those of all tasks are ranked. A task compares `SLICE` vectors at a time, so it holds a table of block x `SLICE`
+    numbers, whatever the input. Similarities are compared at nine decimals, then by key.
     """
     found, waiting = [], []
     rows = vectors.select(key, F.transform(column, lambda x: x.cast("double")).alias("v"))
@@ -53,22 +97,21 @@ def nearest_of(queries: DataFrame, vectors: DataFrame, k: int, block: int = 1024
     def scan(ids: list, matrix: np.ndarray) -> DataFrame:
         names = np.array(ids)
 
-        def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            keys, scores = np.empty(0, object), np.empty((len(names), 0))
-            for pdf in batches:
-                pdf = pdf[pdf["v"].map(lambda v: v is not None and len(v) == matrix.shape[1])]
-                if len(pdf):
-                    more = np.round(matrix @ np.stack(pdf["v"].to_numpy()).T, 9)
-                    own = pdf[key].to_numpy()
-                    more[names[:, None] == own[None, :]] = -np.inf
-                    both, which = np.concatenate([scores, more], 1), np.concatenate([np.broadcast_to(keys, (len(names), keys.shape[-1])), np.broadcast_to(own, (len(names), len(own)))], 1) if keys.size else np.broadcast_to(own, (len(names), len(own)))
-                    order = np.lexsort((which, -both))[:, :k]
-                    scores, keys = np.take_along_axis(both, order, 1), np.take_along_axis(which, order, 1)
-            if keys.size:
-                at = scores > -np.inf
-                yield pd.DataFrame({"query_id": np.repeat(names, at.sum(1)), key: keys[at].astype(own.dtype), "s": scores[at]})
-
-        return rows.mapInPandas(best, kept)
+        def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            kind, top = None, Nearest(len(names), k)
+            for batch in batches:
+                kind = batch.schema.field(0).type
+                for at in range(0, batch.num_rows, SLICE):
+                    own, these = same_length(batch.slice(at, SLICE), matrix.shape[1])
+                    if len(own):
+                        scores = np.round(matrix @ these.T, 9)
+                        scores[names[:, None] == own[None, :]] = -np.inf
+                        top.add(scores, own)
+            if kind is not None:
+                which, own, scores = top.ranked()
+                yield pa.RecordBatch.from_arrays([pa.array(names[which]), pa.array(own, kind), pa.array(scores)], kept.names)
+
+        return rows.mapInArrow(best, kept)
 
     def flush() -> None:
         if waiting:
