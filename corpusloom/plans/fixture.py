@@ -17,7 +17,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, dealt over all cores where they are few: for queries whose time goes into each text."""
+    """The documents, dealt over all cores: for queries whose time goes into each text."""
     return spread(read(spark, sf_dir, "documents"))
 
 
