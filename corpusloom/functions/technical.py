@@ -80,9 +80,9 @@ def balanced(c: Column, opening: str, closing: str) -> Column:
     return F.aggregate(marks, start, step, lambda acc: acc["ok"] & (acc["open"] == 0))
 
 
-def code_danger(code: Column, language: Column) -> Column:
-    """What forbids looking further; null if nothing does."""
-    low = F.lower(code)
+def code_danger(code: Column, language: Column, low: Column | None = None) -> Column:
+    """What forbids looking further; null if nothing does. `low` is the code in lower case where it is known already."""
+    low = F.lower(code) if low is None else low
     general = F.lit(None).cast("string")
     for d in reversed(DANGEROUS):
         general = F.when(t.has(low, d), F.lit(f"dangerous code pattern detected: {d}")).otherwise(general)
@@ -169,11 +169,15 @@ def complexity(c: Column) -> Column:
     return (total + F.size(names) + F.regexp_count(c, F.lit(r"[0-9]+\.?[0-9]*"))).cast("long")
 
 
+def _confidence(syntax: Column, semantics: Column, consistency: Column, size: Column) -> Column:
+    flag = lambda cond, x: F.when(cond, x).otherwise(0.0)
+    return F.round((flag(syntax, 0.4) + flag(semantics, 0.3) + flag(consistency, 0.2)) * F.when(size > 100, 0.7).when(size > 50, 0.9).otherwise(1.0), 9)
+
+
 def validated_formula(raw: Column) -> dict[str, Column]:
     c = normalized_formula(raw)
     syntax, semantics, consistency, size = formula_syntax(c), formula_semantics(c), formula_consistency(c), complexity(c)
-    flag = lambda cond, x: F.when(cond, x).otherwise(0.0)
-    confidence = F.round((flag(syntax, 0.4) + flag(semantics, 0.3) + flag(consistency, 0.2)) * F.when(size > 100, 0.7).when(size > 50, 0.9).otherwise(1.0), 9)
+    confidence = _confidence(syntax, semantics, consistency, size)
     empty = t.trim(raw) == ""
     said = F.concat_ws("; ", F.concat(F.lit("Notation: "), notation(c)), F.when(~syntax, "syntax errors"), F.when(~semantics, "semantic errors"), F.when(~consistency, "inconsistent"))
     return {
@@ -182,6 +186,15 @@ def validated_formula(raw: Column) -> dict[str, Column]:
     }
 
 
+def valid_formulas(raw: Column) -> Column:
+    """Which formulas of an array are valid. One array a step: within a lambda, an expression is worked out anew wherever it stands."""
+    plain = F.transform(raw, lambda f: F.struct((t.trim(f) == "").alias("empty"), normalized_formula(f).alias("c")))
+    judged = F.transform(plain, lambda x: F.struct(
+        x["empty"].alias("empty"), formula_syntax(x["c"]).alias("syntax"), formula_semantics(x["c"]).alias("semantics"), formula_consistency(x["c"]).alias("consistency"), complexity(x["c"]).alias("size"),
+    ))
+    return F.transform(judged, lambda x: ~x["empty"] & x["syntax"] & x["semantics"] & x["consistency"] & (_confidence(x["syntax"], x["semantics"], x["consistency"], x["size"]) >= 0.6))
+
+
 def is_technical(c: Column) -> Column:
     from corpusloom.functions.assessment import TECHNICAL
 
@@ -190,7 +203,8 @@ def is_technical(c: Column) -> Column:
 
 def technical_accuracy(c: Column) -> Column:
     """Share of a text's code blocks and formulas that are valid; 1 where there are none."""
-    code = F.transform(code_blocks(c), lambda b: validated_code(b["code"], b["language"])["syntax_valid"])
-    math = F.transform(formulas(c), lambda f: validated_formula(f)["valid"])
-    n, good = F.size(code) + F.size(math), F.size(F.filter(code, lambda x: x)) + F.size(F.filter(math, lambda x: x))
-    return F.when(n > 0, good / n).otherwise(1.0)
+    lowered = F.transform(code_blocks(c), lambda b: F.struct(b["language"].alias("language"), b["code"].alias("code"), F.lower(b["code"]).alias("low")))
+    code = F.transform(lowered, lambda b: code_danger(b["code"], b["language"], b["low"]).isNull() & b["language"].isin(*SYNTAX) & code_syntax(b["code"], b["language"]))
+    math = valid_formulas(formulas(c))
+    whole = F.array(F.concat(code, math))  # in an array of its own, so that a lambda reads it more than once
+    return F.get(F.transform(whole, lambda x: F.when(F.size(x) > 0, F.size(F.filter(x, lambda ok: ok)) / F.size(x)).otherwise(1.0)), 0)
