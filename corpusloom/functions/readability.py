@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions import text as t
+from corpusloom.sources.spread import small_batches
 
 # Words of three syllables or more that count as easy.
 EASY = [
@@ -39,7 +40,7 @@ def sentence_count(c: Column) -> Column:
 
 
 #: Words whose counts a worker remembers; beyond that it begins anew.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 _SPACES = str.maketrans("\t\n\f\r", "    ")
 _STRIP = re.compile(r"""[.,;:!?'"()\[\]{}\u2014\u2013-]""")
 _VOWELS, _LE = re.compile("[aeiouy]+"), re.compile("[^aeiouy]le$")
@@ -60,7 +61,7 @@ def word_counter(easy: list[str]) -> Callable[[str], tuple[int, int, int, int, i
         low = word.lower()
         bare = _STRIP.sub("", low)
         n = max(1, len(_VOWELS.findall(bare)) - bare.endswith("e") + bool(_LE.search(bare))) if bare else 0
-        return (1 if bare else 0, n, 1 if n >= 3 and bare not in simple else 0, low if len(word.encode("utf-8", "replace")) > 3 else "")
+        return (1 if bare else 0, n, 1 if n >= 3 and bare not in simple else 0, (word if low == word else low) if len(word.encode("utf-8", "replace")) > 3 else "")
 
     def count(text: str) -> tuple[int, int, int, int, int | None]:
         found = Counter(text.translate(_SPACES).split(" "))
@@ -98,6 +99,7 @@ def counted(easy: list[str]):
 
 def counts(df: DataFrame, text: str = "text", easy: list[str] = EASY) -> DataFrame:
     """Adds words, sentences, syllables, complex words, characters, and the words repeated too often."""
+    small_batches(df.sparkSession)
     out = df.withColumn("_n", counted(easy)(F.col(text)))
     letters = F.length(F.regexp_replace(F.col(text), r"[^\p{L}\p{Nd}]+", ""))
     return out.withColumns({
