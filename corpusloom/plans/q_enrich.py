@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.functions import categories, pii
-from corpusloom.plans.fixture import read, texts
+from corpusloom.plans.fixture import texts
 
 QUERIES, ORACLES = {}, {}
 
@@ -31,8 +31,8 @@ c AS (SELECT doc_id, arg_max(label, score) AS category FROM s GROUP BY doc_id)""
 
 
 def _categorised(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents")
-    return categories.categorised(texts(spark, sf_dir), categories.trained(docs.where("doc_id % 4 <> 2"), "lang"))
+    docs = texts(spark, sf_dir)
+    return categories.categorised(docs, categories.trained(docs.where("doc_id % 4 <> 2"), "lang"))
 
 
 @query(f"WITH {_MODEL} SELECT doc_id, held, category FROM b JOIN c USING (doc_id)")
