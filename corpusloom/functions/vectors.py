@@ -129,13 +129,18 @@ def nearest_of(queries: DataFrame, vectors: DataFrame, k: int, block: int = 1024
     return reduce(DataFrame.union, found).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k).select("query_id", key, F.col("s").alias("similarity"))
 
 
+def gram_counts(text: str) -> list[int]:
+    """How often each different letter trigram occurs, by sorting them as numbers: three code points of 21 bits."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    return np.unique(codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:], return_counts=True)[1].tolist() if len(codes) > 2 else []
+
+
 def embedding(text: str) -> np.ndarray | None:
     """384 numbers from letter trigrams, word frequencies, a sine and a hash, of unit length; None for an empty text."""
     if not text:
         return None
     norm_text = " ".join(text.lower().split())
-    grams = Counter(norm_text[i : i + 3] for i in range(len(norm_text) - 2))
-    scores = sorted(c / (1 + math.log(c)) for c in grams.values())
+    scores = sorted(x for c, n in Counter(gram_counts(norm_text)).items() for x in [c / (1 + math.log(c))] * n)
     words = Counter(_TOKEN.findall(norm_text))
     total = sum(words.values())
     freqs = sorted(c / total for c in words.values()) if total else []
