@@ -32,8 +32,9 @@ def norm(a: Column) -> Column:
 
 
 def unit(a: Column) -> Column:
-    n = norm(a)
-    return F.when(n > 0, F.transform(a, lambda x: x / n)).otherwise(F.transform(a, lambda x: x.cast("double")))
+    """`a` over its norm, which is bound once: inside the inner function it would be worked out for each number."""
+    scaled = lambda n: F.when(n > 0, F.transform(a, lambda x: x / n)).otherwise(F.transform(a, lambda x: x.cast("double")))
+    return F.element_at(F.transform(F.array(norm(a)), scaled), 1)
 
 
 def nearest(vectors: DataFrame, query: list[float], k: int, key: str = "vec_id", column: str = "embedding") -> DataFrame:
