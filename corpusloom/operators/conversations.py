@@ -96,9 +96,11 @@ def code_examples(c: Column, each: int = 3) -> Column:
 
 
 def keywords(title: Column, c: Column, terms: list[str] = TERMS) -> Column:
-    names = F.transform(t.fields(F.lower(title)), lambda w: F.btrim(w, F.lit(".,!?()[]{}:;\"'")))
+    """Words of the title, then the terms that occur in the text; a missing title or text has none."""
+    names = F.transform(t.fields(t.lower_each(title)), lambda w: F.btrim(w, F.lit(".,!?()[]{}:;\"'")))
     named = F.filter(names, lambda w: (F.octet_length(w) > 2) & ~w.isin(*STOP))
-    return F.concat(named, F.array_compact(F.array(*[F.when(t.has(F.lower(c), x), F.lit(x)) for x in terms])))
+    found = t.bound(F.lower(F.replace(c, F.lit("İ"), F.lit("i"))), lambda low: F.array_compact(F.array(*[F.when(t.has(low, x), F.lit(x)) for x in terms])))
+    return F.concat(F.coalesce(named, F.array().cast("array<string>")), found)
 
 
 def formats(domain: Column, category: Column, c: Column, n_sections: Column) -> Column:

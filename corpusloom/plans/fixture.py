@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as t
@@ -21,21 +21,29 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(read(spark, sf_dir, "documents"))
 
 
+def title(text: Column) -> Column:
+    return F.left(t.first_nonblank_line(text, t.ASCII_SPACES), F.lit(100))
+
+
+def labelled(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+    """`docs` with the quality of each of their labels, or none."""
+    return docs.join(read(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+
+
 def library(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = texts(spark, sf_dir), read(spark, sf_dir, "labels").select("doc_id", "quality")
     n = F.col("doc_id")
     attribution = F.when(n % 4 < 2, F.concat(F.lit("Collected by the Library, item "), n.cast("string"))).when(n % 4 == 2, F.lit("none given"))
     tier = F.when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low")
     cols = {
         "id": n.cast("string"), "source": F.col("source"), "url": F.concat(F.lit("https://"), F.col("source"), F.lit(".example.org/"), n.cast("string")),
-        "title": F.left(t.first_nonblank_line(F.col("text")), F.lit(100)), "language": F.col("lang"), "quality_tier": tier,
+        "title": title(F.col("text")), "language": F.col("lang"), "quality_tier": tier,
         "author": F.when(n % 3 == 0, F.concat(F.lit("Author "), (n % 7).cast("string"))),
         "authors": F.concat(F.lit("Author "), (n % 7).cast("string"), F.lit(", Author "), (n % 11).cast("string")),
         "created_at": F.timestamp_add("MINUTE", n.cast("int"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")),
     }
     named = [F.when(c.isNotNull(), F.struct(F.lit(k).alias("key"), c.alias("value"))) for k, c in (("attribution", attribution), ("words", t.word_count(F.col("text")).cast("string")))]
     cols["metadata"] = F.map_from_entries(F.array_compact(F.array(*named)))
-    return docs.join(labels, "doc_id", "left").select(*[c.alias(k) for k, c in cols.items()], "text", "doc_id")
+    return labelled(spark, sf_dir, texts(spark, sf_dir)).select(*[c.alias(k) for k, c in cols.items()], "text", "doc_id")
 
 
 #: The same view in SQL.

@@ -13,7 +13,7 @@ from corpusloom.operators import compliance as co
 from corpusloom.operators import conversations as cv
 from corpusloom.operators import corpus as cp
 from corpusloom.operators import search as se
-from corpusloom.plans.fixture import LIBRARY, library, read, texts
+from corpusloom.plans.fixture import LIBRARY, labelled, library, read, texts, title
 from corpusloom.plans.q_quality import quoted, sql_any, sql_fields, sql_many, sql_trim
 from corpusloom.streaming import events as ev
 
@@ -347,7 +347,8 @@ _TERM_LIST = "list_filter([" + ", ".join(f"CASE WHEN contains(lower(text), {quot
 
 @query(f"WITH {LIBRARY} SELECT id, array_to_string(list_concat(list_filter(list_transform({sql_fields('lower(title)')}, lambda w: trim(w, '.,!?()[]{{}}:;\"''')), lambda w: strlen(w) > 2 AND w NOT IN ('the', 'and', 'for')), {_TERM_LIST}), ',') AS keywords FROM library")
 def conv_keywords(spark, sf_dir):
-    return library(spark, sf_dir).select("id", F.array_join(cv.keywords(F.col("title"), F.col("text")), ",").alias("keywords"))
+    docs = texts(spark, sf_dir).select("doc_id", F.array_join(cv.keywords(title(F.col("text")), F.col("text")), ",").alias("keywords"))
+    return labelled(spark, sf_dir, docs).select(F.col("doc_id").cast("string").alias("id"), "keywords")
 
 
 _DOMAINS, _KINDS = ["Programming", "Web", "AI", "History"], ["Theory", "Architecture", "General"]
